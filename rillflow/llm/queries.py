@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import mixing, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op9_mixing": op9_mixing}
+QUERIES = {"op6_rules": op6_rules, "op9_mixing": op9_mixing}

@@ -54,6 +54,11 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int)
     return mix(raw + (ends - starts).astype(np.uint64))
 
 
+def spans_of_bytes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of raw[start:end]."""
+    return _spans(_BYTE[raw], starts, ends, BYTE_BASE)
+
+
 @dataclass
 class Words:
     """Words of several texts: bytes, places of the words, first word of each text."""
@@ -74,7 +79,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return _spans(_BYTE[self.raw], self.starts, self.ends, BYTE_BASE)
+        return spans_of_bytes(self.raw, self.starts, self.ends)
 
     def joined(self, text: int, keep: np.ndarray | None = None) -> bytes:
         """The words of one text (those that ``keep`` marks), joined by one space."""
