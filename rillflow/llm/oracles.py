@@ -1,6 +1,20 @@
 """DuckDB SQL for those queries that SQL can express."""
 
-_WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
+OP3 = """
+with recursive v as (
+  select vec_id, label, embedding::double[64] as e from embeddings
+  where label is not null and embedding is not null and list_sum([x * x for x in embedding]) > 0
+), l as (
+  select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+  where array_cosine_similarity(a.e, b.e) >= 0.98
+), r as (
+  select vec_id as x, vec_id as y from embeddings
+  union
+  select r.x, l.y from r join l on r.y = l.x
+), c as (select x, min(y) as component_id from r group by x), n as (select x, count(*) as n from l group by x)
+select d.vec_id, coalesce(n.n, 0)::bigint as n_links, c.component_id, d.vec_id = c.component_id as kept
+from embeddings d join c on d.vec_id = c.x left join n on n.x = d.vec_id
+"""
 
 OP9 = r"""
 with d as (
@@ -42,4 +56,4 @@ select doc_id, size, source_size, target, took0 + took1 as taken,
 from q
 """
 
-ORACLES = {"op9_mixing": OP9}
+ORACLES = {"op3_embeddings": OP3, "op9_mixing": OP9}
