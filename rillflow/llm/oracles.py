@@ -1,5 +1,32 @@
 """DuckDB SQL for those queries that SQL can express."""
 
+OP1 = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] end) as g
+  from w
+), n as (select doc_id, count(*) as n from s group by doc_id
+), sets as (select md5(string_agg(g, chr(10) order by g)) as h, doc_id from s group by doc_id
+), classes as (select h, min(doc_id) as c from sets group by h
+), own as (select sets.doc_id, c from sets join classes using (h)
+), t as (select g, doc_id from s where doc_id in (select c from classes)
+), i as (
+  select a.doc_id as x, b.doc_id as y, count(*) as k from t a join t b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+), l as (
+  select x, y from i join n p on p.doc_id = x join n q on q.doc_id = y where 100 * k >= 85 * (p.n + q.n - k)
+), e as (select x, y from l union all select y, x from l
+), r as (
+  select c as x, c as y from classes
+  union
+  select r.x, e.y from r join e on r.y = e.x
+), m as (select x, min(y) as m from r group by x)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(m.m, d.doc_id) as component_id, d.doc_id = coalesce(m.m, d.doc_id) as kept
+from documents d left join n using (doc_id) left join own using (doc_id) left join m on m.x = own.c
+"""
+
 OP3 = """
 with recursive v as (
   select vec_id, label, embedding::double[64] as e from embeddings
@@ -56,4 +83,4 @@ select doc_id, size, source_size, target, took0 + took1 as taken,
 from q
 """
 
-ORACLES = {"op3_embeddings": OP3, "op9_mixing": OP9}
+ORACLES = {"op1_minhash": OP1, "op3_embeddings": OP3, "op9_mixing": OP9}

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, mixing, packing, rules, tokens
+from . import embeddings, minhash, mixing, packing, rules, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -32,4 +36,4 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_embeddings": op3_embeddings, "op4_tokens": op4_tokens, "op6_rules": op6_rules, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+QUERIES = {"op1_minhash": op1_minhash, "op3_embeddings": op3_embeddings, "op4_tokens": op4_tokens, "op6_rules": op6_rules, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
