@@ -27,6 +27,25 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(m.m, d.doc_id)
 from documents d left join n using (doc_id) left join own using (doc_id) left join m on m.x = own.c
 """
 
+OP2 = r"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), p as (
+  select doc_id, i, array_to_string(w[i:i + 34], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 33)) as i from w where len(w) >= 35)
+), r as (select doc_id, i from (select doc_id, i, count(*) over (partition by g) as n from p) where n > 1
+), x as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as j from w
+), c as (
+  select x.doc_id, x.j, x.word, max(r.i) over (partition by x.doc_id order by x.j) as latest
+  from x left join r on r.doc_id = x.doc_id and r.i = x.j
+), k as (
+  select doc_id, count(*) as n, count(*) filter (latest is not null and latest > j - 35) as m,
+         string_agg(word, ' ' order by j) filter (latest is null or latest <= j - 35) as kept
+  from c group by doc_id
+)
+select d.doc_id, coalesce(n, 0)::bigint as n_words, coalesce(m, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from documents d left join k using (doc_id)
+"""
+
 OP3 = """
 with recursive v as (
   select vec_id, label, embedding::double[64] as e from embeddings
@@ -83,4 +102,4 @@ select doc_id, size, source_size, target, took0 + took1 as taken,
 from q
 """
 
-ORACLES = {"op1_minhash": OP1, "op3_embeddings": OP3, "op9_mixing": OP9}
+ORACLES = {"op1_minhash": OP1, "op2_substrings": OP2, "op3_embeddings": OP3, "op9_mixing": OP9}

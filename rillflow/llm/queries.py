@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import embeddings, minhash, mixing, packing, rules, tokens
+from . import embeddings, minhash, mixing, packing, rules, substrings, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("_sub_n_words").alias("n_words"), F.col("_sub_n_removed").alias("n_removed"), F.sha2("_sub_kept", 256).alias("kept_sha256"))
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -36,4 +42,4 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op3_embeddings": op3_embeddings, "op4_tokens": op4_tokens, "op6_rules": op6_rules, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+QUERIES = {"op1_minhash": op1_minhash, "op2_substrings": op2_substrings, "op3_embeddings": op3_embeddings, "op4_tokens": op4_tokens, "op6_rules": op6_rules, "op8_packing": op8_packing, "op9_mixing": op9_mixing}

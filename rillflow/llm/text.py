@@ -59,6 +59,12 @@ def spans_of_bytes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return _spans(_BYTE[raw], starts, ends, BYTE_BASE)
 
 
+def spans_of_words(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of n neighbouring words, whether of one text or not."""
+    begin = np.arange(max(len(hashes) - n + 1, 0))
+    return _spans(hashes, begin, begin + n, WORD_BASE)
+
+
 @dataclass
 class Words:
     """Words of several texts: bytes, places of the words, first word of each text."""
