@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, minhash, mixing, packing, rules, substrings, tokens
+from . import bytecnn, embeddings, langid, minhash, mixing, packing, rules, substrings, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytecnn.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(_table(spark, sf_dir, "documents"))
 
@@ -42,4 +46,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_substrings": op2_substrings, "op3_embeddings": op3_embeddings, "op4_tokens": op4_tokens, "op6_rules": op6_rules, "op8_packing": op8_packing, "op9_mixing": op9_mixing}
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_minhash": op1_minhash, "op2_substrings": op2_substrings, "op3_embeddings": op3_embeddings, "op4_tokens": op4_tokens, "op5_quality": op5_quality, "op6_rules": op6_rules, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_langid": op10_langid}
