@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytecnn, embeddings, langid, minhash, mixing, packing, rules, substrings, tokens
+from . import bytecnn, embeddings, langid, minhash, mixing, packing, pitmanyor, rules, substrings, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(_table(spark, sf_dir, "documents"))
 
 
+def op7_pitmanyor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.scored(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
@@ -50,4 +54,4 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_substrings": op2_substrings, "op3_embeddings": op3_embeddings, "op4_tokens": op4_tokens, "op5_quality": op5_quality, "op6_rules": op6_rules, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_langid": op10_langid}
+QUERIES = {"op1_minhash": op1_minhash, "op2_substrings": op2_substrings, "op3_embeddings": op3_embeddings, "op4_tokens": op4_tokens, "op5_quality": op5_quality, "op6_rules": op6_rules, "op7_pitmanyor": op7_pitmanyor, "op8_packing": op8_packing, "op9_mixing": op9_mixing, "op10_langid": op10_langid}
