@@ -89,6 +89,7 @@ def planned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
         F.col(source_col).alias("_mix_source"),
         F.xxhash64(F.col(source_col).isNull(), source).alias("_mix_key"),
         words(F.col(text_col)).alias("_mix_size"),
+        F.xxhash64(text_col).alias("_mix_mark"),
         F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long").alias("_mix_place"),
     )
     slices = max(SLICES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -100,7 +101,7 @@ def planned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     per_source = per_source.select("_mix_key", F.col("number").alias("_mix_number"), F.col("source_size").alias("_mix_source_size"), F.col("target").alias("_mix_target"))
     by_slice = by_slice.join(per_source, "_mix_key").select("_mix_key", "_mix_slice", "_mix_start", "_mix_number", "_mix_source_size", "_mix_target")
     rows = rows.join(by_slice, ["_mix_key", "_mix_slice"])
-    inner = Window.partitionBy("_mix_key", "_mix_slice").orderBy("_mix_place", id_col, F.xxhash64(text_col)).rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("_mix_key", "_mix_slice").orderBy("_mix_place", id_col, "_mix_mark").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_mix_before", F.col("_mix_start") + F.coalesce(F.sum("_mix_size").over(inner), F.lit(0)))
     goal = F.round("_mix_target").cast("long")
     for turn in range(MOST_TURNS):

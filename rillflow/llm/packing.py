@@ -43,6 +43,7 @@ def cut(total: int, room: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, room: int, with_ids: bool) -> DataFrame:
     """All pieces; ``nth`` numbers those of one length within a task."""
     end = np.array([end_id], "<u4").tobytes()
+    bits = tokens.bits_for(max(tokens.vocabulary_size(tokenizer), end_id + 1))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), Counter()
@@ -52,7 +53,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, room: int, with_ids: bo
                 coded += end
                 for k, (start, length) in enumerate(cut(len(coded) // 4, room)):
                     own = coded[4 * start : 4 * (start + length)]
-                    rows.append((part, doc_id, k, start, length, zlib.crc32(own), seen[length], *([own] if with_ids else [])))
+                    rows.append((part, doc_id, k, start, length, zlib.crc32(own), seen[length], *([tokens.pack(np.frombuffer(own, "<u4"), bits)] if with_ids else [])))
                     seen[length] += 1
             kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary()]
             names = ["part", "doc_id", "piece", "start", "length", "ids_crc32", "nth", "ids"]
@@ -141,7 +142,7 @@ def placed(table: dict[str, np.ndarray], length: np.ndarray, number: np.ndarray)
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, room: int = SEQUENCE_TOKENS, with_ids: bool = False) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids, little-endian u32)."""
+    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids, packed in the vocabulary's bits)."""
     spark = docs.sparkSession
     folder = storage.shared_dir(spark)
     rows = storage.stored(pieces(docs, tokenizer or tokens.default_tokenizer(), end_id, room, with_ids), folder, "pieces")

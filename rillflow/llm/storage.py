@@ -31,7 +31,7 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     the shared folder and not computed from the start.
     """
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
