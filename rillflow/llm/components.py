@@ -7,6 +7,8 @@ Links never leave the cluster; each step is written to the shared folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     Links from a node to itself and repeated links change nothing. Nodes
     without a link aren't in the result.
     """
-    spark = links.sparkSession
+    spark, folder = links.sparkSession, f"{folder}/components-{uuid.uuid4().hex}"
     now = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, mark, step = storage.stored(now, folder, "links-0"), None, 0
     while True:

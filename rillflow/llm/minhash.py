@@ -3,10 +3,11 @@
 A document is the set of its distinct word shingles. MinHash samples of equal
 sets are equal, so equal sets are one class from the start. Bands of samples
 give candidate buckets. In a first round every member of a bucket is compared
-with the bucket's smallest member only; in a second round members of different
-components that share a bucket are compared with each other, so no link that
-could join two components is left out, and a group of n copies costs about n
-comparisons and not n * n.
+with the bucket's smallest member only. In a second round members of different components that
+may be near by their sketches form clusters, and within a cluster the sets of
+all but the largest component are compared with all others, in pairs of
+blocks. So no link that could join two components is left out, and a group of
+n copies costs about n comparisons and not n * n.
 
 Before texts are read, an odd sketch decides: each MinHash sample flips one bit
 of a short bitmap, and the ones of two bitmaps' XOR estimate how many samples
@@ -196,66 +197,147 @@ def _sketched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return near.select("a", "b")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (key, sig, comp, n, sketch words) of one bucket in different components.
+def _dealt(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """Rows (key, comp, sig, …) in pairs of blocks (low, high) of their key; ``own`` is a row's block.
 
-    Buckets are dealt to pairs of blocks in the order of their components, so
-    blocks that lie within one component meet no partner. A block's members
-    are compared by size and sketch as arrays; only pairs that pass go out.
+    Members of a key's largest component are never paired with each other:
+    only the rest is paired, with itself and with the largest component. So a
+    large group that is linked already costs its rest times its size.
     """
+    per = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("k"))
+    top = per.groupBy(key).agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.max("k").alias("most"), F.sum("k").alias("all"))
+    top = top.where("all > most").select(key, "main", F.ceil(F.col("most") / size).cast("int").alias("mains"), F.ceil((F.col("all") - F.col("most")) / size).cast("int").alias("rests"))
+    both = rows.join(top, key)
+    is_main = F.col("comp") == F.col("main")
+    own = F.pmod(F.xxhash64("sig"), F.when(is_main, F.col("mains")).otherwise(F.col("rests"))).cast("int")
+    both = both.withColumn("own", F.when(is_main, own + F.col("rests")).otherwise(own))
+    other = F.when(is_main, F.sequence(F.lit(0), F.col("rests") - 1)).otherwise(F.sequence(F.lit(0), F.col("rests") + F.col("mains") - 1))
+    both = both.withColumn("other", F.explode(other))
+    return both.select(key, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *[c for c in rows.columns if c != key])
+
+
+def _near(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of one block pair in different components that sizes and sketches allow, and their differing bits."""
+    one = np.flatnonzero(rows["own"] == rows["low"])
+    two = np.flatnonzero(rows["own"] == rows["high"])
+    n, comp = rows["n"], rows["comp"]
+    near = (comp[one][:, None] != comp[two][None]) & (100 * np.minimum(n[one][:, None], n[two][None]) >= percent * np.maximum(n[one][:, None], n[two][None]))
+    if rows["low"][0] == rows["high"][0]:
+        near &= one[:, None] < two[None]
+    i, j = np.nonzero(near)
+    i, j = one[i], two[j]
+    ones = sum((np.bitwise_count(rows[s][i] ^ rows[s][j]).astype(np.int64) for s in WORDS_OF_SKETCH), np.zeros(len(i), np.int64))
+    keep = ones <= most_differing_bits(percent / 100 - SKETCH_MARGIN)
+    return i[keep], j[keep], ones[keep]
+
+
+def _streamed(batches: Iterator[pa.RecordBatch], key: str, more: tuple[str, ...] = ()) -> Iterator[dict]:
+    """Groups of equal (key, low, high) from sorted batches, as arrays (``more``: as lists)."""
+    names = [key, "low", "high", "own", "sig", "comp", "n", *WORDS_OF_SKETCH]
+    held = {c: np.empty(0, np.int64) for c in names} | {c: [] for c in more}
+
+    def cut_off(last: bool) -> Iterator[dict]:
+        change = (np.diff(held[key]) != 0) | (np.diff(held["low"]) != 0) | (np.diff(held["high"]) != 0)
+        cut = [0, *(np.flatnonzero(change) + 1).tolist(), len(held[key])]
+        stop = len(cut) - 1 if last else len(cut) - 2
+        for i, j in zip(cut[:stop], cut[1 : stop + 1], strict=True):
+            if j - i > 1:
+                yield {c: v[i:j] for c, v in held.items()}
+        for c in held:
+            held[c] = held[c][cut[stop] :]
+
+    for batch in batches:
+        for c in names:
+            held[c] = np.concatenate([held[c], batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)])
+        for c in more:
+            held[c] = held[c] + batch.column(c).to_pylist()
+        if len(held[key]):
+            yield from cut_off(False)
+    if len(held[key]):
+        yield from cut_off(True)
+
+
+def _pairs(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs that join all members of a bucket that sizes and sketches let be near: a forest, not all pairs."""
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks"))
-    rows = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "sig", "comp", "n", *WORDS_OF_SKETCH)
-    limit = most_differing_bits(percent / 100 - SKETCH_MARGIN)
-
-    def found(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        one = np.flatnonzero(rows["own"] == rows["low"])
-        two = np.flatnonzero(rows["own"] == rows["high"])
-        near = rows["comp"][one][:, None] != rows["comp"][two][None]
-        n = rows["n"]
-        near &= 100 * np.minimum(n[one][:, None], n[two][None]) >= percent * np.maximum(n[one][:, None], n[two][None])
-        i, j = np.nonzero(near)
-        i, j = one[i], two[j]
-        ones = sum(np.bitwise_count(rows[s][i] ^ rows[s][j]).astype(np.int64) for s in WORDS_OF_SKETCH)
-        i, j = i[ones <= limit], j[ones <= limit]
-        a, b = rows["sig"][i], rows["sig"][j]
-        return np.maximum(a, b), np.minimum(a, b)
-
-    names = ["key", "low", "high", "own", "sig", "comp", "n", *WORDS_OF_SKETCH]
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {c: np.empty(0, np.int64) for c in names}
-
-        def groups(last: bool):
-            change = (np.diff(held["key"]) != 0) | (np.diff(held["low"]) != 0) | (np.diff(held["high"]) != 0)
-            cut = [0, *(np.flatnonzero(change) + 1).tolist(), len(held["key"])]
-            stop = len(cut) - 1 if last else len(cut) - 2
-            for i, j in zip(cut[:stop], cut[1 : stop + 1], strict=True):
-                if j - i > 1:
-                    yield found({c: held[c][i:j] for c in names})
-            for c in names:
-                held[c] = held[c][cut[stop] :]
-
-        def out(last: bool):
-            if not len(held["key"]):
-                return
-            pairs = list(groups(last))
-            if pairs:
-                both = np.unique(np.stack([np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
-
-        for batch in batches:
-            for c in names:
-                held[c] = np.concatenate([held[c], batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)])
-            yield from out(False)
-        yield from out(True)
+        for rows in _streamed(batches, "key"):
+            i, j, _ = _near(rows, percent)
+            tree = components.spanning(len(rows["sig"]), zip(i.tolist(), j.tolist(), strict=True))
+            if tree:
+                yield _pairs([int(rows["sig"][x]) for x, _ in tree], [int(rows["sig"][y]) for _, y in tree])
 
-    ordered = rows.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+    ordered = _dealt(members, "key", BLOCK_MEMBERS).repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high")
     return ordered.mapInArrow(searched, "a long, b long").distinct()
 
 
+def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components within clusters (cluster, comp, sig, n, least, sketch words), confirmed on full sets.
+
+    A block pair holds the sets of at most two blocks; of its links only a
+    forest goes out. Pairs are tried from the nearest on, and pairs that are
+    joined already aren't tried.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _dealt(clusters, "cluster", CHUNK_MEMBERS)
+    source = docs.select(F.col("text").cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("least"))
+    names = ["cluster", "low", "high", "own", "sig", "comp", "n", *WORDS_OF_SKETCH]
+    schema = "cluster long, low int, high int, own int, sig long, comp long, n long, " + ", ".join(f"{s} long" for s in WORDS_OF_SKETCH) + ", set binary"
+
+    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * (3 + len(WORDS_OF_SKETCH))]
+        for texts, *values in tx.chunked(batches, ["text", *names]):
+            place: dict[bytes, int] = {}
+            number = [place.setdefault(t, len(place)) for t in texts]
+            own = shingle_sets(tx.split(list(place), lower=True), size)
+            real = signatures([s if len(s) else np.zeros(1, np.uint64) for s in own]).view(np.int64)
+            keep = [i for i, k in enumerate(number) if real[k] == values[4][i]]
+            data = [tx.packed(s, "<u8") for s in own]
+            columns = [pa.array([v[i] for i in keep], t) for v, t in zip(values, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([data[number[i]] for i in keep], pa.binary())], [*names, "set"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _streamed(batches, "cluster", ("set",)):
+            i, j, ones = _near(rows, percent)
+            order = np.argsort(ones, kind="stable")
+            sets: dict[int, np.ndarray] = {}
+            comps = np.unique(rows["comp"], return_inverse=True)[1].tolist()
+            sig, a, b = rows["sig"], [], []
+            parent = list(range(len(comps)))
+
+            def root(x: int, parent=parent) -> int:
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+                p, q = root(comps[x]), root(comps[y])
+                if p == q:
+                    continue
+                for k in (x, y):
+                    if k not in sets:
+                        sets[k] = np.frombuffer(rows["set"][k], "<u8")
+                place = np.searchsorted(sets[x], sets[y])
+                place[place == len(sets[x])] = 0
+                common = int((sets[x][place] == sets[y]).sum())
+                if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
+                    parent[max(p, q)] = min(p, q)
+                    a.append(int(sig[x]))
+                    b.append(int(sig[y]))
+            if a:
+                yield _pairs(a, b)
+
+    held = source.join(rows, "least").select("text", *names).mapInArrow(with_sets, schema)
+    ordered = held.repartition(parts, "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
+    return ordered.mapInArrow(linked, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -271,14 +353,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     links = storage.stored(confirmed(docs, tried, classes, size, percent), folder, "links")
     roots = components.components(links, folder)
     # second round: buckets that hold more than one component
-    known = storage.stored(classes.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("comp"), "n", *WORDS_OF_SKETCH), folder, "known")
+    known = storage.stored(classes.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("comp"), "n", "least", *WORDS_OF_SKETCH), folder, "known")
     placed = shared.select("sig", "key").join(known.select("sig", "comp"), "sig")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    members = shared.select("sig", "key").join(mixed, "key").join(known, "sig")
-    ordered = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = storage.stored(_across(members, percent).join(ordered, ["a", "b"], "left_anti"), folder, "more")
-    if more.limit(1).count():
-        late = storage.stored(confirmed(docs, more, classes, size, percent), folder, "late")
+    members = shared.select("sig", "key").join(mixed, "key").join(known.drop("least"), "sig")
+    near = storage.stored(_across(members, percent), folder, "near")
+    if near.limit(1).count():
+        clusters = components.components(near.union(links), folder).select(F.col("node").alias("sig"), F.col("root").alias("cluster"))
+        late = storage.stored(_settled(docs, known.join(clusters, "sig"), size, percent), folder, "late")
         roots = components.components(links.union(late), folder)
     ids = classes.select("sig", "least").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     smallest = ids.groupBy("root").agg(F.min("least").alias("component_id"))
