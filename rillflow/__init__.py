@@ -1,0 +1 @@
+"""Flow-record analytics on Spark: filters, aggregators, joins, sources, sinks and alerts as DataFrame plans."""
