@@ -42,7 +42,7 @@ from . import text as tx
 
 MOST_CLASSES, STRENGTH = 1024, 1.0
 BURN_IN, SWEEPS = 4, 6
-BYTES_PER_RANGE = 32 << 20
+BYTES_PER_RANGE = 16 << 20
 #: Words whose tables are sampled for each count of rare words.
 WORDS_PER_COUNT = 4000
 END = tx.mix(np.array([0xE4D], np.uint64))[0]
@@ -94,7 +94,7 @@ def word_counts(source: DataFrame, ranges: int) -> DataFrame:
             for w, n in zip(b.column("words").to_pylist(), b.column("counts").to_pylist(), strict=True):
                 fresh.append((np.frombuffer(w, "<u8"), np.frombuffer(n, "<u4").astype(np.int64)))
                 size += len(fresh[-1][0])
-                if size > 1 << 21:
+                if size > 1 << 19:
                     held, size = fold(), 0
                     fresh.clear()
         held = fold()

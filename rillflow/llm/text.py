@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES, SLICE_ROWS = 1 << 20, 128
 U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -48,7 +48,8 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int)
     n = len(values)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(values * _powers(base, n), out=sums[1:])
+    np.multiply(values, _powers(base, n), out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
     inverse = pow(base, -1, 1 << 64)
     raw = (sums[ends] - sums[starts]) * _powers(inverse, n + 1)[starts]
     return mix(raw + (ends - starts).astype(np.uint64))
@@ -134,14 +135,15 @@ def chunked(batches: Iterable[pa.RecordBatch], columns: list[str], limit: int =
     held: list[list] = [[] for _ in columns]
     size = 0
     for batch in batches:
-        lists = [batch.column(c).to_pylist() for c in columns]
-        for row in zip(*lists, strict=True):
-            for store, value in zip(held, row, strict=True):
-                store.append(value)
-            size += len(row[0] or b"") + 64
-            if size >= limit:
-                yield held
-                held, size = [[] for _ in columns], 0
+        for at in range(0, batch.num_rows, SLICE_ROWS):  # Python objects of a few rows at a time
+            lists = [batch.column(c).slice(at, SLICE_ROWS).to_pylist() for c in columns]
+            for row in zip(*lists, strict=True):
+                for store, value in zip(held, row, strict=True):
+                    store.append(value)
+                size += len(row[0] or b"") + 64
+                if size >= limit:
+                    yield held
+                    held, size = [[] for _ in columns], 0
     if held[0]:
         yield held
 
