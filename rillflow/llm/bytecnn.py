@@ -167,6 +167,5 @@ def classified(docs: DataFrame, labels: DataFrame, folds: int = 4, out_fold: int
     """Learn ``quality`` from labelled documents outside the held-out fold; score all documents."""
     known = labels.where(F.col("quality").isin(0, 1) & (sampling.fold("doc_id", folds) != out_fold)).select("doc_id", "quality")
     share = known.agg(F.avg(F.col("quality").cast("double"))).first()[0]
-    rows = docs.select("doc_id", "text").join(known, "doc_id")
-    sample = sampling.labelled(rows, "quality", PER_LABEL, 2 * PER_LABEL, LONGEST_BYTES)
+    sample = sampling.labelled(docs.select("doc_id", "text"), known, "quality", PER_LABEL, 2 * PER_LABEL, LONGEST_BYTES)
     return scored(docs, train(sample, 0.5 if share is None else float(share)), folds, out_fold)

@@ -169,6 +169,6 @@ def predicted(docs: DataFrame, model: dict | None, folds: int = 3, out_fold: int
 
 def identified(docs: DataFrame, folds: int = 3, out_fold: int = 1) -> DataFrame:
     """Learn from the documents outside the held-out fold that have a language; predict all."""
-    learn = docs.where(sampling.fold("doc_id", folds) != out_fold).select("doc_id", "text", "lang")
-    sample = sampling.labelled(learn, "lang", PER_LANGUAGE, MOST_DOCUMENTS, LONGEST_BYTES)
+    learn = docs.where(sampling.fold("doc_id", folds) != out_fold)
+    sample = sampling.labelled(learn.select("doc_id", "text"), learn.select("doc_id", "lang"), "lang", PER_LANGUAGE, MOST_DOCUMENTS, LONGEST_BYTES)
     return predicted(docs, train(sample), folds, out_fold)
