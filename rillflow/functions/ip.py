@@ -7,6 +7,7 @@ and the order within a version is the numeric one. Version 4 comes before 6.
 from __future__ import annotations
 
 import ipaddress
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -97,32 +98,61 @@ def text(ip: Column) -> Column:
     h = F.lower(F.hex(ip))
     octets = [F.conv(F.substring(h, 2 * i + 1, 2), 16, 10) for i in range(4)]
     groups = [F.regexp_replace(F.substring(h, 4 * i + 1, 4), "^0{1,3}", "") for i in range(8)]
-    full = F.concat_ws(":", *groups)
-    short = full
-    for run in range(2, 9):  # the last test that holds is the longest run
-        pattern = rf"^(.*?)(?:^|:)0(?::0){{{run - 1}}}(?:$|:)(.*)$"
-        short = F.when(full.rlike(pattern), F.regexp_replace(full, pattern, "$1::$2")).otherwise(short)
-    return F.when(F.octet_length(ip) == 4, F.concat_ws(".", *octets)).when(F.octet_length(ip) == 16, short).otherwise(F.lit(""))
+    def shortest(full: Column) -> Column:
+        short = full
+        for run in range(2, 9):  # the last test that holds is the longest run
+            pattern = rf"^(.*?)(?:^|:)0(?::0){{{run - 1}}}(?:$|:)(.*)$"
+            short = F.when(full.rlike(pattern), F.regexp_replace(full, pattern, "$1::$2")).otherwise(short)
+        return short
+
+    # a lambda keeps the joined groups from being computed for each pattern
+    colons = _let(F.concat_ws(":", *groups), shortest)
+    return F.when(F.octet_length(ip) == 4, F.concat_ws(".", *octets)).when(F.octet_length(ip) == 16, colons).otherwise(F.lit(""))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_QUAD = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
+
+
+def _four(value: Column) -> Column:
+    return _let(F.split(value, r"\."), lambda q: F.unhex(F.concat(*[F.lpad(F.hex(F.get(q, F.lit(i)).try_cast("int")), 2, "0") for i in range(4)])))
+
+
+def _sixteen(colon: Column) -> Column:
+    """Colon form without a dotted end, of at most four digits in a group."""
+
+    def groups(part: Column) -> Column:
+        return F.filter(F.split(part, ":"), lambda x: x != "")
+
+    def joined(x: Column) -> Column:
+        gap = 8 - F.size(x["left"]) - F.size(x["right"])
+        good = F.when(x["sides"] == 2, gap >= 1).otherwise((x["sides"] == 1) & (gap == 0))
+        filled = F.concat(x["left"], F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0))), x["right"])
+        return F.when(good, F.unhex(F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), "")))
+
+    def split(sides: Column) -> Column:
+        right = F.when(F.size(sides) > 1, groups(F.get(sides, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+        return _let(F.struct(groups(F.get(sides, F.lit(0))).alias("left"), right.alias("right"), F.size(sides).alias("sides")), joined)
+
+    clean = colon.rlike(r"^[0-9A-Fa-f:]+$") & ~colon.rlike(r"[0-9A-Fa-f]{5}|:::|^:[^:]|[^:]:$")
+    return F.when(clean, _let(F.split(colon, "::"), split))
+
+
+def _dotted_end(value: Column) -> Column:
+    """``::ffff:1.2.3.4`` with its end as two groups."""
+    quad = F.regexp_extract(value, rf"({_QUAD})$", 1)
+    two = _let(F.split(quad, r"\."), lambda q: F.concat_ws(":", *[F.hex(F.get(q, F.lit(2 * i)).try_cast("int") * 256 + F.get(q, F.lit(2 * i + 1)).try_cast("int")) for i in range(2)]))
+    return F.concat(F.regexp_replace(value, rf"{_QUAD}$", ""), two)
 
 
 def parse(value: Column) -> Column:
     """Dotted or colon text to binary; null if it is neither."""
-    octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-    parts = F.split(value, r"\.")
-    v4 = F.unhex(F.concat(*[F.lpad(F.hex(F.get(parts, F.lit(i)).try_cast("int")), 2, "0") for i in range(4)]))
-    # the dotted end of a version 6 address as two groups
-    end = F.regexp_extract(value, rf"((?:{octet}\.){{3}}{octet})$", 1)
-    quad = F.split(end, r"\.")
-    two = [F.hex(F.get(quad, F.lit(2 * i)).try_cast("int") * 256 + F.get(quad, F.lit(2 * i + 1)).try_cast("int")) for i in range(2)]
-    colon = F.when(value.contains(":") & (end != ""), F.concat(F.regexp_replace(value, rf"(?:{octet}\.){{3}}{octet}$", ""), two[0], F.lit(":"), two[1])).otherwise(value)
-    sides = F.split(colon, "::")
-    left = F.filter(F.split(F.get(sides, F.lit(0)), ":"), lambda x: x != "")
-    right = F.when(F.size(sides) > 1, F.filter(F.split(F.get(sides, F.lit(1)), ":"), lambda x: x != "")).otherwise(F.array().cast("array<string>"))
-    gap = 8 - F.size(left) - F.size(right)
-    good = F.when(F.size(sides) == 2, gap >= 1).otherwise((F.size(sides) == 1) & (gap == 0))
-    filled = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0))), right)
-    v6 = F.unhex(F.array_join(F.transform(filled, lambda x: F.lpad(x, 4, "0")), ""))
-    return F.when(value.rlike(rf"^(?:{octet}\.){{3}}{octet}$"), v4).when(colon.rlike(r"^[0-9A-Fa-f:]+$") & ~colon.rlike(r"[0-9A-Fa-f]{5}|:::|^:[^:]|[^:]:$") & good, v6)
+    return F.when(value.rlike(rf"^{_QUAD}$"), _four(value)).when(value.rlike(rf":{_QUAD}$"), _let(_dotted_end(value), _sixteen)).when(value.contains(":"), _sixteen(value))
 
 
 def mac_text(mac: Column) -> Column:

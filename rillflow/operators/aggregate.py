@@ -139,7 +139,7 @@ def biflows(df: DataFrame, aggs: list[Agg], extra_keys: tuple[str, ...] = (), or
     ``name_REV``) from those against it; an aggregate with ``reverse`` equal to
     its own field takes both.
     """
-    src, dst = F.struct("SRC_IP", "SRC_PORT"), F.struct("DST_IP", "DST_PORT")
+    src, dst = (F.struct(F.col(f"{x}_IP").alias("ip"), F.col(f"{x}_PORT").alias("port")) for x in ("SRC", "DST"))
     rows = df.withColumn("_rev", src > dst).withColumn("_low", F.least(src, dst)).withColumn("_high", F.greatest(src, dst))
     lead = F.min_by("_rev", F.struct("TIME_FIRST", order)).alias("_lead")
     outs: list[Column] = [*_implicit(df), lead]
@@ -156,11 +156,8 @@ def biflows(df: DataFrame, aggs: list[Agg], extra_keys: tuple[str, ...] = (), or
     both = rows.groupBy("_low", "_high", "PROTOCOL", *extra_keys).agg(*outs)
     turn = F.col("_lead")
     pick = lambda x, y: F.when(turn, y).otherwise(x)
-    columns = [
-        pick(F.col("_low")[c1], F.col("_high")[c2]).alias(name)
-        for c1, c2, name in (("SRC_IP", "DST_IP", "SRC_IP"), ("SRC_PORT", "DST_PORT", "SRC_PORT"))
-    ]
-    columns += [pick(F.col("_high.DST_IP"), F.col("_low.SRC_IP")).alias("DST_IP"), pick(F.col("_high.DST_PORT"), F.col("_low.SRC_PORT")).alias("DST_PORT"), F.col("PROTOCOL"), *map(F.col, extra_keys)]
+    columns = [pick(F.col(f"{a}.{part}"), F.col(f"{b}.{part}")).alias(f"{side}_{part.upper()}") for side, a, b in (("SRC", "_low", "_high"), ("DST", "_high", "_low")) for part in ("ip", "port")]
+    columns += [F.col("PROTOCOL"), *map(F.col, extra_keys)]
     columns += [F.col(c) for c in ("COUNT", "TIME_FIRST", "TIME_LAST") if c in both.columns]
     for name, back in pairs:
         columns += [pick(F.col(f"{name}_f"), F.col(f"{name}_b")).alias(name), pick(F.col(f"{name}_b"), F.col(f"{name}_f")).alias(back)]

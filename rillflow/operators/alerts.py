@@ -216,7 +216,8 @@ def blacklisted(df: DataFrame, lists: DataFrame) -> DataFrame:
 
     The blacklist's category decides the roles; without an answer the partner is a target and not a source.
     """
-    rows = joins.looked_up(df, "blacklist_id", lists.withColumnRenamed("blacklist_id", "_list"), "_list", how="inner")
+    named = lists.select(c("blacklist_id").alias("_list"), "name", "category", c("source").alias("list_source"))
+    rows = joins.looked_up(df, "blacklist_id", named, "_list", how="inner")
     is_ip, answered = c("type") == "ip", c("tgt_sent_flows") > 0
     transport = _transport(c("protocol"))
     proto = F.when(transport.isNotNull(), F.array(transport))
@@ -240,7 +241,7 @@ def blacklisted(df: DataFrame, lists: DataFrame) -> DataFrame:
     what = F.when(is_ip, "IP").when(c("is_only_fqdn"), "domain name").otherwise("URL")
     text = F.when(answered, F.concat(F.lit("Suspicious communication with "), what, F.lit(" listed on "), c("name"), F.lit(" blacklist"))).otherwise("Blacklisted IP tried to communicate with host (with no response)")
     total = lambda x: F.when(is_ip, (c(f"src_sent_{x}") + c(f"tgt_sent_{x}")).cast("long"))
-    return _select(rows, _times("ts_first", "ts_last") | {"Category": F.array("category"), "Description": text, "FlowCount": total("flows"), "PacketCount": total("packets"), "ByteCount": total("bytes"), "Source": F.when(answered, F.array(source, other)).otherwise(F.array(source)), "Target": F.when(~answered, F.array(other)), "Ref": F.array(c("name")), "Node": node("blacklist", "Flow", "Blacklist", window=minutes_text(c("agg_win_minutes")))})
+    return _select(rows, _times("ts_first", "ts_last") | {"Category": F.array("category"), "Description": text, "FlowCount": total("flows"), "PacketCount": total("packets"), "ByteCount": total("bytes"), "Source": F.when(answered, F.array(source, other)).otherwise(F.array(source)), "Target": F.when(~answered, F.array(other)), "Ref": F.array("list_source"), "Node": node("blacklist", "Flow", "Blacklist", window=minutes_text(c("agg_win_minutes")))})
 
 
 def mining_pool(df: DataFrame, prefixes: list[str]) -> DataFrame:

@@ -93,19 +93,34 @@ def sparse_rows(df: DataFrame, features: list[str], label: str = "label") -> Dat
     return df.select(F.concat_ws(" ", F.col(label).cast("string"), *parts).alias("value"))
 
 
-def fit_labels(df: DataFrame, features: list[str], labels: list[str]):
-    """One linear support vector machine for each label column (0/1); a function that adds a column for each."""
-    from pyspark.ml.classification import LinearSVC
-    from pyspark.ml.feature import VectorAssembler
+def fit_labels(df: DataFrame, features: list[str], labels: list[str], steps: int = 30, rate: float = 0.5):
+    """A linear classifier with hinge loss for each label column (0/1); a function that adds ``is_LABEL`` for each.
 
-    assembler = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep")
-    rows = assembler.transform(df)
-    models = {y: LinearSVC(featuresCol="_x", labelCol=y, predictionCol=f"is_{y}", rawPredictionCol="_raw").fit(rows) for y in labels}
+    Full-batch descent: each step is one aggregate over the rows (the sums of
+    the gradient of all labels), so only a few numbers reach the driver.
+    """
+    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
+    mean = [stats[f"m{i}"] or 0.0 for i in range(len(features))]
+    spread = [stats[f"s{i}"] or 1.0 for i in range(len(features))]
+    x = [(F.col(c).cast("double") - m) / s for c, m, s in zip(features, mean, spread, strict=True)] + [F.lit(1.0)]
+    scaled = df.select(F.array(*x).alias("x"), *labels).persist()
+    weights = {y: [0.0] * len(x) for y in labels}
+
+    def margin(row: Column, w: list[float]) -> Column:
+        return sum((F.get(row, F.lit(i)) * v for i, v in enumerate(w)), F.lit(0.0))
+
+    for step in range(steps):
+        sums = []
+        for y in labels:
+            sign = F.when(F.col(y) == 1, 1.0).otherwise(-1.0)
+            wrong = sign * margin(F.col("x"), weights[y]) < 1
+            sums += [F.avg(F.when(wrong, sign * F.get(F.col("x"), F.lit(i))).otherwise(0.0)).alias(f"{y}_{i}") for i in range(len(x))]
+        g = scaled.agg(*sums).first()
+        for y in labels:
+            weights[y] = [v * (1 - 0.001 * rate) + rate / (1 + step / 10) * (g[f"{y}_{i}"] or 0.0) for i, v in enumerate(weights[y])]
+    scaled.unpersist()
 
     def apply(other: DataFrame) -> DataFrame:
-        out = assembler.transform(other)
-        for m in models.values():
-            out = m.transform(out).drop("_raw")
-        return out.drop("_x")
+        return other.withColumns({f"is_{y}": (margin(F.array(*x), w) > 0).cast("int") for y, w in weights.items()})
 
     return apply

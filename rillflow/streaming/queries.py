@@ -29,19 +29,19 @@ def receive(spark: SparkSession, path: str, schema: T.StructType, needs: str = "
 
 def windowed(df: DataFrame, keys: list[str], aggs: list[Agg], span: str, lateness: str, time: str = "TIME_LAST", slide: str | None = None) -> DataFrame:
     """Tumbling (or sliding) windows with a watermark; order-free aggregates."""
-    rows = df.withWatermark(time, lateness)
+    rows = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
     return rows.groupBy(F.window(time, span, slide) if slide else F.window(time, span), *keys).agg(F.count(F.lit(1)).alias("COUNT"), *[built(a, df.schema, order=time) for a in aggs])
 
 
 def sessions(df: DataFrame, keys: list[str], aggs: list[Agg], gap: str, lateness: str, time: str = "TIME_LAST") -> DataFrame:
     """Passive time-out: a group ends after a silence."""
-    rows = df.withWatermark(time, lateness)
+    rows = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
     return rows.groupBy(F.session_window(time, gap), *keys).agg(F.count(F.lit(1)).alias("COUNT"), *[built(a, df.schema, order=time) for a in aggs])
 
 
 def series(df: DataFrame, rules: list[Rule], step: int, delay: str) -> DataFrame:
     """Time series with a watermark as the delay; distinct counts are approximate on streams."""
-    rows = stepped(df.withWatermark("TIME_LAST", delay), step).withColumn("_w", F.timestamp_seconds("TIME").cast("timestamp_ntz"))
+    rows = stepped(df.withColumn("TIME_LAST", F.col("TIME_LAST").cast("timestamp")).withWatermark("TIME_LAST", delay), step)
     exact = [r for r in rules if r.function != "COUNT_UNIQ"]
     about = [F.approx_count_distinct(r.field).alias(r.name) for r in rules if r.function == "COUNT_UNIQ"]
     return rows.groupBy(F.window("TIME_LAST", f"{step} seconds"), "TIME").agg(*[_column(r, df, step) for r in exact], *about)
