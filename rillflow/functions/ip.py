@@ -93,11 +93,14 @@ def mask(ip: Column, v4_bits: Column | int, v6_bits: Column | int | None = None)
     return F.unhex(F.rpad(F.concat(F.substr(text, F.lit(1), whole), border), F.length(text), F.lit("0")))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text(ip: Column) -> Column:
     """Dotted or (shortest, lower case) colon form; other lengths give the empty text."""
-    h = F.lower(F.hex(ip))
-    octets = [F.conv(F.substring(h, 2 * i + 1, 2), 16, 10) for i in range(4)]
-    groups = [F.regexp_replace(F.substring(h, 4 * i + 1, 4), "^0{1,3}", "") for i in range(8)]
+
     def shortest(full: Column) -> Column:
         short = full
         for run in range(2, 9):  # the last test that holds is the longest run
@@ -105,14 +108,12 @@ def text(ip: Column) -> Column:
             short = F.when(full.rlike(pattern), F.regexp_replace(full, pattern, "$1::$2")).otherwise(short)
         return short
 
-    # a lambda keeps the joined groups from being computed for each pattern
-    colons = _let(F.concat_ws(":", *groups), shortest)
-    return F.when(F.octet_length(ip) == 4, F.concat_ws(".", *octets)).when(F.octet_length(ip) == 16, colons).otherwise(F.lit(""))
+    def written(h: Column) -> Column:
+        octets = [F.conv(F.substring(h, 2 * i + 1, 2), 16, 10) for i in range(4)]
+        groups = [F.regexp_replace(F.substring(h, 4 * i + 1, 4), "^0{1,3}", "") for i in range(8)]
+        return F.when(F.length(h) == 8, F.concat_ws(".", *octets)).when(F.length(h) == 32, _let(F.concat_ws(":", *groups), shortest)).otherwise(F.lit(""))
 
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return _let(F.lower(F.hex(ip)), written)
 
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -152,7 +153,11 @@ def _dotted_end(value: Column) -> Column:
 
 def parse(value: Column) -> Column:
     """Dotted or colon text to binary; null if it is neither."""
-    return F.when(value.rlike(rf"^{_QUAD}$"), _four(value)).when(value.rlike(rf":{_QUAD}$"), _let(_dotted_end(value), _sixteen)).when(value.contains(":"), _sixteen(value))
+
+    def parsed(v: Column) -> Column:
+        return F.when(v.rlike(rf"^{_QUAD}$"), _four(v)).when(v.rlike(rf":{_QUAD}$"), _let(_dotted_end(v), _sixteen)).when(v.contains(":"), _sixteen(v))
+
+    return _let(value, parsed)
 
 
 def mac_text(mac: Column) -> Column:
