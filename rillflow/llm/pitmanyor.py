@@ -155,12 +155,15 @@ def pair_counts(source: DataFrame, top: np.ndarray, end: int, ranges: int) -> np
     n = len(top) + 1
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
         for (texts,) in tx.chunked(batches, ["text"]):
             tokens, first = tokenised(texts)
             cls = classes_of(tokens, top)
-            pairs, k = np.unique(_contexts(cls, first, end) * n + cls, return_counts=True)
-            part = pairs * ranges // (n * n)
-            rows = [(p, tx.packed(pairs[s], "<u4"), tx.packed(k[s], "<u4")) for p, s in _pieces(pairs, part)]
+            total = np.zeros(n * n, np.int64) if total is None else total
+            total += np.bincount(_contexts(cls, first, end) * n + cls, minlength=n * n)
+        if total is not None:  # one row for each task and range
+            pairs = np.flatnonzero(total)
+            rows = [(p, tx.packed(pairs[s], "<u4"), tx.packed(total[pairs[s]], "<u4")) for p, s in _pieces(pairs, pairs * ranges // (n * n))]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["part", "pairs", "counts"])
 
     def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +288,7 @@ def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
         "top": top,
         "top_counts": np.append(top_counts, 0),
         "end": end,
-        "pairs": np.log10(fit_classes(pair_counts(source, top, end, 16))).astype(np.float32),
+        "pairs": np.log10(fit_classes(pair_counts(source, top, end, ranges))).astype(np.float32),
         "rare": fit_rare(np.array(list(rest), np.int64), np.array(list(rest.values()), np.int64)),
     }
     shared = spark.sparkContext.broadcast(model)
