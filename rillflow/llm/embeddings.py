@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import components, storage
 
 COSINE = 0.98
-#: Wanted vectors of a cell, most pivots, and most rows of a block.
+#: Wanted vectors of a cell (the largest label decides), most pivots, and most rows of a block.
 CELL_VECTORS, MOST_PIVOTS, BLOCK_VECTORS = 4096, 512, 2048
 #: Room for rounding in the choice of cells; links themselves are judged by cosine.
 SLACK = 1e-9
@@ -97,8 +97,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     folder = storage.shared_dir(spark)
     valid = storage.stored(units(vectors).withColumn("node", F.xxhash64("label", "dim", "unit")), folder, "units")
     classes = storage.stored(valid.groupBy("node").agg(F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("unit").alias("unit"), F.count(F.lit(1)).alias("many"), F.min("vec_id").alias("least")), folder, "classes")
-    total = classes.count()
-    n_pivots = min(MOST_PIVOTS, max(1, -(-total // CELL_VECTORS)))
+    largest = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
+    n_pivots = min(MOST_PIVOTS, max(1, -(-largest // CELL_VECTORS)))
     chosen: dict[int, list] = {}
     for r in classes.orderBy(F.abs("node"), "node").limit(n_pivots).select("dim", "unit").collect():
         chosen.setdefault(r["dim"], []).append(bytes(r["unit"]))
