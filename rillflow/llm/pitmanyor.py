@@ -1,26 +1,27 @@
 """Scoring texts with a hierarchical Pitman-Yor language model.
 
-Tokens are lower-cased words and one end for each text. The MOST_CLASSES - 1
-most frequent tokens are classes of their own; all other words share the class
-"rare". Each class has a restaurant for the class that follows it; these
-context restaurants share one parent restaurant, whose base is uniform. A rare
-word is then drawn from a restaurant over all rare words, whose base is uniform
-over them and one unknown word. So the probabilities of all words in a context
-sum to one, and only the rare words' counts grow with the corpus; these stay
-distributed.
+Tokens are lower-cased words and one end for each text. Each token of the
+training texts has a restaurant for the token that follows it; a text begins
+after an end. These context restaurants share one parent restaurant over all
+words, whose base is uniform over them and one unknown word. So the
+probabilities of all words in a context sum to one.
 
 Customers are all tokens of the training texts. In a Gibbs sweep all customers
 of a dish leave their restaurant and are seated anew, one after another (in
 blocks that grow with the dish once it has 64 customers): at an existing table
 with weight i - d t, at a new one with weight (strength + d tables) times the
-parent's probability. New tables are the parent's customers. Predictive
-probabilities are averaged over the sweeps after burn-in. Discounts come from
-the numbers of dishes with one and two customers.
-
-Counts are gathered in three passes over the texts: words (summed in each
-chunk, then by hash range), pairs of classes (at most MOST_CLASSES squared
-numbers), and the scores, for which each chunk asks the hash ranges for the
-counts of its rare words.
+parent's probability. New tables are the parent's customers. Discounts come
+from the numbers of dishes with one and two customers.
+
+Everything that grows with the corpus is held by hash range. One shuffle brings
+each pair (context, word), with the texts it stands in, to the range of its
+context. Since a text's contexts are its tokens (each end stands before the
+first word instead of after the last), a range also has the counts of its
+words. Two exchanges with the ranges of the next words give the parent's
+customers: at first each pair has one table, then the tables after burn-in. A
+word's parent probability depends on its number of customers only, so the
+ranges answer with that number. In the sweeps after burn-in the parent stays as
+it is; tables are averaged over them.
 
 Defined results: null and empty texts are one end token; repeated rows count
 and are scored each; with no training text every count is 0 and base_score
@@ -40,10 +41,10 @@ from pyspark.sql import functions as F
 from . import sampling, storage
 from . import text as tx
 
-MOST_CLASSES, STRENGTH = 1024, 1.0
+STRENGTH = 1.0
 BURN_IN, SWEEPS = 4, 6
-BYTES_PER_RANGE = 16 << 20
-#: Words whose tables are sampled for each count of rare words.
+BYTES_PER_RANGE, BYTES_PER_CHUNK = 16 << 20, 4 << 20
+#: Words whose tables are sampled for each count of customers.
 WORDS_PER_COUNT = 4000
 END = tx.mix(np.array([0xE4D], np.uint64))[0]
 U = np.uint64
@@ -72,115 +73,165 @@ def _pieces(values: np.ndarray, part: np.ndarray) -> Iterator[tuple[int, slice]]
         yield int(part[i]), slice(i, j)
 
 
-def word_counts(source: DataFrame, ranges: int) -> DataFrame:
-    """(part, words, counts): all training tokens with their counts, a row for each hash range."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (texts,) in tx.chunked(batches, ["text"]):
-            values, n = np.unique(tokenised(texts)[0], return_counts=True)
-            rows = [(p, tx.packed(values[s], "<u8"), tx.packed(n[s], "<u4")) for p, s in _pieces(values, part_of(values, ranges))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["part", "words", "counts"])
+def shrunk(values: np.ndarray, dtype: str, ascending: bool = False) -> bytes:
+    """Compressed numbers, byte by byte; ``ascending`` ones as steps."""
+    values = np.ascontiguousarray(np.diff(values, prepend=values.dtype.type(0)) if ascending else values, dtype)
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(values).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
 
-    def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (np.empty(0, np.uint64), np.empty(0, np.int64))
-        fresh: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
 
-        def fold():
-            values, place = np.unique(np.concatenate([held[0], *[v for v, _ in fresh]]), return_inverse=True)
-            return values, np.bincount(place, np.concatenate([held[1], *[n for _, n in fresh]]), len(values)).astype(np.int64)
+def grown(data: bytes, dtype: str, ascending: bool = False) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(dtype).itemsize
+    if not n:
+        return np.empty(0, dtype)
+    planes = np.frombuffer(pa.decompress(data[8:], n * width, "zstd", asbytes=True), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).ravel()
+    return np.cumsum(values, dtype=dtype) if ascending else values
 
-        for b in batches:
-            for w, n in zip(b.column("words").to_pylist(), b.column("counts").to_pylist(), strict=True):
-                fresh.append((np.frombuffer(w, "<u8"), np.frombuffer(n, "<u4").astype(np.int64)))
-                size += len(fresh[-1][0])
-                if size > 1 << 19:
-                    held, size = fold(), 0
-                    fresh.clear()
-        held = fold()
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([tx.packed(held[0], "<u8")]), pa.array([tx.packed(held[1], "<i8")])], ["part", "words", "counts"])
 
-    rows = source.where("train").select("text").mapInArrow(counted, "part int, words binary, counts binary")
-    return rows.groupBy("part").applyInArrow(merged, "part int, words binary, counts binary")
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[t]) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
 
 
-def overview(table: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """N, V, the most frequent tokens with their counts, and the numbers of tokens by count.
+def _lists(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """The named columns, row by row."""
+    for b in batches:
+        yield from zip(*(b.column(c).to_pylist() for c in names), strict=True)
 
-    For the driver each range gives at most MOST_CLASSES tokens and its
-    distinct counts, of which there are at most sqrt(2 N) in all.
-    """
 
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for w, n in zip(b.column("words").to_pylist(), b.column("counts").to_pylist(), strict=True):
-                words, counts = np.frombuffer(w, "<u8"), np.frombuffer(n, "<i8")
-                top = np.lexsort((words, -counts))[:MOST_CLASSES]
-                kind, many = np.unique(counts, return_counts=True)
-                data = [words[top].tobytes(), counts[top].tobytes(), tx.packed(kind, "<i8"), tx.packed(many, "<i8")]
-                yield pa.RecordBatch.from_arrays([pa.array([d]) for d in data], ["top", "top_counts", "kinds", "many"])
+ASKED = "part int, chunk long, ids array<long>, held array<boolean>, ctx binary, runs binary, dishes binary, dish binary, texts binary"
+RANGES = "part int, chunk long, ids array<long>, held array<boolean>, runs binary, dishes binary, dish binary, counts binary, asks binary, ask binary, chunks binary, texts binary, tokens long, words long, ones long, twos long"
+TOLD, HEARD = "part int, home int, dishes binary, guests binary", "part int, home int, guests binary, many binary"
 
-    words, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-    by_count: dict[int, int] = {}
-    for r in table.mapInArrow(told, "top binary, top_counts binary, kinds binary, many binary").toLocalIterator():
-        words = np.concatenate([words, np.frombuffer(r["top"], "<u8")])
-        counts = np.concatenate([counts, np.frombuffer(r["top_counts"], "<i8")])
-        best = np.lexsort((words, -counts, words != END))[: MOST_CLASSES - 1]
-        words, counts = words[best], counts[best]
-        for k, m in zip(np.frombuffer(r["kinds"], "<i8").tolist(), np.frombuffer(r["many"], "<i8").tolist(), strict=True):
-            by_count[k] = by_count.get(k, 0) + m
-    kinds = np.array(sorted(by_count), np.int64)
-    many = np.array([by_count[k] for k in kinds.tolist()], np.int64)
-    return int((kinds * many).sum()), int(many.sum()), words, counts, kinds, many
 
+def pair_ranges(source: DataFrame, ranges: int) -> DataFrame:
+    """A row for each hash range of contexts, and one for each chunk of texts with its ids (parts from ``ranges`` on).
 
-def classes_of(tokens: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """The class of each token: its place in ``top`` (ascending), or len(top) for rare ones."""
-    place = np.searchsorted(top, tokens)
-    if len(top):
-        place[(place == len(top)) | (top[np.minimum(place, len(top) - 1)] != tokens)] = len(top)
-    return place
+    A range has all pairs (context, next token), by context: ``runs`` pairs
+    each, their ``dish`` as a place in ``dishes`` and their ``counts`` in
+    training texts. Each pair stands ``asks`` times in all texts, ``ask`` gives
+    these as places in (``chunks``, ``texts``).
+    """
 
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for texts, ids, held in tx.chunked(batches, ["text", "doc_id", "held_out"], BYTES_PER_CHUNK):
+            tokens, first = tokenised(texts)
+            before = np.empty_like(tokens)
+            before[1:] = tokens[:-1]
+            before[first[:-1]] = END
+            text_of = np.repeat(np.arange(len(ids)) * 2 + ~np.array(held, bool), np.diff(first))
+            order = np.lexsort((tokens, before))
+            before, tokens, text_of = before[order], tokens[order], text_of[order]
+            yield _batch([(ranges + number % ranges, number, ids, held, None, shrunk(np.diff(first), "<u4"), None, None, None)], ASKED)
+            for p, s in _pieces(before, part_of(before, ranges)):
+                ctx, runs = np.unique(before[s], return_counts=True)
+                dishes, dish = np.unique(tokens[s], return_inverse=True)
+                yield _batch([(p, number, None, None, shrunk(ctx, "<u8", True), shrunk(runs, "<u4"), shrunk(dishes, "<u8", True), shrunk(dish, "<u4"), shrunk(text_of[s], "<u4"))], ASKED)
+            number += 1
 
-def _contexts(classes: np.ndarray, first: np.ndarray, end: int) -> np.ndarray:
-    """The class before each token; a text begins after an end."""
-    before = np.empty_like(classes)
-    before[1:] = classes[:-1]
-    before[first[:-1]] = end
-    return before
+    def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = key[0].as_py()
+        all_chunks, all_ctx, all_runs, all_dishes, all_dish, all_texts = [], [], [], [], [], []
+        for chunk, ids, held, ctx, runs, dishes, dish, texts in _lists(batches, "chunk", "ids", "held", "ctx", "runs", "dishes", "dish", "texts"):
+            if part >= ranges:
+                yield _batch([(part, chunk, ids, held, runs, *[None] * 7, 0, 0, 0, 0)], RANGES)
+                continue
+            all_chunks.append(chunk)
+            all_ctx.append(grown(ctx, "<u8", True))
+            all_runs.append(grown(runs, "<u4"))
+            all_dish.append(grown(dish, "<u4"))
+            all_dishes.append(grown(dishes, "<u8", True))
+            all_texts.append(grown(texts, "<u4"))
+        if part >= ranges:
+            return
+        ctxs, place = np.unique(np.concatenate(all_ctx), return_inverse=True)
+        key_of = np.repeat(place, np.concatenate(all_runs))
+        dishes, place = np.unique(np.concatenate(all_dishes), return_inverse=True)
+        shift = np.cumsum([0, *map(len, all_dishes[:-1])])
+        key_of = key_of * len(dishes) + place[np.concatenate([d + k for d, k in zip(all_dish, shift.tolist(), strict=True)])]
+        del all_ctx, all_runs, all_dishes, all_dish, place
+        texts = np.concatenate([t.astype(np.int64) | k << 33 for k, t in enumerate(all_texts)])  # 2 * text + train, behind the chunk
+        del all_texts
+        order = np.argsort(key_of, kind="stable")
+        key_of, texts = key_of[order], texts[order]
+        begin = np.flatnonzero(np.diff(key_of, prepend=-1))
+        asks, pairs = np.diff(begin, append=len(key_of)), key_of[begin]
+        counts = np.add.reduceat(texts & 1, begin)
+        met, ask = np.unique(texts >> 1, return_inverse=True)
+        of_ctx = pairs // len(dishes)
+        totals = np.bincount(of_ctx, counts, len(ctxs))
+        values = [shrunk(np.bincount(of_ctx, minlength=len(ctxs)), "<u4"), shrunk(dishes, "<u8", True), shrunk(pairs % len(dishes), "<u4"), shrunk(counts, "<i8"), shrunk(asks, "<u4"), shrunk(ask, "<u4")]
+        values += [shrunk(np.array(all_chunks, np.int64)[met >> 32], "<i8"), shrunk(met & 0xFFFFFFFF, "<u4")]
+        yield _batch([(part, None, None, None, *values, int(totals.sum()), int((totals > 0).sum()), int((counts == 1).sum()), int((counts == 2).sum()))], RANGES)
+
+    return source.select("text", "doc_id", "held_out").mapInArrow(asked, ASKED).groupBy("part").applyInArrow(merged, RANGES)
+
+
+def _told(part: int, dishes: np.ndarray, guests: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
+    for p, s in _pieces(dishes, part_of(dishes, ranges)):
+        yield _batch([(p, part, shrunk(dishes[s], "<u8", True), shrunk(guests[s], "<i8"))], TOLD)
+
+
+def heard(told: DataFrame) -> DataFrame:
+    """The parent's customers of each dish, told to all ranges that have it; rows of part -1 have the numbers of dishes by customers."""
 
+    def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(h, grown(d, "<u8", True), grown(g, "<i8")) for h, d, g in _lists(batches, "home", "dishes", "guests")]
+        dishes, place = np.unique(np.concatenate([d for _, d, _ in rows]), return_inverse=True)
+        guests = np.bincount(place, np.concatenate([g for _, _, g in rows]), len(dishes)).astype(np.int64)
+        here, at = key[0].as_py(), 0
+        for home, d, _ in rows:
+            yield _batch([(home, here, shrunk(guests[place[at : at + len(d)]], "<i8"), None)], HEARD)
+            at += len(d)
+        kinds, many = np.unique(guests[guests > 0], return_counts=True)
+        yield _batch([(-1, here, shrunk(kinds, "<i8"), shrunk(many, "<i8"))], HEARD)
 
-def pair_counts(source: DataFrame, top: np.ndarray, end: int, ranges: int) -> np.ndarray:
-    """Counts of (class, next class) over the training texts, as a square matrix of at most MOST_CLASSES rows."""
-    n = len(top) + 1
+    return told.groupBy("part").applyInArrow(merged, HEARD)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for (texts,) in tx.chunked(batches, ["text"]):
-            tokens, first = tokenised(texts)
-            cls = classes_of(tokens, top)
-            total = np.zeros(n * n, np.int64) if total is None else total
-            total += np.bincount(_contexts(cls, first, end) * n + cls, minlength=n * n)
-        if total is not None:  # one row for each task and range
-            pairs = np.flatnonzero(total)
-            rows = [(p, tx.packed(pairs[s], "<u4"), tx.packed(total[pairs[s]], "<u4")) for p, s in _pieces(pairs, pairs * ranges // (n * n))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["part", "pairs", "counts"])
 
-    def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = key[0].as_py()
-        low = -(-p * n * n // ranges)
-        total = np.zeros(-(-(p + 1) * n * n // ranges) - low, np.int64)
-        for b in batches:
-            for pairs, k in zip(b.column("pairs").to_pylist(), b.column("counts").to_pylist(), strict=True):
-                total[np.frombuffer(pairs, "<u4").astype(np.int64) - low] += np.frombuffer(k, "<u4")
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([tx.packed(some + low, "<u4")]), pa.array([tx.packed(total[some], "<i8")])], ["pairs", "counts"])
-
-    rows = source.where("train").select("text").mapInArrow(counted, "part int, pairs binary, counts binary")
-    out = np.zeros(n * n, np.int64)
-    for r in rows.groupBy("part").applyInArrow(merged, "pairs binary, counts binary").toLocalIterator():
-        out[np.frombuffer(r["pairs"], "<u4")] = np.frombuffer(r["counts"], "<i8")
-    return out.reshape(n, n)
+def parent_of(answers: DataFrame) -> dict[str, np.ndarray]:
+    """fit_rare of the parent's customers; of these the driver gets the distinct numbers, at most sqrt(2 N) in all."""
+    by_count: dict[int, int] = {}
+    for r in answers.where("part = -1").select("guests", "many").toLocalIterator():
+        for k, m in zip(grown(r["guests"], "<i8").tolist(), grown(r["many"], "<i8").tolist(), strict=True):
+            by_count[k] = by_count.get(k, 0) + m
+    kinds = np.array(sorted(by_count), np.int64)
+    return fit_rare(kinds, np.array([by_count[k] for k in kinds.tolist()], np.int64))
+
+
+class Seats:
+    """The context restaurants of one range, seated with the parent's probabilities as they are."""
+
+    def __init__(self, runs: bytes, dish: bytes, counts: bytes, answers: list[tuple[int, bytes]], parent: dict, d: float, seed: list[int]):
+        runs_ = grown(runs, "<u4")
+        self.n, self.dish, self.counts = len(runs_), grown(dish, "<u4"), grown(counts, "<i8")
+        self.ctx = np.repeat(np.arange(self.n), runs_)
+        guests = np.concatenate([grown(g, "<i8") for _, g in sorted(answers)])
+        self.base = 10.0 ** parent["log"][np.searchsorted(parent["counts"], guests)]
+        self.d, self.rng = d, np.random.default_rng(seed)
+        self.tables = (self.counts > 0).astype(np.float64)
+
+    def sweeps(self, times: int) -> np.ndarray:
+        """Tables of each pair, averaged over the sweeps."""
+        some = np.flatnonzero(self.counts > 1)  # one customer has one table
+        c, ctx, base = self.counts[some], self.ctx[some], self.base[self.dish[some]]
+        total = np.zeros(len(some))
+        for _ in range(times):
+            per_context = np.bincount(self.ctx, self.tables, self.n)
+            self.tables[some] = seated(c, per_context[ctx] - self.tables[some], base, self.d, self.rng)
+            total += self.tables[some]
+        mean = self.tables.copy()
+        mean[some] = total / times
+        return mean
+
+    def logs(self, mean: np.ndarray) -> np.ndarray:
+        """log10 of each pair's probability."""
+        rows = np.bincount(self.ctx, self.counts, self.n) + STRENGTH
+        free = (STRENGTH + self.d * np.bincount(self.ctx, mean, self.n)) / rows
+        return np.log10((self.counts - self.d * mean) / rows[self.ctx] + free[self.ctx] * self.base[self.dish])
 
 
 def discount(counts: np.ndarray, many: np.ndarray | None = None) -> float:
@@ -219,7 +270,10 @@ def seated(counts: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, r
 
 
 def fit_classes(pairs: np.ndarray) -> np.ndarray:
-    """Averaged predictive probabilities: row = context class, column = next class."""
+    """Averaged predictive probabilities of few words, all in memory, the parent seated in each sweep: row = context, column = next word.
+
+    Tests hold the ranges against it.
+    """
     rng = np.random.default_rng(17)
     n = len(pairs)
     context, dish = np.nonzero(pairs)
@@ -245,7 +299,7 @@ def fit_classes(pairs: np.ndarray) -> np.ndarray:
 
 
 def fit_rare(kinds: np.ndarray, many: np.ndarray) -> dict[str, np.ndarray]:
-    """log10 of a rare word's averaged probability by its count; counts[0] is 0, an unknown word's."""
+    """log10 of a word's averaged probability in the parent by its customers; counts[0] is 0, an unknown word's."""
     rng = np.random.default_rng(19)
     kinds, many = kinds[many > 0], many[many > 0]
     words, customers = int(many.sum()), float((kinds * many).sum())
@@ -273,69 +327,64 @@ def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
     folder = storage.shared_dir(spark)
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = sampling.fold("doc_id", folds) == out_fold
-    source = docs.select(F.col("text").cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), (~held).alias("train"))
+    source = docs.select(F.col("text").cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(16, size // BYTES_PER_RANGE)
-    table = storage.stored(word_counts(source, ranges), folder, "words")
-    n_all, n_kinds, top, top_counts, kinds, many = overview(table)
-    order = np.argsort(top)
-    top, top_counts = top[order], top_counts[order]
-    end = int(np.searchsorted(top, END)) if len(top) and END in top else len(top)
-    rest = dict(zip(kinds.tolist(), many.tolist(), strict=True))
-    for k in top_counts.tolist():
-        rest[k] -= 1
-    model = {
-        "top": top,
-        "top_counts": np.append(top_counts, 0),
-        "end": end,
-        "pairs": np.log10(fit_classes(pair_counts(source, top, end, ranges))).astype(np.float32),
-        "rare": fit_rare(np.array(list(rest), np.int64), np.array(list(rest.values()), np.int64)),
-    }
-    shared = spark.sparkContext.broadcast(model)
+    pairs = storage.stored(pair_ranges(source, ranges), folder, "ranges")
+    spark.sparkContext._jvm.System.gc()  # so Spark removes the files of the shuffle
+    rows = pairs.where(F.col("part") < ranges)
+    n_all, n_kinds, ones, twos = (x or 0 for x in rows.agg(*[F.sum(c) for c in ("tokens", "words", "ones", "twos")]).first())
+    d = discount(np.array([1, 2]), np.array([ones, twos]))
     norm = float(np.log10(n_all + n_kinds + 1))
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, number = shared.value, TaskContext.get().partitionId() << 32
-        for texts, ids, held_out in tx.chunked(batches, ["text", "doc_id", "held_out"]):
-            tokens, first = tokenised(texts)
-            cls = classes_of(tokens, m["top"])
-            logs = m["pairs"][_contexts(cls, first, m["end"]), cls].astype(float)
-            rare = cls == len(m["top"])
-            model_sum = np.add.reduceat(logs, first[:-1])
-            base = np.add.reduceat(np.where(rare, 0.0, np.log10(m["top_counts"][cls] + 1)), first[:-1])
-            known = np.add.reduceat((~rare).astype(np.int64), first[:-1])
-            text_of = np.repeat(np.arange(len(ids)), np.diff(first))[rare]
-            values = tokens[rare]
-            order = np.lexsort((text_of, values))
-            values, text_of = values[order], text_of[order]
-            out: list[tuple] = [(number, -1, 0, ids, held_out, None, tx.packed(np.stack([np.diff(first), known, base, model_sum], axis=1), "<f8"))]
-            if len(values):
-                out += [(number, p, 1, None, None, tx.packed(values[s], "<u8"), tx.packed(text_of[s], "<u4")) for p, s in _pieces(values, part_of(values, ranges))]
-            kinds_ = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds_)], ["chunk", "part", "kind", "ids", "held", "words", "data"])
-            number += 1
-
-    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log = shared.value["rare"]
-        at, words, counts = None, np.empty(0, np.uint64), np.empty(0, np.int64)
-        for b in batches:
-            out: list[tuple] = []
-            for chunk, part, kind, w, data in zip(*(b.column(c).to_pylist() for c in ("chunk", "part", "kind", "words", "data")), strict=True):
-                if kind == 0:
-                    at, words, counts = part, np.frombuffer(w, "<u8"), np.frombuffer(data, "<i8")
-                    continue
-                if at != part:  # a range without training words
-                    at, words, counts = part, np.empty(0, np.uint64), np.empty(0, np.int64)
-                mine, text_of = np.frombuffer(w, "<u8"), np.frombuffer(data, "<u4")
-                c = np.zeros(len(mine), np.int64)
-                if len(words):
-                    place = np.minimum(np.searchsorted(words, mine), len(words) - 1)
-                    c = np.where(words[place] == mine, counts[place], 0)
-                texts, inverse = np.unique(text_of, return_inverse=True)
-                sums = [np.bincount(inverse, v) for v in ((c > 0).astype(float), np.log10(c + 1), log["log"][np.searchsorted(log["counts"], c)])]
-                out.append((chunk, tx.packed(texts, "<u4"), tx.packed(np.stack(sums, axis=1), "<f8")))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["chunk", "texts", "data"])
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, dishes, dish, counts in _lists(batches, "part", "dishes", "dish", "counts"):
+            values = grown(dishes, "<u8", True)
+            yield from _told(part, values, np.bincount(grown(dish, "<u4"), grown(counts, "<i8") > 0, len(values)).astype(np.int64), ranges)
+
+    def with_answers(columns: list[str], answers: DataFrame) -> DataFrame:
+        own = rows.select("part", F.lit(-1).alias("home"), F.lit(None).cast("binary").alias("guests"), *columns)
+        return own.unionByName(answers.where("part >= 0").select("part", "home", "guests"), allowMissingColumns=True).groupBy("part")
+
+    def met(batches: Iterator[pa.RecordBatch], columns: list[str]) -> tuple[dict, list[tuple[int, bytes]]]:
+        own, answers = {}, []
+        for home, guests, *values in _lists(batches, "home", "guests", *columns):
+            if home < 0:
+                own = dict(zip(columns, values, strict=True))
+            else:
+                answers.append((home, guests))
+        return own, answers
+
+    first = storage.stored(heard(rows.select("part", "dishes", "dish", "counts").mapInArrow(opened, TOLD)), folder, "first")
+    parent = spark.sparkContext.broadcast(parent_of(first))
+    some = ["runs", "dishes", "dish", "counts"]
+
+    def burnt_in(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, answers = met(batches, some)
+        part = key[0].as_py()
+        seats = Seats(own["runs"], own["dish"], own["counts"], answers, parent.value, d, [17, part])
+        seats.sweeps(BURN_IN)
+        dishes = grown(own["dishes"], "<u8", True)
+        yield from _told(part, dishes, np.bincount(seats.dish, seats.tables, len(dishes)).astype(np.int64), ranges)
+
+    second = storage.stored(heard(with_answers(some, first).applyInArrow(burnt_in, TOLD)), folder, "second")
+    spark.sparkContext._jvm.System.gc()
+    last_parent = spark.sparkContext.broadcast(parent_of(second))
+    every = ["runs", "dish", "counts", "asks", "ask", "chunks", "texts"]
+
+    def answered(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, answers = met(batches, every)
+        seats = Seats(own["runs"], own["dish"], own["counts"], answers, last_parent.value, d, [23, key[0].as_py()])
+        seats.sweeps(BURN_IN)
+        logs = seats.logs(seats.sweeps(SWEEPS))
+        counts = np.bincount(seats.ctx, seats.counts, seats.n)[seats.ctx]
+        asks, ask = grown(own["asks"], "<u4"), grown(own["ask"], "<u4")
+        chunks, texts = grown(own["chunks"], "<i8"), grown(own["texts"], "<u4")
+        sums = np.stack([np.bincount(ask, np.repeat(v, asks), len(texts)) for v in ((counts > 0).astype(float), np.log10(counts + 1), logs)], axis=1)
+        order = np.argsort(chunks, kind="stable")
+        cut = np.flatnonzero(np.diff(chunks[order], prepend=-1)).tolist()
+        for i, j in zip(cut, [*cut[1:], len(order)], strict=True):
+            yield _batch([(int(chunks[order[i]]), tx.packed(texts[order[i:j]], "<u4"), tx.packed(sums[order[i:j]], "<f8"))], "chunk long, texts binary, data binary")
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
@@ -346,25 +395,20 @@ def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
             columns = [pa.array(ids, pa.int64()), pa.array(held_out, pa.bool_()), pa.array(n), pa.array(sums[:, 1].astype(np.int64)), pa.array(np.full(len(n), n_all)), pa.array(base), pa.array(own), pa.array(10.0 ** (-own / sums[:, 0]))]
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
-        for b in batches:
-            for kind, ids, held_out, texts, data in zip(*(b.column(c).to_pylist() for c in ("kind", "ids", "held", "words", "data")), strict=True):
-                if kind == 0:
-                    if at is not None:
-                        yield done(*at)
-                    at = (ids, held_out, np.frombuffer(data, "<f8").reshape(-1, 4).copy())
-                else:
-                    at[2][np.frombuffer(texts, "<u4"), 1:] += np.frombuffer(data, "<f8").reshape(-1, 3)
+        for kind, ids, held_out, texts, data in _lists(batches, "kind", "ids", "held", "texts", "data"):
+            if kind == 0:
+                if at is not None:
+                    yield done(*at)
+                n = grown(data, "<u4")
+                at = (ids, held_out, np.stack([n, *[np.zeros(len(n))] * 3], axis=1))
+            else:
+                at[2][np.frombuffer(texts, "<u4"), 1:] += np.frombuffer(data, "<f8").reshape(-1, 3)
         if at is not None:
             yield done(*at)
 
-    chunk_schema = "chunk long, part int, kind int, ids array<long>, held array<boolean>, words binary, data binary"
-    chunks = storage.stored(source.select("text", "doc_id", "held_out").mapInArrow(asked, chunk_schema), folder, "chunks")
     empty = F.lit(None)
-    tables = table.select(F.lit(-1).cast("long").alias("chunk"), "part", F.lit(0).alias("kind"), "words", F.col("counts").alias("data"))
-    questions = chunks.where("kind = 1").select("chunk", "part", "kind", "words", "data")
-    met = tables.union(questions).repartition(shuffled, "part").sortWithinPartitions("part", "kind")
-    answers = met.mapInArrow(answered, "chunk long, texts binary, data binary")
-    answers = answers.select("chunk", F.lit(1).alias("kind"), empty.cast("array<long>").alias("ids"), empty.cast("array<boolean>").alias("held"), F.col("texts").alias("words"), "data")
-    heads = chunks.where("kind = 0").select("chunk", "kind", "ids", "held", "words", "data")
-    rows = heads.union(answers).repartition(shuffled, "chunk").sortWithinPartitions("chunk", "kind")
-    return rows.mapInArrow(summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
+    answers = with_answers(every, second).applyInArrow(answered, "chunk long, texts binary, data binary")
+    answers = answers.select("chunk", F.lit(1).alias("kind"), empty.cast("array<long>").alias("ids"), empty.cast("array<boolean>").alias("held"), "texts", "data")
+    heads = pairs.where(F.col("part") >= ranges).select("chunk", F.lit(0).alias("kind"), "ids", "held", empty.cast("binary").alias("texts"), F.col("runs").alias("data"))
+    out = heads.union(answers).repartition(shuffled, "chunk").sortWithinPartitions("chunk", "kind")
+    return out.mapInArrow(summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")

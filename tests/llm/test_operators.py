@@ -366,6 +366,41 @@ def test_language_model_sums_to_one():
     assert tables[0] == 1 and (tables >= 1).all() and (tables <= [1, 5, 100000]).all()
 
 
+def test_every_pair_of_words_counts(spark):
+    r = random.Random(5)
+    names = [f"w{k}" for k in range(1400)]  # each as frequent as the others, more than a thousand
+    follow = dict(zip(names, r.sample(names, len(names)), strict=True))
+    texts = [(k, " ".join(f"{w} {follow[w]}" for w in r.sample(names, 700))) for k in range(14)]
+    held = [k for k in range(1000, 1100) if zlib.crc32(str(k).encode()) % 7 == 2][:2]
+    w = names[::10]
+    texts += [(held[0], " ".join(f"{x} {follow[x]}" for x in w)), (held[1], " ".join(f"{x} {follow[y]}" for x, y in zip(w, w[1:] + w[:1], strict=True)))]
+    out = {x["doc_id"]: x for x in pitmanyor.scored(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert out[held[0]]["held_out"] and out[held[0]]["n_known"] == out[held[1]]["n_known"] and out[held[0]]["n_tokens"] == out[held[1]]["n_tokens"]
+    assert out[held[0]]["score"] - out[held[1]]["score"] > len(w)  # before: the same class for all
+
+
+def test_seats_sum_to_one_and_follow_the_model_in_memory():
+    r = np.random.default_rng(6)
+    n = 40
+    pairs = (r.integers(0, 30, (n, n)) * (r.random((n, n)) < 0.3)).astype(np.int64)
+    pairs[0] = 0  # never met in training
+    guests = (pairs > 0).sum(axis=0)
+    kinds, many = np.unique(guests[guests > 0], return_counts=True)
+    parent = pitmanyor.fit_rare(kinds, many)
+    packed = [pitmanyor.shrunk(v, t) for v, t in ((np.full(n, n), "<u4"), (np.tile(np.arange(n), n), "<u4"), (pairs.ravel(), "<i8"))]
+    seats = pitmanyor.Seats(*packed, [(1, pitmanyor.shrunk(guests[20:], "<i8")), (0, pitmanyor.shrunk(guests[:20], "<i8"))], parent, pitmanyor.discount(pairs[pairs > 0]), [1])
+    seats.sweeps(4)
+    mean = seats.sweeps(6)
+    p = 10 ** seats.logs(mean).reshape(n, n)
+    free = (pitmanyor.STRENGTH + seats.d * mean.reshape(n, n).sum(axis=1)) / (pairs.sum(axis=1) + pitmanyor.STRENGTH)
+    unknown = 10 ** parent["log"][0]
+    assert np.allclose(p[:, guests > 0].sum(axis=1) + free * unknown, 1, atol=1e-6)
+    met = pairs > 0
+    assert abs(np.log10(p[met]) - np.log10(pitmanyor.fit_classes(pairs)[met])).mean() < 0.03
+    for values, up in ((np.array([3, 5, 2**63], np.uint64), True), (np.empty(0, np.uint64), True), (np.array([9, 1], np.uint64), False)):
+        assert (pitmanyor.grown(pitmanyor.shrunk(values, "<u8", up), "<u8", up) == values).all()
+
+
 def test_mixing(docs, rows):
     out = mixing.mixed(docs).collect()
     sizes, taken = Counter(), Counter()
