@@ -21,8 +21,8 @@ Shingles and sets are compared by 64-bit hashes.
 Defined results: null or empty texts and texts without words have no shingles,
 no links, and stay; a text with fewer words than a shingle has its whole word
 sequence as its one shingle; rows that repeat a doc_id are one document for
-``kept``; a null doc_id counts as one id that is smaller than all others; an
-empty table gives no rows.
+``kept`` (``deduplicated`` tells them apart by their texts); a null doc_id
+counts as one id that is smaller than all others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -113,11 +113,12 @@ def most_differing_bits(similarity: float) -> int:
 WORDS_OF_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 
-def features(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, sig, n_shingles; bands and sketch words where the set is new to the chunk."""
+def features(docs: DataFrame, size: int, marked: bool = False) -> DataFrame:
+    """doc_id, sig, n_shingles; bands and sketch words where the set is new to the chunk; if ``marked`` the text's hash."""
+    more = ["mark"] if marked else []
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, ids in tx.chunked(batches, ["text", "doc_id"]):
+        for texts, ids, *marks in tx.chunked(batches, ["text", "doc_id", *more]):
             sets = shingle_sets(tx.split(texts, lower=True), size)
             n = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(n)
@@ -134,10 +135,11 @@ def features(docs: DataFrame, size: int) -> DataFrame:
                     band_of[i] = k
             columns = [pa.array(ids, pa.int64()), pa.array(sig, mask=n == 0), pa.array(n), pa.array(band_of, pa.list_(pa.int64()))]
             columns += [pa.array(sketch[:, i]) for i in range(len(WORDS_OF_SKETCH))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sig", "n_shingles", "bands", *WORDS_OF_SKETCH])
+            columns += [pa.array(m, pa.int64()) for m in marks]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sig", "n_shingles", "bands", *WORDS_OF_SKETCH, *more])
 
-    source = docs.select(F.col("text").cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"))
-    return source.mapInArrow(made, "doc_id long, sig long, n_shingles long, bands array<long>, " + ", ".join(f"{s} long" for s in WORDS_OF_SKETCH))
+    source = docs.select(F.col("text").cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), *[F.xxhash64(F.col("text").cast("binary")).alias(m) for m in more])
+    return source.mapInArrow(made, "doc_id long, sig long, n_shingles long, bands array<long>, " + ", ".join(f"{s} long" for s in [*WORDS_OF_SKETCH, *more]))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -338,11 +340,11 @@ def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
     return ordered.mapInArrow(linked, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
+def _components(docs: DataFrame, size: int, percent: int, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The features of all rows, and sig, least, root of each class of equal sets."""
     spark = docs.sparkSession
     folder = storage.shared_dir(spark)
-    seen = storage.stored(features(docs, size), folder, "features")
+    seen = storage.stored(features(docs, size, marked), folder, "features")
     first = [F.first("bands", ignorenulls=True).alias("bands"), *[F.max(F.when(F.col("bands").isNotNull(), F.col(s))).alias(s) for s in WORDS_OF_SKETCH]]
     classes = seen.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), *first)
     classes = storage.stored(classes, folder, "classes")
@@ -363,6 +365,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         late = storage.stored(_settled(docs, known.join(clusters, "sig"), size, percent), folder, "late")
         roots = components.components(links.union(late), folder)
     ids = classes.select("sig", "least").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    return seen, ids
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
+    seen, ids = _components(docs, size, percent)
     smallest = ids.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = ids.join(smallest, "root").select("sig", "component_id")
     out = seen.select("doc_id", "sig", "n_shingles").join(of_class, "sig", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
@@ -371,10 +379,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each group, with all its columns."""
-    judged = near_duplicates(docs, size, percent)
-    stay = judged.where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_stay_id")).distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    rows = docs.join(stay, key == F.col("_stay_id"), "left_semi")
-    counts = judged.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.coalesce("doc_id", F.lit(NO_ID))).alias("d")).first()
-    return rows if counts["n"] == counts["d"] else rows.dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay, with all their columns: one of each group, and all without shingles.
+
+    Rows are told apart by id and text, so different texts that share an id,
+    or have none, are judged each on its own. Of a group the row with the
+    smallest id stays, null before all others.
+    """
+    seen, ids = _components(docs, size, percent, marked=True)
+    full = seen.where("sig is not null")
+    least = full.join(ids.select("sig", "root"), "sig").groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("row"))
+    stay = least.select(F.col("row.doc_id").alias("_stay_id"), F.col("row.mark").alias("_stay_mark"))
+    wordless = ~F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    key, mark = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(F.col("text").cast("binary"))
+    rows = docs.where(~wordless).withColumns({"_row_id": key, "_row_mark": mark})
+    rows = rows.join(stay, (F.col("_row_id") == F.col("_stay_id")) & (F.col("_row_mark") == F.col("_stay_mark")), "left_semi")
+    counts = full.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id", "mark").alias("d")).first()
+    if counts["n"] != counts["d"]:  # rows that repeat with their text
+        rows = rows.dropDuplicates(["_row_id", "_row_mark"])
+    return rows.select(*docs.columns).union(docs.where(wordless))

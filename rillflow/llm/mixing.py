@@ -129,17 +129,19 @@ def mixed(docs: DataFrame) -> DataFrame:
     return out.repartitionByRange(parts, F.col("position").asc_nulls_last(), "doc_id").sortWithinPartitions(F.col("position").asc_nulls_last(), "doc_id")
 
 
-def curriculum(docs: DataFrame) -> DataFrame:
+def curriculum(docs: DataFrame, whole: bool = False) -> DataFrame:
     """The mixed corpus itself: the columns of ``docs``, a row for each turn, range-sorted by position.
 
-    A document taken in part keeps its first words, joined by one space.
+    A document taken in part keeps its first words, joined by one space; if
+    ``whole``, it keeps its text as it is.
     """
     turns = F.array(*[F.struct(F.col(f"_mix_took{k}").alias("took"), F.col(f"_mix_pos{k}").alias("pos")) for k in range(MOST_TURNS)])
     rows = planned(docs).withColumn("_mix_turn", F.explode(F.filter(turns, lambda x: x["took"] > 0)))
     took, pos = F.col("_mix_turn.took"), F.col("_mix_turn.pos")
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")), F.lit(1), took.cast("int")), " ")
-    rows = rows.withColumn("text", F.when(took < F.col("_mix_size"), part).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
+    if not whole:
+        part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")), F.lit(1), took.cast("int")), " ")
+        rows = rows.withColumn("text", F.when(took < F.col("_mix_size"), part).otherwise(F.col("text")))
+    if "n_chars" in docs.columns and not whole:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.withColumn("_mix_pos", pos).repartitionByRange(parts, "_mix_pos", "doc_id").sortWithinPartitions("_mix_pos", "doc_id").select(*docs.columns)

@@ -142,6 +142,14 @@ def test_repeated_rows_and_null_ids(spark):
     assert rules.judged(df.withColumn("lang", F.lit(None).cast("string"))).count() == 5
 
 
+def test_texts_that_share_an_id_are_judged_each(spark):
+    a, b, c, d, e = ("".join(f"{x}{k} " for k in range(9)) for x in "abcde")
+    rows = [(None, a), (None, b), (None, None), (None, None), (1, c), (3, c), (3, d), (4, e), (4, e), (5, ""), (5, " ")]
+    left = minhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    expected = [(None, a), (None, b), (None, None), (None, None), (1, c), (3, d), (4, e), (5, ""), (5, " ")]
+    assert Counter((r["doc_id"], r["text"]) for r in left) == Counter(expected)
+
+
 def test_components(spark, tmp_path):
     r = random.Random(3)
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 200), (200, 150)] + [(r.randrange(300, 340), r.randrange(300, 340)) for _ in range(60)]
@@ -431,6 +439,18 @@ def test_mixing(docs, rows):
     assert got == taken
 
 
+def test_the_pipeline_mixes_whole_documents(spark, docs, rows, sf_dir):
+    import corpus_pipeline as pipeline
+
+    taken = {r["doc_id"]: (r["taken"], r["size"]) for r in mixing.mixed(docs).collect()}
+    assert any(t % max(1, n) for t, n in taken.values())  # a source's demand ends within a document
+    got = Counter()
+    for r in pipeline.mixed_sources(spark, docs, sf_dir).collect():
+        assert r["text"] == rows[r["doc_id"]][1]
+        got[r["doc_id"]] += 1
+    assert all(got[k] == math.ceil(t / n) if n else not got[k] for k, (t, n) in taken.items())
+
+
 def test_positions():
     import pyspark.sql  # noqa: F401
 
