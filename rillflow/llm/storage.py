@@ -1,8 +1,9 @@
 """Shared storage for intermediate results.
 
 Every executor and the driver must see the same files, so intermediates go
-below ``spark.checkpoint.dir``. Only where that setting is absent (unit tests
-on one machine) a temporary folder is set for the session.
+below ``spark.checkpoint.dir``. Only where that setting is absent and all runs
+in one process (unit tests) a temporary folder is set for the session; on a
+cluster that is an error.
 """
 
 from __future__ import annotations
@@ -11,6 +12,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of text for each task of a shuffle whose number of partitions AQE may not choose.
+TASK_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,6 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="rillflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/rillflow-{uuid.uuid4().hex}"
@@ -39,3 +47,12 @@ def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediates that nothing refers to any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(F.col(text_col).cast("binary")))).first()[0] or 0
+
+
+def parts_for(spark: SparkSession, size: int, per_task: int = TASK_BYTES) -> int:
+    """Shuffle partitions for ``size`` bytes: as set for the session, more where tasks would grow with the input."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // per_task))

@@ -2,11 +2,14 @@
 
 A word is a longest run of bytes other than space, tab, line feed, vertical
 tab, form feed and carriage return. Texts are handled as UTF-8 bytes, in
-chunks of a few MB, so memory is bounded by the chunk and by the longest text.
+chunks of about 1 MB; longer texts go through as segments that overlap, so
+memory is bounded by the chunk, a few bytes for each byte of the longest word,
+and what an operator keeps of a text.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -19,6 +22,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _POWERS: dict[int, np.ndarray] = {}
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C13, 0xD6E8FEB86659FD93
 
 
@@ -56,8 +60,26 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int)
 
 
 def spans_of_bytes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of raw[start:end]."""
-    return _spans(_BYTE[raw], starts, ends, BYTE_BASE)
+    """Hashes of raw[start:end], starts and ends ascending; block by block, so little is held beside the spans."""
+    n, block = len(raw), CHUNK_BYTES
+    if n <= 2 * block:
+        return _spans(_BYTE[raw], starts, ends, BYTE_BASE)
+    inverse = pow(BYTE_BASE, -1, 1 << 64)
+    left, right, down = (np.empty(len(starts), np.uint64) for _ in range(3))
+    carry, at_start, at_end = U(0), 0, 0
+    for b in range(0, n + 1, block):
+        part = raw[b : b + block]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * _powers(BYTE_BASE, len(part)), out=sums[1:], dtype=np.uint64)
+        sums = sums * U(pow(BYTE_BASE, b, 1 << 64)) + carry
+        i, j = at_start, int(np.searchsorted(starts, b + block))
+        left[i:j] = sums[starts[i:j] - b]
+        down[i:j] = _powers(inverse, block)[starts[i:j] - b] * U(pow(inverse, b, 1 << 64))
+        at_start = j
+        i, j = at_end, int(np.searchsorted(ends, b + block))
+        right[i:j] = sums[ends[i:j] - b]
+        at_end, carry = j, sums[-1]
+    return mix((right - left) * down + (ends - starts).astype(np.uint64))
 
 
 def spans_of_words(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -116,14 +138,32 @@ def split(texts: list[bytes | None], lower: bool = False) -> Words:
     return Words(raw, starts, ends, np.searchsorted(starts, offsets), offsets)
 
 
+def segments(text: bytes, overlap: int, limit: int = CHUNK_BYTES) -> Iterator[bytes]:
+    """Parts of about ``limit`` bytes; each but the first begins with the last ``overlap`` words of the one before.
+
+    So each run of ``overlap`` + 1 words lies in one part, and in no other.
+    """
+    at, size = 0, limit
+    while True:
+        gap = _GAP.search(text, at + size) if at + size < len(text) else None
+        if gap is None:
+            yield text[at:]
+            return
+        part = text[at : gap.start()]
+        head = part.rsplit(None, overlap) if overlap else [part] * 2
+        if len(head) <= overlap:  # long words
+            size += limit
+            continue
+        yield part
+        at, size = at + len(head[0]), limit
+
+
 def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each n consecutive words of one text, and the place of its first word."""
-    total = len(hashes)
     room = np.maximum(np.diff(first) - n + 1, 0)
     if not room.sum():
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     begin = np.repeat(first[:-1] - np.concatenate(([0], np.cumsum(room)[:-1])), room) + np.arange(room.sum())
-    assert begin[-1] + n <= total
     return _spans(hashes, begin, begin + n, WORD_BASE), begin
 
 

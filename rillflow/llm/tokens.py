@@ -13,8 +13,8 @@ Layout of a shard (little-endian)::
                 i64 doc_id of each document, u8 1 where the doc_id is null
     u64 block offsets from the start of the file
 
-Memory is bounded by one shard's directory (17 bytes a document) and a chunk
-of texts. Shards are written under a temporary name and renamed, so a task
+Memory is bounded by one shard's directory (17 bytes a document), a chunk of
+texts and the longest text (its characters and ids; it is encoded in slices). Shards are written under a temporary name and renamed, so a task
 that runs twice leaves one whole file.
 
 Defined results: null text is empty (only the end id); rows with the same id
@@ -47,6 +47,10 @@ BLOCK_IDS = 4096
 CACHE_PIECES = 600_000
 _MARKS = frozenset(".,;:!?")
 _LOOSE = re.compile(r" (?:\s|$)")
+#: A space that the pre-tokenizer always puts at the start of a unit, with the end of a unit before it.
+_TIGHT = re.compile(r"(?<=\S) (?=\S)")
+#: Characters of a text that are split at a time; longest piece whose ids are kept.
+SLICE_CHARS, LONGEST_KEPT = 1 << 20, 64
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -85,7 +89,7 @@ class _Pieces(dict):
             ids = self[piece[:-1]] + mark
         else:
             ids = self.whole(self.space + piece)
-        if len(self) < CACHE_PIECES:
+        if len(self) < CACHE_PIECES and len(piece) <= LONGEST_KEPT:
             self[piece] = ids
         return ids
 
@@ -99,29 +103,52 @@ def _loaded(path: str) -> tuple:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
         _TOKENIZERS[path] = (t, _Pieces(t), _Pieces(t, ""))
     return _TOKENIZERS[path]
 
 
+def _slices(text: str) -> Iterator[str]:
+    """A text in parts, cut before spaces between two units."""
+    at = 0
+    while len(text) - at > SLICE_CHARS:
+        gap = _TIGHT.search(text, at + SLICE_CHARS)
+        if gap is None:
+            break
+        yield text[at : gap.start()]
+        at = gap.start()
+    yield text[at:]
+
+
 def encode(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of each text as little-endian u32.
+    """Ids of each text as little-endian u32, those of the library for the whole text without special tokens added.
 
     The byte-level pre-tokenizer always starts a unit at a space that stands
     before a character other than white space. So a text falls into pieces
-    that are encoded alone, and equal pieces only once. A text with a space
-    before white space, or at its end, is encoded as a whole.
+    that are encoded alone, and equal pieces only once. Where a space stands
+    before white space or at the end, the text is cut only at spaces between
+    two other characters. A piece with the string of an added token goes
+    through the whole tokenizer; if such a string holds white space, whole
+    texts do.
     """
     tokenizer, pieces, heads = _loaded(path)
     get, out = pieces.__getitem__, []
+    direct = pieces.direct and not any(re.search(r"\s", t.content) or t.lstrip or t.rstrip for t in tokenizer.get_added_tokens_decoder().values())
     for t in texts:
         if not t:
             out.append(b"")
-        elif not pieces.direct or _LOOSE.search(t):
+        elif not direct:
             out.append(pieces.whole(t))
         else:
-            head, *rest = t.split(" ")
-            out.append((heads[head] if head else b"") + b"".join(map(get, rest)))
+            coded = []
+            for part in _slices(t):
+                if _LOOSE.search(part):
+                    head, *rest = _TIGHT.split(part)
+                    coded.append(pieces.whole(head))
+                else:
+                    head, *rest = part.split(" ")
+                    coded.append(heads[head] if head else b"")
+                coded += map(get, rest)
+            out.append(b"".join(coded))
     return out
 
 
@@ -244,7 +271,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
             documents, total = writer.close()
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (number, uri, documents, total)], ["number", "uri", "documents", "ids"])
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = storage.parts_for(spark, storage.text_bytes(docs, text_col))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     ranged = source.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     return sorted(tuple(r) for r in ranged.mapInArrow(write, "number long, uri string, documents long, ids long").collect())
