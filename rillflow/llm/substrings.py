@@ -5,31 +5,41 @@ windows that start at two or more places:
 
 1. Every window is sampled by its anchor, the run of ANCHOR_WORDS words in it
    with the smallest hash. Equal windows have equal anchors at equal places, so
-   the count of an anchor is never below that of its windows. Each chunk of
-   documents makes a sketch of its anchors; the chunks' sketches are merged by
-   ranges of cells to a count-min sketch, of which only "two or more" is kept.
-2. Windows whose anchor may occur twice are grouped exactly. Those that repeat
-   within a chunk are settled there and sent on once; the others are sent with
-   their place, to the range of their anchor's hash. No group is larger than
-   the number of chunks, however often a passage occurs.
-
-The sketch overestimates, so no repeated window is lost; a full sketch only
-sends more windows to the second pass. Its width follows the input up to
-MOST_CELLS, which bounds what is broadcast (a quarter of a byte for each cell).
-Windows are told apart by a 64-bit hash within a range of 64-bit anchor hashes.
+   the count of an anchor is never below that of its windows. Each partition
+   of the documents makes a sketch of its anchors, and the partitions' sketches
+   are merged, range of cells by range of cells, to one count-min sketch. A
+   range answers each partition with those of its cells that count two or more.
+2. Windows whose anchor is in such cells in all rows of the sketch are grouped
+   exactly, by ranges of their anchor's hash. Those that repeat within a batch
+   of a task are settled there and sent on once, so no group is larger than the
+   number of batches, however often a passage occurs.
+
+The sketch's width follows the input without a bound: no task and no driver
+holds all of it, since only the answers of a partition come back to it. It
+overestimates, so no repeated window is lost, and at every size only a small
+share of the others is sent to the second pass (load of a cell about 1/16).
+
+The documents are read once and kept in chunks in the shared folder. Both
+answers, by partition, are read there by the tasks that hold the chunks, so
+texts are never shuffled. Windows are told apart by a 64-bit hash within a
+range of 64-bit anchor hashes.
 
 Defined results: null and empty texts and texts shorter than a window have
 nothing removed; a repeat within one document counts; rows that repeat count
 as often as they stand there; an empty table gives no rows; all columns pass
-through, names that begin with ``_sub_`` are reserved.
+through, names that begin with ``_sub_`` are reserved. Long texts go through
+in overlapping segments.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,11 +48,13 @@ from pyspark.sql import types as T
 from . import storage
 from . import text as tx
 
-WINDOW_WORDS, ANCHOR_WORDS, DEPTH, RANGES = 35, 20, 2, 32
-MOST_CELLS, LEAST_CELLS = 1 << 27, 1 << 16
-#: Bytes of text for each cell, and for each range of the second pass.
-BYTES_PER_CELL, BYTES_PER_RANGE = 4, 8 << 20
-NO_ID = -(2**63)
+WINDOW_WORDS, ANCHOR_WORDS, DEPTH = 35, 20, 2
+#: Bytes of text for each cell of a row of the sketch, and for each range of the second pass.
+BYTES_PER_CELL, BYTES_PER_RANGE = 4, 16 << 20
+#: Bytes of text for each range of the sketch, least and most, and ranges from which on they grow.
+LEAST_RANGE, MOST_RANGE, MANY_RANGES = 64 << 20, 512 << 20, 4096
+#: Anchors and windows that a task holds before it sends them.
+HELD_ANCHORS, HELD_WINDOWS = 1 << 21, 1 << 20
 _SEEDS = np.random.default_rng(35).integers(1, 2**63, DEPTH + 1, dtype=np.uint64)
 U = np.uint64
 
@@ -62,159 +74,250 @@ def anchors(hashes: np.ndarray, begin: np.ndarray, window: int, anchor: int) ->
     return place, grams[place]
 
 
-def cells(anchor: np.ndarray, row: int, width_bits: int) -> np.ndarray:
-    return (tx.mix(anchor ^ _SEEDS[row]) >> U(64 - width_bits)).astype(np.int64)
+class Shape:
+    """Ranges of the sketch, cells of a range (as bits) and ranges of the second pass for so many bytes of text."""
 
+    def __init__(self, size: int):
+        self.ranges = max(16, min(size // LEAST_RANGE, MANY_RANGES), size // MOST_RANGE)
+        self.bits = max(10, (size // self.ranges // BYTES_PER_CELL).bit_length())
+        self.groups = max(16, size // BYTES_PER_RANGE)
 
-def _prepared(texts: list[bytes | None], window: int, anchor: int):
-    words = tx.split(texts)
-    hashes = words.hashes()
-    room = np.maximum(words.counts - window + 1, 0)
-    begin = np.repeat(words.first[:-1] - np.concatenate(([0], np.cumsum(room)[:-1])), room) + np.arange(room.sum())
-    if not len(begin):
-        return words, hashes, begin, begin, np.empty(0, np.uint64)
-    return words, hashes, begin, *anchors(hashes, begin, window, anchor)
+    def cells(self, anchor: np.ndarray, row: int) -> np.ndarray:
+        """Range (upper half) and cell (lower half) of each anchor."""
+        mixed = tx.mix(anchor ^ _SEEDS[row])
+        return ((mixed >> U(32)) * U(self.ranges) >> U(32)) << U(32) | mixed & U((1 << self.bits) - 1)
 
 
-def sketch(source: DataFrame, width_bits: int, window: int, anchor: int) -> list[np.ndarray]:
-    """For each row of the count-min sketch, the cells with a count of two or more, as bits."""
-    per = width_bits - (RANGES - 1).bit_length()
+def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[t]) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
 
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (texts,) in tx.chunked(batches, ["text"]):
-            _, _, _, place, value = _prepared(texts, window, anchor)
-            fresh = np.flatnonzero(np.diff(place, prepend=-1))
-            out: list[tuple[int, int, bytes]] = []
-            for row in range(DEPTH):
-                cell, n = np.unique(cells(value[fresh], row, width_bits), return_counts=True)
-                coded = ((cell & ((1 << per) - 1)) << 1 | (n > 1)).astype("<u4")
-                cut = np.searchsorted(cell, np.arange(RANGES + 1) << per)
-                out += [(row, k, coded[i:j].tobytes()) for k, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if i < j]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["row", "range", "cells"])
 
-    def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << per, np.uint8)
-        for b in batches:
-            for data in b.column("cells").to_pylist():
-                coded = np.frombuffer(data, "<u4")
-                at = coded >> 1
-                counts[at] = np.minimum(counts[at] + 1 + (coded & 1), 2)
-        bits = np.packbits(counts > 1, bitorder="little").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([bits], pa.binary())], ["row", "range", "bits"])
+def _lists(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(b.column(c).to_pylist() for c in names), strict=True)
+
+
+def _windows(texts: list[bytes | None], window: int, anchor: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """The windows of a chunk's texts: word hashes, starts in them, places and hashes of the anchors, first words in the chunk.
 
-    rows = source.select("text").mapInArrow(sampled, "row int, range int, cells binary").groupBy("row", "range").applyInArrow(merged, "row int, range int, bits binary")
-    out = [np.zeros(1 << width_bits >> 3, np.uint8) for _ in range(DEPTH)]
-    for r in rows.toLocalIterator():
-        out[r["row"]][(r["range"] << per) >> 3 : ((r["range"] + 1) << per) >> 3] = np.frombuffer(r["bits"], np.uint8)
-    return out
+    One item if all texts are short, else one for each segment of each text.
+    """
+    if all(not t or len(t) <= tx.CHUNK_BYTES for t in texts):
+        parts: Iterator[tuple[list, int]] = iter([(texts, 0)])
+    else:
+        parts = (([part], (window - 1) * (k > 0)) for t in texts for k, part in enumerate(tx.segments(t or b"", window - 1)))
+    base = 0
+    for own, again in parts:
+        words = tx.split(own)
+        hashes = words.hashes()
+        room = np.maximum(words.counts - window + 1, 0)
+        begin = np.repeat(words.first[:-1] - np.concatenate(([0], np.cumsum(room)[:-1])), room) + np.arange(room.sum())
+        place, value = anchors(hashes, begin, window, anchor) if len(begin) else (begin, np.empty(0, np.uint64))
+        yield hashes, begin, place, value, begin + (base - again)
+        base += len(hashes) - again
 
 
-CHUNK_SCHEMA = "chunk long, range int, hashes binary, at binary, many binary, ids array<long>, marks array<long>, first array<long>, settled binary"
+SKETCHED = "home long, number int, rows binary, row int, range int, cells binary"
 
 
-def candidates(source: DataFrame, heavy: list[np.ndarray], width_bits: int, ranges: int, window: int, anchor: int) -> DataFrame:
-    """Windows that may repeat, by range; and for each chunk a row (range -1) with its documents and what is settled."""
-    shared = source.sparkSession.sparkContext.broadcast(heavy)
+def sketched(docs: DataFrame, shape: Shape, window: int, anchor: int) -> DataFrame:
+    """Chunks of ``docs`` (home, number, rows), and the sketches of partitions by row and range (home, row, range, cells).
+
+    ``home`` is the partition that made the chunk, ``number`` counts its
+    chunks, ``rows`` has all their columns. A cell stands with a bit for
+    "more than once".
+    """
+    text_at = docs.columns.index("text")
+
+    def packed(batch: pa.RecordBatch) -> bytes:
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_batch(batch)
+        return out.getvalue().to_pybytes()
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        bits = shared.value
-        for texts, ids, marks in tx.chunked(batches, ["text", "doc_id", "mark"]):
-            words, hashes, begin, _, value = _prepared(texts, window, anchor)
-            may = np.ones(len(begin), bool)
+        home, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def sent() -> pa.RecordBatch:
+            value, out = np.concatenate(held), []
             for row in range(DEPTH):
-                cell = cells(value, row, width_bits)
-                may &= (bits[row][cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
-            at = begin[may]
-            settled = np.zeros(len(hashes), bool)
-            out: list[tuple] = []
-            if len(at):
-                grams = tx.spans_of_words(hashes, window)[at]
-                part = ((tx.mix(value[may] ^ _SEEDS[DEPTH]) >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
-                _, inverse, n = np.unique(grams, return_inverse=True, return_counts=True)
-                twice = n[inverse] > 1
-                settled[at[twice]] = True
-                order = np.argsort(part, kind="stable")
-                part, at, grams, twice = part[order], at[order], grams[order], twice[order]
-                cut = np.flatnonzero(np.diff(part, prepend=-1))
-                for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(part)], strict=True):
-                    one = ~twice[i:j]
-                    places = at[i:j][one]
-                    out.append((number, int(part[i]), tx.packed(grams[i:j][one], "<u8"), tx.packed(np.diff(places, prepend=0), "<i4"), tx.packed(np.unique(grams[i:j][~one]), "<u8"), None, None, None, None))
+                cell, n = np.unique(shape.cells(value, row), return_counts=True)
+                coded = ((cell & U(0x7FFFFFFF)) << U(1) | (n > 1)).astype("<u4")
+                part = (cell >> U(32)).astype(np.int64)
+                cut = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+                out += [(home, None, None, row, int(part[i]), coded[i:j].tobytes()) for i, j in zip(cut, [*cut[1:], len(part)], strict=True)]
+            return _rows(out, SKETCHED)
+
+        for b in batches:
+            text = b.column(text_at).cast(pa.large_binary())
+            lengths = np.diff(np.frombuffer(text.buffers()[1], "<i8", b.num_rows + 1, 8 * text.offset))
+            chunk = (np.cumsum(lengths + 64) - lengths - 64) // tx.CHUNK_BYTES
+            cut = np.flatnonzero(np.diff(chunk, prepend=-1)).tolist()
+            for i, j in zip(cut, [*cut[1:], b.num_rows], strict=True):
+                yield _rows([(home, number, packed(b.slice(i, j - i)), None, None, None)], SKETCHED)
+                number += 1
+                for _, _, place, value, _ in _windows(text.slice(i, j - i).to_pylist(), window, anchor):
+                    held.append(value[np.flatnonzero(np.diff(place, prepend=-1))])
+                    size += len(held[-1])
+                if size >= HELD_ANCHORS:
+                    yield sent()
+                    held, size = [], 0
+        if size:
+            yield sent()
+
+    return docs.mapInArrow(made, SKETCHED)
+
+
+HEAVY = "home long, row int, cells binary"
+
+
+def heavy(found: DataFrame, shape: Shape) -> DataFrame:
+    """Merge the sketches; for each partition those of its cells (range and cell) that count two or more."""
+
+    def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, part = key[0].as_py(), key[1].as_py()
+        counts = np.zeros(1 << shape.bits, np.uint8)
+        pieces = []
+        for home, data in _lists(batches, "home", "cells"):
+            coded = np.frombuffer(data, "<u4")
+            at = coded >> 1
+            counts[at] = np.minimum(counts[at] + 1 + (coded & 1).astype(np.uint8), 2)
+            pieces.append((home, data))
+        out = []
+        for home, data in pieces:
+            at = np.frombuffer(data, "<u4") >> 1
+            at = at[counts[at] > 1]
             if len(at):
-                out.append((number, -1, None, None, None, ids, marks, words.first.tolist(), np.packbits(settled).tobytes()))
-                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], [c.split()[0] for c in CHUNK_SCHEMA.split(", ")])
-            number += 1
+                out.append((home, row, tx.packed(at.astype(np.uint64) | U(part) << U(32), "<u8")))
+        for i in range(0, len(out), 1024):
+            yield _rows(out[i : i + 1024], HEAVY)
 
-    return source.mapInArrow(made, CHUNK_SCHEMA)
+    return found.where("cells is not null").select("home", "row", "range", "cells").groupBy("row", "range").applyInArrow(merged, HEAVY)
 
 
-def repeated(found: DataFrame) -> DataFrame:
-    """Exact grouping by range: (chunk, places) of the windows that also occur in another chunk."""
+def by_home(answers: DataFrame, path: str, parts: int) -> None:
+    """Write answers so that a task finds those of one partition in one folder."""
+    answers.repartition(parts, "home").write.mode("overwrite").option("compression", "zstd").partitionBy("home").parquet(path)
 
-    def grouped(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, values, places, many = [], [], [], []
-        for b in batches:
-            for chunk, h, at, m in zip(*(b.column(c).to_pylist() for c in ("chunk", "hashes", "at", "many")), strict=True):
-                chunks.append(chunk)
-                values.append(np.frombuffer(h, "<u8"))
-                places.append(np.cumsum(np.frombuffer(at, "<i4"), dtype=np.int64))
-                many.append(np.frombuffer(m, "<u8"))
-        sizes = [len(v) for v in values]
-        single = np.concatenate(values)
-        both = np.concatenate([single, *many])
-        order = np.argsort(both, kind="stable")
-        run = np.cumsum(np.diff(both[order], prepend=both[order][:1]) != 0)
-        weight = np.ones(len(both), np.int64)
-        weight[len(single) :] = 2
-        total = np.bincount(run, weight[order]) if len(run) else np.empty(0)
-        hit = np.zeros(len(both), bool)
-        hit[order] = total[run] > 1 if len(run) else False
-        out, start = [], 0
-        for chunk, n, at in zip(chunks, sizes, places, strict=True):
-            mine = at[hit[start : start + n]]
-            start += n
-            if len(mine):
-                out.append((chunk, tx.packed(mine, "<u4")))
-        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], ["chunk", "places"])
 
-    return found.where("range >= 0").select("chunk", "range", "hashes", "at", "many").groupBy("range").applyInArrow(grouped, "chunk long, places binary")
+def answers_of(path: str, home: int) -> Iterator[tuple]:
+    """The answers for one partition, row by row; none where there is no folder."""
+    store, at = fs.FileSystem.from_uri(f"{path}/home={home}")
+    if store.get_file_info(at).type == fs.FileType.Directory:
+        table = pq.read_table(at, filesystem=store, partitioning=None)
+        for batch in table.to_batches(max_chunksize=256):
+            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
-def masks(found: DataFrame, hits: DataFrame, parts: int) -> DataFrame:
-    """Per document with a repeated window: doc_id, mark, and a bit for each word at which such a window starts."""
-    empty = F.lit(None)
-    tables = found.where("range < 0").select("chunk", F.lit(0).alias("kind"), "ids", "marks", "first", F.col("settled").alias("data"))
-    answers = hits.select("chunk", F.lit(1).alias("kind"), empty.cast("array<long>"), empty.cast("array<long>"), empty.cast("array<long>"), F.col("places").alias("data"))
+CANDIDATES = "home long, range int, hashes binary, at binary, many binary"
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = None
 
-        def done():
-            if at is None:
-                return None
-            ids, marks, first, bits = at
-            starts = np.array(first)
-            total = np.concatenate(([0], np.cumsum(bits[: starts[-1]])))
-            some = np.flatnonzero(total[starts[1:]] > total[starts[:-1]]).tolist()
-            own = [np.packbits(bits[starts[i] : starts[i + 1]]).tobytes() for i in some]
-            return pa.RecordBatch.from_arrays([pa.array([ids[i] for i in some], pa.int64()), pa.array([marks[i] for i in some], pa.int64()), pa.array(own, pa.binary())], ["_sub_id", "_sub_mark", "_sub_mask"])
+def candidates(found: DataFrame, answers: str, shape: Shape, window: int, anchor: int) -> DataFrame:
+    """Windows that may repeat, by range (those found twice already in ``many``); in range -1 the places that are settled.
 
-        for b in batches:
-            for kind, ids, marks, first, data in zip(*(b.column(c).to_pylist() for c in ("kind", "ids", "marks", "first", "data")), strict=True):
-                if kind == 0:
-                    if at is not None:
-                        yield done()
-                    at = (ids, marks, first, np.unpackbits(np.frombuffer(data, np.uint8)).astype(bool))
-                else:
-                    at[3][np.frombuffer(data, "<u4")] = True
-        if at is not None:
-            yield done()
+    A place is the number of the chunk and the first word in it.
+    """
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, dense, held, size = None, [], [], 0
+
+        def sent() -> pa.RecordBatch:
+            grams, group, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, inverse, n = np.unique(grams, return_inverse=True, return_counts=True)
+            twice = n[inverse] > 1
+            out = [(at, -1, None, tx.packed(np.diff(place[twice], prepend=0), "<i8"), None)]
+            order = np.argsort(group, kind="stable")
+            grams, group, place, twice = grams[order], group[order], place[order], twice[order]
+            cut = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+            for i, j in zip(cut, [*cut[1:], len(group)], strict=True):
+                one = ~twice[i:j]
+                out.append((at, int(group[i]), tx.packed(grams[i:j][one], "<u8"), tx.packed(np.diff(place[i:j][one], prepend=0), "<i8"), tx.packed(np.unique(grams[i:j][~one]), "<u8")))
+            return _rows(out, CANDIDATES)
+
+        for home, number, rows in _lists(batches, "home", "number", "rows"):
+            if home != at:
+                if held:
+                    yield sent()
+                at, held, size = home, [], 0
+                parts: list[list[np.ndarray]] = [[] for _ in range(DEPTH)]
+                for row, cells in answers_of(answers, home):
+                    parts[row].append(np.frombuffer(cells, "<u8"))
+                dense = [np.sort(np.concatenate([np.empty(0, np.uint64), *p])) for p in parts]
+            texts = pa.ipc.open_stream(rows).read_all().column("text").cast(pa.large_binary()).to_pylist()
+            for hashes, begin, _, value, first in _windows(texts, window, anchor):
+                may = np.ones(len(begin), bool)
+                for row in range(DEPTH):
+                    cell = shape.cells(value, row)
+                    near = np.searchsorted(dense[row], cell)
+                    may &= np.append(dense[row], U(0xFFFFFFFFFFFFFFFF))[near] == cell
+                if may.any():
+                    grams = tx.spans_of_words(hashes, window)[begin[may]]
+                    group = ((tx.mix(value[may] ^ _SEEDS[DEPTH]) >> U(32)) * U(shape.groups) >> U(32)).astype(np.int64)
+                    held.append((grams, group, first[may] | number << 32))
+                    size += len(grams)
+            if size >= HELD_WINDOWS:
+                yield sent()
+                held, size = [], 0
+        if held:
+            yield sent()
+
+    return found.where("rows is not null").select("home", "number", "rows").mapInArrow(made, CANDIDATES)
 
-    rows = tables.union(answers).repartition(parts, "chunk").sortWithinPartitions("chunk", "kind")
-    return rows.mapInArrow(spread, "_sub_id long, _sub_mark long, _sub_mask binary").dropDuplicates(["_sub_id", "_sub_mark"])
+
+def repeated(found: DataFrame) -> DataFrame:
+    """Exact grouping by range: (home, places) of all windows that occur at two or more places."""
+
+    def grouped(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        homes, values, places, many = [], [], [], []
+        for home, h, at, m in _lists(batches, "home", "hashes", "at", "many"):
+            homes.append(home)
+            values.append(np.frombuffer(h, "<u8"))
+            places.append(np.cumsum(np.frombuffer(at, "<i8")))
+            many.append(np.frombuffer(m, "<u8"))
+        single = np.concatenate(values)
+        both = np.sort(np.concatenate([single, *many]))
+        # a window stands here once for each batch that has it; those of ``many`` occur twice anyway
+        twice = np.unique(np.concatenate([both[1:][both[1:] == both[:-1]], *many]))
+        near = np.searchsorted(twice, single)
+        hit = np.append(twice, U(0))[near] == single if len(twice) else np.zeros(len(single), bool)
+        hit &= near < len(twice)
+        out, start = [], 0
+        for home, at in zip(homes, places, strict=True):
+            mine = at[hit[start : start + len(at)]]
+            start += len(at)
+            if len(mine):
+                out.append((home, tx.packed(mine, "<i8")))
+        for i in range(0, len(out), 256):
+            yield _rows(out[i : i + 256], "home long, places binary")
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for home, at in _lists(batches, "home", "at"):
+            if at:
+                yield _rows([(home, tx.packed(np.cumsum(np.frombuffer(at, "<i8")), "<i8"))], "home long, places binary")
+
+    own = found.where("range < 0").select("home", "at").mapInArrow(settled, "home long, places binary")
+    return own.union(found.where("range >= 0").groupBy("range").applyInArrow(grouped, "home long, places binary"))
+
+
+def _cut(text: bytes | None, hits: np.ndarray, window: int) -> tuple[int, int, bytes]:
+    """Words, removed words and what is left of a text whose repeated windows start at ``hits``."""
+    counts, removed, kept = 0, 0, []
+    for part in tx.segments(text or b"", 0):
+        words = part.split()
+        n = len(words)
+        i, j = np.searchsorted(hits, (counts - window + 1, counts + n))
+        if i < j:
+            edge = np.zeros(n + 1, np.int64)
+            np.add.at(edge, np.maximum(hits[i:j] - counts, 0), 1)
+            np.add.at(edge, np.minimum(hits[i:j] - counts + window, n), -1)
+            words = list(compress(words, (np.cumsum(edge[:n]) == 0).tolist()))
+        counts += n
+        removed += n - len(words)
+        if words:
+            kept.append(b" ".join(words))
+    return counts, removed, b" ".join(kept)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
@@ -222,43 +325,32 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = A
     spark = docs.sparkSession
     anchor = min(anchor, window)
     folder = storage.shared_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    source = docs.select(F.col("text").cast("binary").alias("text"), key.alias("doc_id"), F.xxhash64("text").alias("mark"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    width_bits = min(MOST_CELLS, max(LEAST_CELLS, total // BYTES_PER_CELL)).bit_length() - 1
-    heavy = sketch(source, width_bits, window, anchor)
-    ranges = max(16, total // BYTES_PER_RANGE)
-    found = storage.stored(candidates(source, heavy, width_bits, ranges, window, anchor), folder, "candidates")
-    marked = masks(found, repeated(found), parts)
-    rows = docs.withColumn("_sub_key", key).withColumn("_sub_hash", F.xxhash64("text"))
-    rows = rows.join(marked, (F.col("_sub_key") == F.col("_sub_id")) & (F.col("_sub_hash") == F.col("_sub_mark")), "left").select(*docs.columns, "_sub_mask")
-    text_at = docs.columns.index("text")
+    size = storage.text_bytes(docs)
+    parts, shape = storage.parts_for(spark, size), Shape(size)
+    found = storage.stored(sketched(docs, shape, window, anchor), folder, "chunks")
+    by_home(heavy(found, shape), f"{folder}/heavy", parts)
+    may = storage.stored(candidates(found, f"{folder}/heavy", shape, window, anchor), folder, "candidates")
+    by_home(repeated(may), f"{folder}/places", parts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts, removed, kept = [], [], []
-            held = pa.RecordBatch.from_arrays([b.column(text_at).cast(pa.binary()), b.column(b.num_columns - 1)], ["text", "mask"])
-            for texts, mask in tx.chunked([held], ["text", "mask"]):
-                words = tx.split(texts)
-                bits = np.zeros(len(words.starts) + window + 1, np.int64)
-                for i, m in enumerate(mask):
-                    if m:
-                        a, n = words.first[i], words.counts[i]
-                        at = a + np.flatnonzero(np.unpackbits(np.frombuffer(m, np.uint8))[:n])
-                        bits[at] += 1
-                        bits[at + window] -= 1
-                stay = np.cumsum(bits)[: len(words.starts)] == 0
-                for i in range(len(texts)):
-                    own = stay[words.first[i] : words.first[i + 1]]
-                    counts.append(len(own))
-                    removed.append(len(own) - int(own.sum()))
-                    kept.append(words.joined(i, own if removed[-1] else None))
-            columns = [*b.columns[:-1], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*b.schema.names[:-1], "_sub_n_words", "_sub_n_removed", "_sub_kept"])
+        at, places = None, np.empty(0, np.int64)
+        for home, number, rows in _lists(batches, "home", "number", "rows"):
+            if home != at:
+                at, places = home, np.sort(np.concatenate([np.empty(0, np.int64), *[np.frombuffer(p, "<i8") for (p,) in answers_of(f"{folder}/places", home)]]))
+            i, j = np.searchsorted(places, (number << 32, (number + 1) << 32))
+            hits, base = places[i:j] & 0xFFFFFFFF, 0
+            for batch in pa.ipc.open_stream(rows):
+                out = []
+                for text in batch.column("text").cast(pa.large_binary()).to_pylist():
+                    upto = int(np.searchsorted(hits, base))
+                    out.append(_cut(text, hits[upto:] - base, window))
+                    base += out[-1][0]
+                counts, removed, kept = zip(*out, strict=True)
+                columns = [*batch.columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_sub_n_words", "_sub_n_removed", "_sub_kept"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_sub_n_words", T.LongType()), T.StructField("_sub_n_removed", T.LongType()), T.StructField("_sub_kept", T.StringType())])
-    return rows.mapInArrow(cut, schema)
+    return found.where("rows is not null").select("home", "number", "rows").mapInArrow(cut, schema)
 
 
 def cleaned(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:

@@ -33,7 +33,7 @@ def corpus(seed=1, n=60):
         if k % 5 == 0:
             base = copy
     texts += [f"{prose(8)} {shared} {prose(8)}", f"{shared}\n{prose(3)}", shared + " " + shared]
-    texts += ["", " \t\n", None, "one", "one two", "One TWO", texts[3], texts[3], "é ñ ß " * 20, "a\x0bb\x0cc", prose(6000), "x" * 50_000, "<|endoftext|> is text", "two  spaces ", "日本語 テキスト 漢字"]
+    texts += ["", " \t\n", None, "one", "one two", "One TWO", texts[3], texts[3], "é ñ ß " * 20, "a\x0bb\x0cc", prose(6000), "x" * 50_000, "<|endoftext|> is text", "x<|endoftext|>y <|endoftext|><|endoftext|>", " a  <|endoftext|> b \n", "one two <|endoftext|>", "<|endoftext", "two  spaces ", "日本語 テキスト 漢字"]
     return [(i, t, ("en", "de", None)[i % 3], ("s1", "s2", None)[i % 3], 0, "clash", i) for i, t in enumerate(texts)]
 
 
@@ -178,12 +178,52 @@ def test_repeated_windows(docs, rows):
     assert all(clean[r[0]] == r[1] for r in rows if not out[r[0]]["_sub_n_removed"])
 
 
-def test_a_full_sketch_changes_nothing(docs, monkeypatch):
-    before = sorted(map(tuple, substrings.without_repeats(docs).select("doc_id", "_sub_n_removed").collect()))
-    monkeypatch.setattr(substrings, "MOST_CELLS", 1 << 9)
-    monkeypatch.setattr(substrings, "LEAST_CELLS", 1 << 9)
-    monkeypatch.setattr(substrings, "BYTES_PER_RANGE", 1 << 12)
-    assert sorted(map(tuple, substrings.without_repeats(docs).select("doc_id", "_sub_n_removed").collect())) == before
+def kept_of(rows, size=35):
+    """Brute force: (n_words, n_removed, kept text) of each row."""
+    where = Counter()
+    for t in rows:
+        w = words(t)
+        where.update(hash(tuple(w[i : i + size])) for i in range(len(w) - size + 1))
+    out = []
+    for t in rows:
+        w = words(t)
+        gone = bytearray(len(w))
+        for i in range(len(w) - size + 1):
+            if where[hash(tuple(w[i : i + size]))] > 1:
+                gone[i : i + size] = b"\1" * size
+        out.append((len(w), sum(gone), " ".join(x for x, g in zip(w, gone, strict=True) if not g)))
+    return out
+
+
+def test_long_texts_and_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BYTES_PER_RANGE", 1 << 16)
+    monkeypatch.setattr(substrings, "HELD_WINDOWS", 500)
+    monkeypatch.setattr(substrings, "HELD_ANCHORS", 100)
+    r = random.Random(8)
+    names = ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(2000)]
+    long = r.choices(names, k=450_000)  # 2.7 MB, three segments
+    edge = len(" ".join(long)[: text.CHUNK_BYTES].split())
+    rows = [" ".join(long), " ".join(long[edge - 60 : edge + 50]), " ".join(long[100:200]), " ".join(r.choices(names, k=300)), None, " ".join(long[-40:] + long[-40:]), "x" * 1_200_000]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").coalesce(2)
+    got = {x["doc_id"]: (x["_sub_n_words"], x["_sub_n_removed"], x["_sub_kept"]) for x in substrings.without_repeats(df).collect()}
+    assert [got[i] for i in range(len(rows))] == kept_of(rows)
+
+
+@pytest.mark.parametrize("copies", [1, 16])
+def test_the_prefilter_holds_at_any_size(spark, tmp_path, copies, monkeypatch):
+    """Few windows that occur once go to the second pass, however many ranges of the sketch the input fills."""
+    monkeypatch.setattr(substrings, "LEAST_RANGE", 1 << 16)
+    r = random.Random(copies)
+    names = ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(5000)]
+    rows = [(k, " ".join(r.choice(names) for _ in range(1500))) for k in range(40 * copies)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    size = sum(len(t) for _, t in rows)
+    shape = substrings.Shape(size)
+    assert copies == 1 or shape.ranges > 16
+    found = substrings.storage.stored(substrings.sketched(df, shape, 35, 20), f"file://{tmp_path}", "chunks")
+    substrings.by_home(substrings.heavy(found, shape), f"file://{tmp_path}/heavy", 4)
+    sent = substrings.candidates(found, f"file://{tmp_path}/heavy", shape, 35, 20).where("range >= 0").agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
+    assert sent / 8 < 0.05 * len(rows) * 1466
 
 
 def test_vectors(spark, monkeypatch):
@@ -222,7 +262,9 @@ def test_bits():
 
 
 def plain_ids(rows):
-    t = tokens._loaded(tokens.default_tokenizer())[0]
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokens.default_tokenizer())
     return {r[0]: t.encode(r[1] or "", add_special_tokens=False).ids for r in rows}
 
 
