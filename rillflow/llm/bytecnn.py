@@ -13,7 +13,8 @@ label and weighted back to the labels' true shares; every text is scored whole.
 
 Defined results: a null or empty text is one chunk of zero bytes; with labels
 of one kind only, or none, every score is the share of label 1 (0.5 without
-labels); repeated rows get equal scores; other columns never enter.
+labels); repeated rows get equal scores; other columns never enter. Long texts
+are scored a number of blocks at a time, with a running sum.
 """
 
 from __future__ import annotations
@@ -33,12 +34,16 @@ BLOCK_PLACES = 64
 BLOCK_BYTES = BLOCK_PLACES * STRIDE
 PER_LABEL, LONGEST_BYTES = 1500, 16_000
 EPOCHS, BATCH, RATE = 5, 32, 0.004
-SCORED_BYTES = 1 << 19
+#: Bytes of texts that are scored together; blocks of a longer text that are.
+SCORED_BYTES, SLICE_BLOCKS = 1 << 19, 4096
 
 
 def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, each filled up with zeros to whole blocks, and each text's first block (one more at the end)."""
-    blocks = np.array([max(1, -(-len(t) // BLOCK_BYTES)) for t in texts])
+    """Bytes of all texts, each filled up with zeros to whole blocks and one more, and each text's first block (one more at the end).
+
+    The last block has zeros only, so no filter sees the bytes of the next text.
+    """
+    blocks = np.array([max(1, -(-len(t) // BLOCK_BYTES)) + 1 for t in texts])
     first = np.concatenate(([0], np.cumsum(blocks)))
     raw = np.zeros(int(first[-1]) * BLOCK_BYTES + FILTER_BYTES, np.uint8)
     for t, b in zip(texts, first[:-1].tolist(), strict=True):
@@ -61,7 +66,7 @@ def pooled(tables: np.ndarray, raw: np.ndarray, blocks: int, places: bool = Fals
 
 def chunk_rows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The two blocks of each chunk (the same one twice for a text of one block), and each text's first chunk."""
-    blocks = np.diff(first)
+    blocks = np.diff(first) - 1
     chunks = np.maximum(blocks - 1, 1)
     starts = np.concatenate(([0], np.cumsum(chunks)))
     own = np.repeat(first[:-1] - starts[:-1], chunks) + np.arange(starts[-1])
@@ -84,14 +89,29 @@ class Network:
         self.v = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.t = 0
 
+    def chunk_logits(self, top: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        x = np.maximum(np.maximum(top[left], top[right]) + self.p["bias"], 0)
+        h = np.maximum(x @ self.p["w1"] + self.p["b1"], 0)
+        return h @ self.p["w2"] + self.p["b2"]
+
     def logits(self, texts: list[bytes]) -> np.ndarray:
         raw, first = padded(texts)
-        top = pooled(self.p["tables"], raw, int(first[-1]))
         left, right, starts = chunk_rows(first)
-        x = np.maximum(np.maximum(top[left], top[right]) + self.p["bias"], 0)
-        h = np.maximum(x @ self.p["w1"] + self.p["b1"], 0)
-        z = h @ self.p["w2"] + self.p["b2"]
-        return np.add.reduceat(z, starts[:-1]) / np.diff(starts)
+        z = self.chunk_logits(pooled(self.p["tables"], raw, int(first[-1])), left, right)
+        return np.add.reduceat(z.astype(float), starts[:-1]) / np.diff(starts)
+
+    def long_logit(self, text: bytes) -> float:
+        """The same for one text, a number of blocks at a time (each time with the first of the next ones)."""
+        blocks = -(-len(text) // BLOCK_BYTES)
+        raw = np.zeros(SLICE_BLOCKS * BLOCK_BYTES + BLOCK_BYTES + FILTER_BYTES, np.uint8)
+        total = 0.0
+        for b in range(0, blocks - 1, SLICE_BLOCKS):
+            part = np.frombuffer(text, np.uint8)[b * BLOCK_BYTES : b * BLOCK_BYTES + len(raw)]
+            raw[: len(part)], raw[len(part) :] = part, 0
+            n = min(SLICE_BLOCKS, blocks - 1 - b)
+            left = np.arange(n)
+            total += float(self.chunk_logits(pooled(self.p["tables"], raw, n + 1), left, left + 1).sum(dtype=float))
+        return total / (blocks - 1)
 
     def step(self, texts: list[bytes], y: np.ndarray, weight: np.ndarray, rate: float) -> None:
         raw, first = padded(texts)
@@ -105,7 +125,7 @@ class Network:
         h = np.maximum(hidden, 0)
         z = h @ self.p["w2"] + self.p["b2"]
         chunks = np.diff(starts)
-        mean = np.add.reduceat(z, starts[:-1]) / chunks
+        mean = np.add.reduceat(z.astype(float), starts[:-1]) / chunks
         out = (1 / (1 + np.exp(-mean)) - y) * weight / weight.sum()
         dz = np.repeat(out / chunks, chunks).astype(np.float32)
         g = {"w2": h.T @ dz, "b2": dz.sum(keepdims=True)}
@@ -156,7 +176,10 @@ def scored(docs: DataFrame, model: Network | float, folds: int = 4, out_fold: in
             if network is None:
                 score = np.full(len(ids), shared.value)
             else:
-                score = 1 / (1 + np.exp(-network.logits([t or b"" for t in texts]).astype(float)))
+                long = [i for i, t in enumerate(texts) if t and len(t) > SCORED_BYTES]
+                z = network.logits([t if t and i not in long else b"" for i, t in enumerate(texts)])
+                z[long] = [network.long_logit(texts[i]) for i in long]
+                score = 1 / (1 + np.exp(-z))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held), pa.array(score), pa.array((score >= least).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     source = docs.select(F.col("text").cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), (sampling.fold("doc_id", folds) == out_fold).alias("held_out"))

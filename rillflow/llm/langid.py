@@ -31,6 +31,8 @@ from . import text as tx
 ORDERS, BUCKET_BITS, WIDTH = (2, 3, 4), 16, 16
 PER_LANGUAGE, MOST_DOCUMENTS, LONGEST_BYTES = 500, 4000, 20_000
 EPOCHS, BATCH, RATE, PRECISION = 4, 128, 4.0, 0.995
+#: Numbers (bytes of text times languages) that a prediction holds at a time.
+HELD_SCORES = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _LOWER[[9, 10, 11, 12, 13]] = 32
@@ -38,33 +40,63 @@ _LETTER = np.zeros(256, np.int64)
 _LETTER[ord("a") : ord("z") + 1] = 1
 
 
-def grams(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Buckets of the n-grams at all places by order, the texts' offsets, and the bytes. Texts have a space on both sides."""
-    raw = _LOWER[np.frombuffer(b"".join(b" " + t + b" " for t in texts), np.uint8)]
-    offsets = np.concatenate(([0], np.cumsum([len(t) + 2 for t in texts]))).astype(np.int64)
+def codes_of(raw: np.ndarray) -> list[np.ndarray]:
+    """Buckets of the n-grams at all places, by order."""
     wide = raw.astype(np.uint32)
     out, code = [], wide
     for n in range(2, max(ORDERS) + 1):
         code = (code[:-1] << np.uint32(8)) | wide[n - 1 :]
         if n in ORDERS:
             out.append((((code + np.uint32(n * 0x51ED27)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)).astype(np.int32))
-    return out, offsets, raw
+    return out
+
+
+def grams(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Buckets of the n-grams at all places by order, and the texts' offsets. Texts have a space on both sides."""
+    raw = _LOWER[np.frombuffer(b"".join(b" " + t + b" " for t in texts), np.uint8)]
+    return codes_of(raw), np.concatenate(([0], np.cumsum([len(t) + 2 for t in texts]))).astype(np.int64)
 
 
 def sums(table: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each text the sum of the table's rows over its n-grams, their number, and the number of ASCII letters."""
-    codes, offsets, raw = grams(texts)
-    total, count = np.zeros((len(texts), table.shape[1])), np.zeros(len(texts), np.int64)
-    for n, code in zip(ORDERS, codes, strict=True):
-        room = np.maximum(np.diff(offsets) - n + 1, 0)
-        some = np.flatnonzero(room)
-        if len(some):
-            edges = np.stack([offsets[some], offsets[some] + room[some]], axis=1).ravel()
-            rows = table[code]
-            rows = np.concatenate([rows, np.zeros((max(0, int(edges[-1]) + 1 - len(rows)), table.shape[1]), table.dtype)])
-            total[some] += np.add.reduceat(rows, edges, axis=0)[::2]
-            count += room
-    return total, count, np.add.reduceat(np.append(_LETTER[raw], 0), offsets[:-1])
+    """For each text the sum of the table's rows over its n-grams, their number, and the number of ASCII letters.
+
+    Texts go through in slices of bytes, each with the bytes that its last
+    n-grams need, so HELD_SCORES numbers are held, whatever the languages.
+    """
+    limit = max(256, HELD_SCORES // table.shape[1])
+    total, count, letters = np.zeros((len(texts), table.shape[1])), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    held: list[tuple[int, bytes, int]] = []
+    size = 0
+
+    def add() -> None:
+        owner, own = np.array([h[0] for h in held]), np.array([h[2] for h in held])
+        raw = _LOWER[np.frombuffer(b"".join(h[1] for h in held), np.uint8)]
+        lengths = np.array([len(h[1]) for h in held])
+        starts = np.cumsum(lengths) - lengths
+        for n, code in zip(ORDERS, codes_of(raw), strict=True):
+            room = np.maximum(np.minimum(own, lengths - n + 1), 0)
+            some = np.flatnonzero(room)
+            if len(some):
+                edges = np.stack([starts[some], starts[some] + room[some]], axis=1).ravel()
+                rows = table[code]
+                rows = np.concatenate([rows, np.zeros((max(0, int(edges[-1]) + 1 - len(rows)), table.shape[1]), table.dtype)])
+                np.add.at(total, owner[some], np.add.reduceat(rows, edges, axis=0)[::2])
+                np.add.at(count, owner, room)
+        here = np.concatenate(([0], np.cumsum(_LETTER[raw])))
+        np.add.at(letters, owner, here[starts + own] - here[starts])
+
+    for k, text in enumerate(texts):
+        text = b" " + text + b" "
+        for at in range(0, len(text), limit):
+            part = text[at : at + limit + max(ORDERS) - 1]
+            held.append((k, part, min(limit, len(text) - at)))
+            size += len(part)
+            if size >= limit:
+                add()
+                held, size = [], 0
+    if held:
+        add()
+    return total, count, letters
 
 
 def train(sample: list[tuple[bytes, str]]) -> dict | None:
@@ -89,7 +121,7 @@ def train(sample: list[tuple[bytes, str]]) -> dict | None:
     for _ in range(EPOCHS):
         for at in range(0, len(learn), BATCH):
             part = learn[at : at + BATCH]
-            codes, offsets, _ = grams([t for t, _ in part])
+            codes, offsets = grams([t for t, _ in part])
             index, owner = [], []
             for n, code in zip(ORDERS, codes, strict=True):
                 text_of = np.repeat(np.arange(len(part)), np.diff(offsets))[: len(code)]

@@ -51,8 +51,10 @@ _BAND = _rng.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) +
 U = np.uint64
 
 
-def shingle_sets(words: tx.Words, size: int) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text (lower case); long texts go segment by segment."""
+    long = [i for i, t in enumerate(texts) if t and len(t) > tx.CHUNK_BYTES]
+    words = tx.split([None if i in long else t for i, t in enumerate(texts)] if long else texts, lower=True)
     hashes, first = words.hashes(), words.first
     grams, begin = tx.windows(hashes, first, size)
     at = np.searchsorted(begin, first)
@@ -69,6 +71,14 @@ def shingle_sets(words: tx.Words, size: int) -> list[np.ndarray]:
             out.append(tx.windows(hashes[first[k] : first[k + 1]], np.array([0, n]), n)[0])
         else:
             out.append(np.empty(0, np.uint64))
+    for i in long:
+        found = []
+        for part in tx.segments(texts[i], size - 1):
+            words = tx.split([part], lower=True)
+            n = min(size, int(words.counts[0]))
+            if n:
+                found.append(np.unique(tx.windows(words.hashes(), words.first, n)[0]))
+        out[i] = np.unique(np.concatenate(found)) if found else out[i]
     return out
 
 
@@ -119,7 +129,7 @@ def features(docs: DataFrame, size: int, marked: bool = False) -> DataFrame:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, ids, *marks in tx.chunked(batches, ["text", "doc_id", *more]):
-            sets = shingle_sets(tx.split(texts, lower=True), size)
+            sets = shingle_sets(texts, size)
             n = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(n)
             sig = np.zeros(len(ids), np.int64)
@@ -159,7 +169,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
         for texts, sig, b, chunk, head in tx.chunked(batches, ["text", "sig", "b", "chunk", "head"]):
             place: dict[bytes, int] = {}
             number = [place.setdefault(t, len(place)) for t in texts]
-            own = shingle_sets(tx.split(list(place), lower=True), size)
+            own = shingle_sets(list(place), size)
             real = signatures([s if len(s) else np.zeros(1, np.uint64) for s in own]).view(np.int64)
             keep = [i for i, k in enumerate(number) if real[k] == sig[i]]
             data = [tx.packed(s, "<u8") for s in own]
@@ -296,7 +306,7 @@ def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
         for texts, *values in tx.chunked(batches, ["text", *names]):
             place: dict[bytes, int] = {}
             number = [place.setdefault(t, len(place)) for t in texts]
-            own = shingle_sets(tx.split(list(place), lower=True), size)
+            own = shingle_sets(list(place), size)
             real = signatures([s if len(s) else np.zeros(1, np.uint64) for s in own]).view(np.int64)
             keep = [i for i, k in enumerate(number) if real[k] == values[4][i]]
             data = [tx.packed(s, "<u8") for s in own]

@@ -7,10 +7,12 @@ rejected if its Jensen-Shannon distance to the nearest reference is above a
 threshold, where the text is long enough for a histogram to mean anything.
 
 Defined results: a null or empty text has no words, fails the base rules and
-is not kept; a document with a null language takes no part in the references
-and is compared with all of them; with no reference at all (empty table, no
-language known) only the base rules decide. Repeated rows count as often as
-they stand there. Other columns pass through untouched.
+is not kept; a document with a null language takes no part in the references;
+every document is compared with all of them, whatever its language; with no
+reference at all (empty table, no language known) only the base rules decide.
+Repeated rows count as often as they stand there. Columns to keep pass through
+untouched, ``accepted`` keeps all, whatever their names. Long texts go through
+in segments; 8 bytes are held for each of their words and lines.
 """
 
 from __future__ import annotations
@@ -97,16 +99,42 @@ def base_counts(words: tx.Words, texts: list[bytes | None]) -> dict[str, np.ndar
 def core_hashes(words: tx.Words) -> np.ndarray:
     """Hashes of the words in lower case, without marks at their ends."""
     raw = np.frombuffer(words.raw.tobytes().lower(), np.uint8)
-    starts, ends = words.starts.copy(), words.ends.copy()
-    for places, shift, step in ((starts, 0, 1), (ends, -1, -1)):
-        while True:
-            go = np.flatnonzero((starts < ends) & _MARK[raw[np.minimum(places + shift, len(raw) - 1)]])
-            if not len(go):
-                break
-            places[go] += step
+    plain = np.flatnonzero(~_MARK[raw])
+    first, last = np.searchsorted(plain, words.starts), np.searchsorted(plain, words.ends) - 1
+    some = first <= last  # the words that have more than marks
+    starts, ends = words.ends.copy(), words.ends.copy()
+    starts[some], ends[some] = plain[first[some]], plain[last[some]] + 1
     return tx.spans_of_bytes(raw, starts, ends)
 
 
+def long_counts(text: bytes) -> dict[str, int]:
+    """base_counts of one long text, segment by segment; eight bytes are held for each word and line."""
+    hashes, n, chars, symbols = [], 0, 0, 0
+    for part in tx.segments(text, REPEAT_WINDOW - 1):
+        words = tx.split([part])
+        hashes.append(tx.windows(words.hashes(), words.first, REPEAT_WINDOW)[0])
+    for part in tx.segments(text, 0):
+        own = base_counts(tx.split([part]), [b""])
+        n, chars, symbols = n + int(own["n_words"][0]), chars + int(own["word_chars"][0]), symbols + int(own["n_symbols"][0])
+    every = np.concatenate(hashes)
+    del hashes
+    order = np.sort(every)
+    twice = np.unique(order[1:][order[1:] == order[:-1]])
+    del order
+    near = np.searchsorted(twice, every)
+    at = np.flatnonzero(np.append(twice, every[:1])[near] == every) if len(twice) else np.empty(0, np.int64)
+    at = at[near[at] < len(twice)]
+    repeats = int(np.minimum(np.diff(at), REPEAT_WINDOW).sum()) + REPEAT_WINDOW * bool(len(at))
+    lines, begin = [np.empty(0, np.int64)], 0
+    while begin < len(text):
+        end = text.find(b"\n", begin + tx.CHUNK_BYTES)
+        end = len(text) if end < 0 else end
+        lines.append(np.array([hash(x) for x in text[begin:end].split(b"\n") if x.strip()], np.int64))
+        begin = end + 1
+    every = np.concatenate(lines)
+    return {"n_words": n, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": len(every) - len(np.unique(every)), "n_repeat_words": repeats}
+
+
 def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, dict]:
     """Per language: its common words (as hashes) with their shares, and its class shares, from all documents.
 
@@ -117,7 +145,7 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     parts = max(64, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, langs in tx.chunked(batches, ["text", "lang"]):
+        for texts, langs in (part for rows in tx.chunked(batches, ["text", "lang"]) for part in tx.cut_up(*rows)):
             words = tx.split(texts)
             classes, hashes = class_counts(words), core_hashes(words)
             names = sorted(set(langs))
@@ -203,7 +231,10 @@ SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 
 
 def judged(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, known: dict[str, dict] | None = None) -> DataFrame:
-    """The columns ``keep`` of each document, its counts, distances and the verdict."""
+    """The columns ``keep`` of each document, its counts, distances and the verdict.
+
+    Columns to keep must not have the names of the others (see ``accepted``).
+    """
     keep = ["doc_id"] if keep is None else keep
     known = references(docs, text_col=text_col) if known is None else known
     model = docs.sparkSession.sparkContext.broadcast(pickle.dumps(known))
@@ -221,14 +252,26 @@ def judged(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
                 yield b
 
         for texts, *rest in tx.chunked(typed(batches), ["text", *carried]):
-            words = tx.split(texts)
-            out = base_counts(words, texts)
-            classes, hashes = class_counts(words), core_hashes(words)
             n = len(texts)
+            long = [i for i, t in enumerate(texts) if t and len(t) > tx.CHUNK_BYTES]
+            short = [None if i in long else t for i, t in enumerate(texts)] if long else texts
+            words = tx.split(short)
+            out = base_counts(words, short)
+            classes, hashes = class_counts(words), core_hashes(words)
+            tables = [word_table(words, hashes, r["words"]) for r in refs.values()]
+            for i in long:
+                for name, value in long_counts(texts[i]).items():
+                    out[name][i] = value
+                for (part,) in tx.cut_up([texts[i]]):
+                    words = tx.split(part)
+                    classes[i] += class_counts(words).sum(axis=0)
+                    hashes = core_hashes(words)
+                    for table, r in zip(tables, refs.values(), strict=True):
+                        table[i] += word_table(words, hashes, r["words"]).sum(axis=0)
             by_class, by_word = np.full(n, np.nan), np.full(n, np.nan)
             if refs:
                 d_class = np.stack([distance(classes, r["classes"]) for r in refs.values()])
-                d_word = np.stack([distance(word_table(words, hashes, r["words"]), r["shares"]) for r in refs.values()])
+                d_word = np.stack([distance(table, r["shares"]) for table, r in zip(tables, refs.values(), strict=True)])
                 nearest = (d_class + d_word).argmin(axis=0)
                 by_class, by_word = d_class[nearest, np.arange(n)], d_word[nearest, np.arange(n)]
             failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > REPEAT_PERCENT * out["n_words"])
@@ -243,3 +286,9 @@ def judged(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     schema = ", ".join(f"{c} {f.dataType.simpleString()}" for f, c in zip(fields, carried, strict=True)) + ", " + SCHEMA
     out = source.mapInArrow(verdicts, schema)
     return out.select(*[F.col(c).alias(f.name) for f, c in zip(fields, carried, strict=True)], *[x.split()[0] for x in SCHEMA.split(", ")])
+
+
+def accepted(docs: DataFrame, known: dict[str, dict] | None = None) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    rows = docs.select("text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return judged(rows, keep=["row"], known=known).where("kept").select("row.*")

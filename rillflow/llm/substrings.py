@@ -173,7 +173,7 @@ def sketched(docs: DataFrame, shape: Shape, window: int, anchor: int) -> DataFra
 HEAVY = "home long, row int, cells binary"
 
 
-def heavy(found: DataFrame, shape: Shape) -> DataFrame:
+def heavy(found: DataFrame, shape: Shape, parts: int) -> DataFrame:
     """Merge the sketches; for each partition those of its cells (range and cell) that count two or more."""
 
     def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +194,7 @@ def heavy(found: DataFrame, shape: Shape) -> DataFrame:
         for i in range(0, len(out), 1024):
             yield _rows(out[i : i + 1024], HEAVY)
 
-    return found.where("cells is not null").select("home", "row", "range", "cells").groupBy("row", "range").applyInArrow(merged, HEAVY)
+    return found.where("cells is not null").select("home", "row", "range", "cells").repartition(parts, "row", "range").groupBy("row", "range").applyInArrow(merged, HEAVY)
 
 
 def by_home(answers: DataFrame, path: str, parts: int) -> None:
@@ -266,7 +266,7 @@ def candidates(found: DataFrame, answers: str, shape: Shape, window: int, anchor
     return found.where("rows is not null").select("home", "number", "rows").mapInArrow(made, CANDIDATES)
 
 
-def repeated(found: DataFrame) -> DataFrame:
+def repeated(found: DataFrame, parts: int) -> DataFrame:
     """Exact grouping by range: (home, places) of all windows that occur at two or more places."""
 
     def grouped(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +298,7 @@ def repeated(found: DataFrame) -> DataFrame:
                 yield _rows([(home, tx.packed(np.cumsum(np.frombuffer(at, "<i8")), "<i8"))], "home long, places binary")
 
     own = found.where("range < 0").select("home", "at").mapInArrow(settled, "home long, places binary")
-    return own.union(found.where("range >= 0").groupBy("range").applyInArrow(grouped, "home long, places binary"))
+    return own.union(found.where("range >= 0").repartition(parts, "range").groupBy("range").applyInArrow(grouped, "home long, places binary"))
 
 
 def _cut(text: bytes | None, hits: np.ndarray, window: int) -> tuple[int, int, bytes]:
@@ -328,9 +328,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = A
     size = storage.text_bytes(docs)
     parts, shape = storage.parts_for(spark, size), Shape(size)
     found = storage.stored(sketched(docs, shape, window, anchor), folder, "chunks")
-    by_home(heavy(found, shape), f"{folder}/heavy", parts)
+    by_home(heavy(found, shape, parts), f"{folder}/heavy", parts)
     may = storage.stored(candidates(found, f"{folder}/heavy", shape, window, anchor), folder, "candidates")
-    by_home(repeated(may), f"{folder}/places", parts)
+    by_home(repeated(may, parts), f"{folder}/places", parts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, places = None, np.empty(0, np.int64)

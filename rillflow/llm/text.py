@@ -188,6 +188,22 @@ def chunked(batches: Iterable[pa.RecordBatch], columns: list[str], limit: int =
         yield held
 
 
+def cut_up(texts: list[bytes | None], *columns: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[list, ...]]:
+    """Rows with long texts in segments that don't overlap, in groups of about ``limit`` bytes; other values repeat."""
+    held: tuple[list, ...] = tuple([] for _ in range(1 + len(columns)))
+    size = 0
+    for text, *values in zip(texts, *columns, strict=True):
+        for part in segments(text or b"", 0, limit):
+            for store, value in zip(held, (part, *values), strict=True):
+                store.append(value)
+            size += len(part) + 64
+            if size >= limit:
+                yield held
+                held, size = tuple([] for _ in range(1 + len(columns))), 0
+    if held[0]:
+        yield held
+
+
 def packed(values: np.ndarray, dtype: str) -> bytes:
     return np.ascontiguousarray(values, dtype).tobytes()
 

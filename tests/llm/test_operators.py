@@ -221,7 +221,7 @@ def test_the_prefilter_holds_at_any_size(spark, tmp_path, copies, monkeypatch):
     shape = substrings.Shape(size)
     assert copies == 1 or shape.ranges > 16
     found = substrings.storage.stored(substrings.sketched(df, shape, 35, 20), f"file://{tmp_path}", "chunks")
-    substrings.by_home(substrings.heavy(found, shape), f"file://{tmp_path}/heavy", 4)
+    substrings.by_home(substrings.heavy(found, shape, 4), f"file://{tmp_path}/heavy", 4)
     sent = substrings.candidates(found, f"file://{tmp_path}/heavy", shape, 35, 20).where("range >= 0").agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
     assert sent / 8 < 0.05 * len(rows) * 1466
 
@@ -335,6 +335,50 @@ def test_base_rules(docs, rows):
         assert not (failed and got["kept"])
 
 
+def test_marks_and_lines_of_long_texts(monkeypatch):
+    r = random.Random(4)
+    texts = [" ".join(r.choice(["a", "bb.", "...", "(x)", "'y'", "\n", "zz\nzz", "#%"]) for _ in range(r.randint(0, 60))) for _ in range(60)]
+    for t in texts:
+        raw = t.encode()
+        cores = [w.strip(".,;:!?\"'()") for w in words(lower(t))]
+        found = rules.core_hashes(text.split([raw]))
+        assert len({*zip(cores, found.tolist(), strict=True)}) == len(set(cores)) and len(set(found.tolist())) == len(set(cores))
+        whole = {k: int(v[0]) for k, v in rules.base_counts(text.split([raw]), [raw]).items()}
+        with monkeypatch.context() as m:
+            m.setattr(text.segments, "__defaults__", (20,))
+            m.setattr(text, "CHUNK_BYTES", 20)
+            assert rules.long_counts(raw) == whole
+
+
+def verdict(t, known):
+    """Brute force of the method's verdict: distances to the nearest reference."""
+    raw, w = (t or "").encode(), words(t)
+    kinds = [0] * len(rules.CLASSES)
+    for x in raw:
+        kinds[int(rules._CLASS[x])] += 1
+    js = lambda p, q: math.sqrt(max(0.0, sum(a * math.log2(2 * a / (a + b)) for a, b in zip(p, q, strict=True) if a) + sum(b * math.log2(2 * b / (a + b)) for a, b in zip(p, q, strict=True) if b)) / 2)
+    best = None
+    for ref in known.values():
+        common = {h: i for i, h in enumerate(ref["words"].tolist())}
+        counts = [0] * (len(common) + 1)
+        for x in w:
+            h = rules.core_hashes(text.split([x.encode()]))
+            counts[common.get(int(h[0]), len(common))] += 1
+        d = [js([x / max(1, sum(p)) for x in p], list(q)) for p, q in ((kinds, ref["classes"]), (counts, ref["shares"]))]
+        best = d if best is None or sum(d) < sum(best) else best
+    far = best is not None and ((best[0] > rules.MAX_CLASS_DISTANCE and len(raw) >= rules.MIN_CHARS_FOR_CLASSES) or (best[1] > rules.MAX_WORD_DISTANCE and len(w) >= rules.MIN_WORDS_FOR_COMMON))
+    return not far
+
+
+def test_the_verdict(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    known = rules.references(df)
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    out = rules.judged(df).collect()
+    assert all(r["kept"] == (not r["base_failed"] and verdict(texts[r["doc_id"]], known)) for r in out)
+    assert any(not r["kept"] and not r["base_failed"] for r in out)
+
+
 def test_references_and_distances(docs, rows):
     known = rules.references(docs)
     assert sorted(known) == ["de", "en"]
@@ -364,7 +408,40 @@ def test_quality_is_learned(spark, sf_dir):
     assert out.score.between(0, 1).all() and (out.predicted == (out.score >= 0.7)).all()
 
 
-def test_gradients():
+def plain_logit(net, t):
+    """The network's forward pass on one text, in plain loops."""
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    n = max(1, -(-len(t) // bytecnn.BLOCK_BYTES))
+    raw = list(t) + [0] * (n * bytecnn.BLOCK_BYTES + bytecnn.FILTER_BYTES - len(t))
+    blocks = []
+    for b in range(n):
+        act = [sum(p["tables"][j][raw[at + j]] for j in range(bytecnn.FILTER_BYTES)) for at in range(b * bytecnn.BLOCK_BYTES, (b + 1) * bytecnn.BLOCK_BYTES, bytecnn.STRIDE)]
+        blocks.append(np.max(act, axis=0))
+    chunks = [(blocks[i], blocks[i + 1]) for i in range(n - 1)] or [(blocks[0], blocks[0])]
+    out = []
+    for x, y in chunks:
+        v = np.maximum(np.maximum(x, y) + p["bias"], 0)
+        out.append(float(np.maximum(v @ p["w1"] + p["b1"], 0) @ p["w2"] + p["b2"][0]))
+    return sum(out) / len(out)
+
+
+def test_scores_are_those_of_the_network(spark, monkeypatch):
+    net = bytecnn.Network(9)
+    r = random.Random(2)
+    texts = ["".join(r.choice("abc de\n.é日") for _ in range(r.choice([0, 1, 60, 120, 128, 300, 1000]))) for _ in range(30)] + [None, "", "x" * 128, "x" * 128]
+    df = spark.createDataFrame([(i, t, "clash", 0.5) for i, t in enumerate(texts)], "doc_id long, text string, predicted string, score double")
+    out = {x["doc_id"]: x["score"] for x in bytecnn.scored(df, net).collect()}
+    for i, t in enumerate(texts):
+        z = plain_logit(net, (t or "").encode())
+        assert abs(out[i] - 1 / (1 + math.exp(-z))) < 1e-5
+    assert out[len(texts) - 1] == out[len(texts) - 2]
+    monkeypatch.setattr(bytecnn, "SLICE_BLOCKS", 2)
+    for t in texts[:30]:
+        if t and len(t.encode()) > bytecnn.BLOCK_BYTES:
+            assert abs(net.long_logit(t.encode()) - plain_logit(net, t.encode())) < 1e-4
+
+
+def test_gradients(monkeypatch):
     net = bytecnn.Network()
     texts, y, w = [b"abc def " * 40, b"%%%", b""], np.array([1.0, 0.0, 1.0], np.float32), np.array([1.0, 2.0, 0.5], np.float32)
 
@@ -372,6 +449,18 @@ def test_gradients():
         z = net.logits(texts).astype(float)
         return float((w * (np.log1p(np.exp(-z)) * y + np.log1p(np.exp(z)) * (1 - y))).sum() / w.sum())
 
+    before = {k: v.copy() for k, v in net.p.items()}
+    net.step(texts, y, w, 0.0)
+    grads = {k: v / 0.1 for k, v in net.m.items()}  # the first moment of the first step
+    for name, at in (("w2", (3,)), ("b1", (5,)), ("w1", (7, 2)), ("bias", (4,)), ("b2", (0,)), ("tables", (2, ord("c"), 9)), ("tables", (0, ord("%"), 1)), ("tables", (5, 0, 3))):
+        net.p = {k: v.astype(float) for k, v in before.items()}
+        net.p[name][at] += 1e-4
+        up = loss()
+        net.p[name][at] -= 2e-4
+        slope = (up - loss()) / 2e-4
+        own = float(grads[name][at]) - (1e-5 * float(before[name][at]) if name == "tables" else 0)
+        assert abs(slope - own) < 2e-3 * max(1, abs(slope)), (name, at, slope, own)
+    net.p = before
     first = loss()
     for _ in range(30):
         net.step(texts, y, w, 0.01)
@@ -388,6 +477,30 @@ def test_languages(spark, sf_dir):
     model = langid.train([(b"aa bb aa cc " * 9, "x"), (b"zz yy zz qq " * 9, "y")] * 150)
     df = spark.createDataFrame([(1, None), (2, ""), (3, "12 34"), (4, "zz yy qq zz"), (5, "日本")], "doc_id long, text string")
     got = {r["doc_id"]: r["lang_pred"] for r in langid.predicted(df, model).collect()}
+    texts = [b"aa bb", b"", b"a", b"zz yy " * 50, "zz é".encode()]
+    want = []
+    for t in texts:  # brute force: the average of the rows of all n-grams
+        raw = bytes(langid._LOWER[x] for x in b" " + t + b" ")
+        rows = []
+        for n in langid.ORDERS:
+            for i in range(len(raw) - n + 1):
+                code = (int.from_bytes(raw[i : i + n], "big") + n * 0x51ED27) * 0x9E3779B1 % 2**32 >> (32 - langid.BUCKET_BITS)
+                rows.append(model["scores"][code].astype(float))
+        want.append(np.mean(rows, axis=0) + model["bias"])
+    assert np.allclose(langid.raw_scores(model, texts)[0], want, atol=1e-5)
+    held_scores, langid.HELD_SCORES = langid.HELD_SCORES, 1
+    try:
+        assert np.allclose(langid.raw_scores(model, [x * 40 for x in texts])[0], np.stack([langid.raw_scores(model, [x * 40])[0][0] for x in texts]))
+        small = langid.raw_scores(model, [b"zz yy " * 500])
+        langid.HELD_SCORES = held_scores
+        assert np.allclose(langid.raw_scores(model, [b"zz yy " * 500])[0], small[0]) and langid.raw_scores(model, [b"zz yy " * 500])[1] == small[1]
+    finally:
+        langid.HELD_SCORES = held_scores
+    hard = [(7, "zz yy zz", "x", 1.0), (7, "zz yy zz", "x", 1.0), (8, "aa bb " * 30_000, "y", 0.0), (9, "?!", None, 0.0)]
+    rows_ = langid.predicted(spark.createDataFrame(hard, "doc_id long, text string, lang_pred string, score double"), model).collect()
+    assert sorted((r["doc_id"], r["lang_pred"], r["accepted"]) for r in rows_)[-1][1:] == ("und", False) and len(rows_) == 4
+    assert len({(r["lang_pred"], r["score"]) for r in rows_ if r["doc_id"] == 7}) == 1
+    assert all(r["accepted"] == (r["score"] >= model["least"]) for r in rows_ if r["doc_id"] != 9)
     assert (got[1], got[2], got[3], got[4]) == ("und", "und", "und", "y") and got[5] in ("x", "y")
 
 
