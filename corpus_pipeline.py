@@ -8,7 +8,6 @@ the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rillflow.llm import minhash, mixing, packing, rules, storage, substrings
 
@@ -18,7 +17,7 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return rules.judged(docs, keep=docs.columns).where(F.col("kept")).select(*docs.columns)
+    return rules.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
