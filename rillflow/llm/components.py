@@ -14,31 +14,59 @@ from pyspark.sql import functions as F
 
 from . import storage
 
+#: Rows of one key that one task meets at least; most keys that are listed as hot.
+HOT_ROWS, LISTED = 1024, 100_000
+
+
+def met(rows: DataFrame, per_key: DataFrame, key: str, most: int, total: int) -> DataFrame:
+    """``rows`` joined to one row for each key (with its number ``n`` of rows); a hot key is met in several tasks.
+
+    ``most`` is the largest n. Keys above the bound are listed: as the bound is
+    at least ``total`` / LISTED, they are at most LISTED. Their rows are dealt
+    by salt, and their row of ``per_key`` is copied to each salt.
+    """
+    bound = max(HOT_ROWS, -(-total // LISTED))
+    if most <= bound:
+        return rows.join(per_key, key).drop("n")
+    hot = per_key.where(F.col("n") > bound).select(key, F.ceil(F.col("n") / bound).cast("int").alias("_chunks"))
+    hot = F.broadcast(rows.sparkSession.createDataFrame(hot.collect(), hot.schema))
+    others = [c for c in rows.columns if c != key]
+    dealt = rows.join(hot, key, "left").withColumn("_salt", F.when(F.col("_chunks").isNotNull(), F.pmod(F.xxhash64(*others), F.col("_chunks"))).otherwise(0).cast("int")).drop("_chunks")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_chunks", F.lit(1)) - 1))
+    copied = per_key.join(hot, key, "left").withColumn("_salt", copies).drop("_chunks", "n")
+    return dealt.join(copied, [key, "_salt"]).drop("_salt")
+
 
 def components(links: DataFrame, folder: str) -> DataFrame:
     """(node, root) for each node of ``links`` (columns a and b, long); root is the smallest node of its component.
 
     Links from a node to itself and repeated links change nothing. Nodes
-    without a link aren't in the result.
+    without a link aren't in the result. A node with very many links, like the
+    centre of a large star, is met in several tasks.
     """
     spark, folder = links.sparkSession, f"{folder}/components-{uuid.uuid4().hex}"
     now = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now, mark, step = storage.stored(now, folder, "links-0"), None, 0
+    now, step = storage.stored(now, folder, "links-0"), 0
+
+    def measured(df: DataFrame):
+        per = df.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"))
+        return per.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("n").alias("most")).first()
+
+    seen = measured(now)
     while True:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.join(least, both.a == least.u).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = met(both, least, "a", seen["most"] or 0, 2 * (seen["n"] or 0)).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(smallest.withColumnRenamed("a", "u"), F.col("a") == F.col("u"))
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(smallest.select("a", F.col("m").alias("b")))
         step += 1
         after = storage.stored(small.distinct(), folder, f"links-{step}")
-        seen = after.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        mark, seen = (seen["n"], seen["s"]), measured(after)
         storage.removed(spark, f"{folder}/links-{step - 1}")
         now = after
         if (seen["n"], seen["s"]) == mark:
             break
-        mark = (seen["n"], seen["s"])
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 

@@ -16,7 +16,10 @@ confirmed on their full sets.
 
 With the threshold t, bands of r rows miss a pair with probability
 (1 - t**r)**bands: 32 bands of 4 rows miss 6e-11 at 0.85 and 5e-8 at 0.8.
-Shingles and sets are compared by 64-bit hashes.
+Shingles are compared by 64-bit hashes, and sets by all of these. Classes of
+equal sets are told apart by 128 bits (two independent sums over the hashes).
+A band key or a component's centre with very many members is met in several
+tasks. Of a long text, eight bytes are held for each shingle.
 
 Defined results: null or empty texts and texts without words have no shingles,
 no links, and stay; a text with fewer words than a shingle has its whole word
@@ -49,6 +52,7 @@ _FACTOR = _rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.
 _SHIFT = _rng.integers(0, 2**32, SAMPLES, dtype=np.uint32)
 _BAND = _rng.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 U = np.uint64
+_SALTS = (U(0xA5A5A5A5A5A5A5A5), U(0x3C6EF372FE94F82B))
 
 
 def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
@@ -83,10 +87,11 @@ def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One 64-bit value for each non-empty set, the same for equal sets."""
+    """Two independent 64-bit values (rows) for each non-empty set, the same for equal sets."""
     sizes = np.array([len(s) for s in sets])
     starts = np.cumsum(sizes) - sizes
-    return tx.mix(np.add.reduceat(tx.mix(np.concatenate(sets) ^ U(0xA5A5A5A5A5A5A5A5)), starts) + sizes.astype(np.uint64))
+    values = np.concatenate(sets)
+    return np.stack([tx.mix(np.add.reduceat(tx.mix(values ^ salt), starts) + sizes.astype(np.uint64)) for salt in _SALTS])
 
 
 def samples(sets: list[np.ndarray]) -> np.ndarray:
@@ -124,7 +129,7 @@ WORDS_OF_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 
 def features(docs: DataFrame, size: int, marked: bool = False) -> DataFrame:
-    """doc_id, sig, n_shingles; bands and sketch words where the set is new to the chunk; if ``marked`` the text's hash."""
+    """doc_id, h1, h2 (the set's 128 bits), n_shingles; bands and sketch words where the set is new to the chunk; if ``marked`` the text's hash."""
     more = ["mark"] if marked else []
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,27 +137,27 @@ def features(docs: DataFrame, size: int, marked: bool = False) -> DataFrame:
             sets = shingle_sets(texts, size)
             n = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(n)
-            sig = np.zeros(len(ids), np.int64)
+            sig = np.zeros((2, len(ids)), np.int64)
             band_of: list = [None] * len(ids)
             sketch = np.zeros((len(ids), len(WORDS_OF_SKETCH)), np.int64)
             if len(full):
-                sig[full] = signatures([sets[i] for i in full]).view(np.int64)
-                new = full[np.unique(sig[full], return_index=True)[1]]
+                sig[:, full] = signatures([sets[i] for i in full]).view(np.int64)
+                new = full[np.unique(sig[:, full], axis=1, return_index=True)[1]]
                 mins = samples([sets[i] for i in new])
                 keys = bands(mins).view(np.int64)
                 sketch[new] = odd_sketches(mins).view(np.int64)
                 for i, k in zip(new.tolist(), keys, strict=True):
                     band_of[i] = k
-            columns = [pa.array(ids, pa.int64()), pa.array(sig, mask=n == 0), pa.array(n), pa.array(band_of, pa.list_(pa.int64()))]
+            columns = [pa.array(ids, pa.int64()), pa.array(sig[0], mask=n == 0), pa.array(sig[1], mask=n == 0), pa.array(n), pa.array(band_of, pa.list_(pa.int64()))]
             columns += [pa.array(sketch[:, i]) for i in range(len(WORDS_OF_SKETCH))]
             columns += [pa.array(m, pa.int64()) for m in marks]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sig", "n_shingles", "bands", *WORDS_OF_SKETCH, *more])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "n_shingles", "bands", *WORDS_OF_SKETCH, *more])
 
     source = docs.select(F.col("text").cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), *[F.xxhash64(F.col("text").cast("binary")).alias(m) for m in more])
-    return source.mapInArrow(made, "doc_id long, sig long, n_shingles long, bands array<long>, " + ", ".join(f"{s} long" for s in [*WORDS_OF_SKETCH, *more]))
+    return source.mapInArrow(made, "doc_id long, h1 long, h2 long, n_shingles long, bands array<long>, " + ", ".join(f"{s} long" for s in [*WORDS_OF_SKETCH, *more]))
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
     """Those of the pairs (a, b) whose sets meet 100 * intersection >= percent * union.
 
     Partners of one b are dealt to chunks, each with a copy of b's set, so no
@@ -162,16 +167,16 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
     degree = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CHUNK_MEMBERS).cast("int").alias("chunks"))
     member = pairs.join(degree, "b").select(F.col("a").alias("sig"), "b", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("head"))
     heads = degree.select(F.col("b").alias("sig"), "b", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("head"))
-    wanted = member.union(heads).join(classes.select("sig", "least"), "sig")
+    wanted = member.union(heads).join(classes.select("sig", "least", "h1"), "sig")
     source = docs.select(F.col("text").cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("least"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, sig, b, chunk, head in tx.chunked(batches, ["text", "sig", "b", "chunk", "head"]):
+        for texts, sig, b, chunk, head, h1 in tx.chunked(batches, ["text", "sig", "b", "chunk", "head", "h1"]):
             place: dict[bytes, int] = {}
             number = [place.setdefault(t, len(place)) for t in texts]
             own = shingle_sets(list(place), size)
-            real = signatures([s if len(s) else np.zeros(1, np.uint64) for s in own]).view(np.int64)
-            keep = [i for i, k in enumerate(number) if real[k] == sig[i]]
+            real = signatures([s if len(s) else np.zeros(1, np.uint64) for s in own])[0].view(np.int64)
+            keep = [i for i, k in enumerate(number) if real[k] == h1[i]]
             data = [tx.packed(s, "<u8") for s in own]
             values = ([b[i] for i in keep], [chunk[i] for i in keep], [head[i] for i in keep], [sig[i] for i in keep], [data[number[i]] for i in keep])
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()), strict=True)], ["b", "chunk", "head", "sig", "set"])
@@ -194,8 +199,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    rows = source.join(wanted, "least").select("text", "sig", "b", "chunk", "head").mapInArrow(sets, "b long, chunk int, head boolean, sig long, set binary")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = source.join(wanted, "least").select("text", "sig", "b", "chunk", "head", "h1").mapInArrow(sets, "b long, chunk int, head boolean, sig long, set binary")
     ordered = rows.repartition(parts, "b", "chunk").sortWithinPartitions("b", "chunk", F.desc("head"), "sig")
     return ordered.mapInArrow(compared, "a long, b long")
 
@@ -273,9 +277,8 @@ def _pairs(a: list, b: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, percent: int, parts: int) -> DataFrame:
     """Pairs that join all members of a bucket that sizes and sketches let be near: a forest, not all pairs."""
-    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _streamed(batches, "key"):
@@ -288,14 +291,13 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(searched, "a long, b long").distinct()
 
 
-def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
+def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
     """Links between components within clusters (cluster, comp, sig, n, least, sketch words), confirmed on full sets.
 
     A block pair holds the sets of at most two blocks; of its links only a
     forest goes out. Pairs are tried from the nearest on, and pairs that are
     joined already aren't tried.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _dealt(clusters, "cluster", CHUNK_MEMBERS)
     source = docs.select(F.col("text").cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("least"))
     names = ["cluster", "low", "high", "own", "sig", "comp", "n", *WORDS_OF_SKETCH]
@@ -303,12 +305,12 @@ def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * (3 + len(WORDS_OF_SKETCH))]
-        for texts, *values in tx.chunked(batches, ["text", *names]):
+        for texts, h1, *values in tx.chunked(batches, ["text", "h1", *names]):
             place: dict[bytes, int] = {}
             number = [place.setdefault(t, len(place)) for t in texts]
             own = shingle_sets(list(place), size)
-            real = signatures([s if len(s) else np.zeros(1, np.uint64) for s in own]).view(np.int64)
-            keep = [i for i, k in enumerate(number) if real[k] == values[4][i]]
+            real = signatures([s if len(s) else np.zeros(1, np.uint64) for s in own])[0].view(np.int64)
+            keep = [i for i, k in enumerate(number) if real[k] == h1[i]]
             data = [tx.packed(s, "<u8") for s in own]
             columns = [pa.array([v[i] for i in keep], t) for v, t in zip(values, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([data[number[i]] for i in keep], pa.binary())], [*names, "set"])
@@ -345,36 +347,39 @@ def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> D
             if a:
                 yield _pairs(a, b)
 
-    held = source.join(rows, "least").select("text", *names).mapInArrow(with_sets, schema)
+    held = source.join(rows, "least").select("text", "h1", *names).mapInArrow(with_sets, schema)
     ordered = held.repartition(parts, "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
     return ordered.mapInArrow(linked, "a long, b long")
 
 
 def _components(docs: DataFrame, size: int, percent: int, marked: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The features of all rows, and sig, least, root of each class of equal sets."""
+    """The features of all rows, and h1, h2, least, root of each class of equal sets."""
     spark = docs.sparkSession
     folder = storage.shared_dir(spark)
+    # sets are sent with 8 bytes for each shingle, a little more than their texts
+    parts = storage.parts_for(spark, storage.text_bytes(docs), storage.TASK_BYTES // 2)
     seen = storage.stored(features(docs, size, marked), folder, "features")
     first = [F.first("bands", ignorenulls=True).alias("bands"), *[F.max(F.when(F.col("bands").isNotNull(), F.col(s))).alias(s) for s in WORDS_OF_SKETCH]]
-    classes = seen.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), *first)
-    classes = storage.stored(classes, folder, "classes")
+    classes = seen.where("h1 is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), *first)
+    classes = storage.stored(classes.withColumn("sig", F.monotonically_increasing_id()), folder, "classes")
     keys = classes.select("sig", F.explode("bands").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("sig").alias("b"), F.count(F.lit(1)).alias("members")).where("members > 1").select("key", "b")
-    shared = storage.stored(keys.join(buckets, "key"), folder, "buckets")
+    buckets = storage.stored(keys.groupBy("key").agg(F.min("sig").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1"), folder, "keys")
+    sizes = buckets.agg(F.max("n").alias("most"), F.sum("n").alias("total")).first()
+    shared = storage.stored(components.met(keys, buckets, "key", sizes["most"] or 0, sizes["total"] or 0), folder, "buckets")
     tried = storage.stored(_sketched(shared.where("sig <> b").select(F.col("sig").alias("a"), "b").distinct(), classes, percent), folder, "tried")
-    links = storage.stored(confirmed(docs, tried, classes, size, percent), folder, "links")
+    links = storage.stored(confirmed(docs, tried, classes, size, percent, parts), folder, "links")
     roots = components.components(links, folder)
     # second round: buckets that hold more than one component
-    known = storage.stored(classes.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("comp"), "n", "least", *WORDS_OF_SKETCH), folder, "known")
+    known = storage.stored(classes.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("comp"), "n", "least", "h1", *WORDS_OF_SKETCH), folder, "known")
     placed = shared.select("sig", "key").join(known.select("sig", "comp"), "sig")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    members = shared.select("sig", "key").join(mixed, "key").join(known.drop("least"), "sig")
-    near = storage.stored(_across(members, percent), folder, "near")
+    members = shared.select("sig", "key").join(mixed, "key").join(known.drop("least", "h1"), "sig")
+    near = storage.stored(_across(members, percent, parts), folder, "near")
     if near.limit(1).count():
         clusters = components.components(near.union(links), folder).select(F.col("node").alias("sig"), F.col("root").alias("cluster"))
-        late = storage.stored(_settled(docs, known.join(clusters, "sig"), size, percent), folder, "late")
+        late = storage.stored(_settled(docs, known.join(clusters, "sig"), size, percent, parts), folder, "late")
         roots = components.components(links.union(late), folder)
-    ids = classes.select("sig", "least").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    ids = classes.select("sig", "h1", "h2", "least").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     return seen, ids
 
 
@@ -382,8 +387,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     seen, ids = _components(docs, size, percent)
     smallest = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = ids.join(smallest, "root").select("sig", "component_id")
-    out = seen.select("doc_id", "sig", "n_shingles").join(of_class, "sig", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    of_class = ids.join(smallest, "root").select("h1", "h2", "component_id")
+    out = seen.select("doc_id", "h1", "h2", "n_shingles").join(of_class, ["h1", "h2"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
     return out.select(real("doc_id"), "n_shingles", real("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
@@ -396,8 +401,8 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     smallest id stays, null before all others.
     """
     seen, ids = _components(docs, size, percent, marked=True)
-    full = seen.where("sig is not null")
-    least = full.join(ids.select("sig", "root"), "sig").groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("row"))
+    full = seen.where("h1 is not null")
+    least = full.join(ids.select("h1", "h2", "root"), ["h1", "h2"]).groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("row"))
     stay = least.select(F.col("row.doc_id").alias("_stay_id"), F.col("row.mark").alias("_stay_mark"))
     wordless = ~F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     key, mark = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(F.col("text").cast("binary"))
