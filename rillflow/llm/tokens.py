@@ -44,7 +44,7 @@ from . import text as tx
 MAGIC, HEAD = b"RILLTOK1", struct.Struct("<8sIIQQQ")
 BLOCK_IDS = 4096
 #: Pieces of text whose ids a worker keeps; others are encoded again each time.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
 _MARKS = frozenset(".,;:!?")
 _LOOSE = re.compile(r" (?:\s|$)")
 #: A space that the pre-tokenizer always puts at the start of a unit, with the end of a unit before it.
@@ -124,11 +124,11 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
 
     The byte-level pre-tokenizer always starts a unit at a space that stands
     before a character other than white space. So a text falls into pieces
-    that are encoded alone, and equal pieces only once. Where a space stands
-    before white space or at the end, the text is cut only at spaces between
-    two other characters. A piece with the string of an added token goes
-    through the whole tokenizer; if such a string holds white space, whole
-    texts do.
+    that are encoded alone, and equal pieces only once. A text with a space
+    before white space, or at its end, is encoded as a whole. A piece with the
+    string of an added token goes through the whole tokenizer; if such a string
+    holds white space, whole texts do. Long texts are cut at spaces between two
+    other characters.
     """
     tokenizer, pieces, heads = _loaded(path)
     get, out = pieces.__getitem__, []
@@ -142,11 +142,10 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
             coded = []
             for part in _slices(t):
                 if _LOOSE.search(part):
-                    head, *rest = _TIGHT.split(part)
-                    coded.append(pieces.whole(head))
-                else:
-                    head, *rest = part.split(" ")
-                    coded.append(heads[head] if head else b"")
+                    coded.append(pieces.whole(part))
+                    continue
+                head, *rest = part.split(" ")
+                coded.append(heads[head] if head else b"")
                 coded += map(get, rest)
             out.append(b"".join(coded))
     return out
