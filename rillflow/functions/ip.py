@@ -98,15 +98,25 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _groups(full: Column, n: Column) -> Column:
+    """The first n groups, or the last -n."""
+    return F.call_function("substring_index", full, F.lit(":"), n.cast("int"))
+
+
 def text(ip: Column) -> Column:
     """Dotted or (shortest, lower case) colon form; other lengths give the empty text."""
 
     def shortest(full: Column) -> Column:
-        short = full
-        for run in range(2, 9):  # the last test that holds is the longest run
-            pattern = rf"^(.*?)(?:^|:)0(?::0){{{run - 1}}}(?:$|:)(.*)$"
-            short = F.when(full.rlike(pattern), F.regexp_replace(full, pattern, "$1::$2")).otherwise(short)
-        return short
+        # zero groups as one string of flags; the longest run is the first of the longest patterns that it holds
+        zeros = F.regexp_replace(F.regexp_replace(full, "[1-9a-f][0-9a-f]*", "x"), ":", "")
+
+        def cut(z: Column) -> Column:
+            length = F.lit(0)
+            for run in range(2, 9):
+                length = F.when(z.contains("0" * run), run).otherwise(length)
+            return _let(length, lambda n: F.when(n == 0, full).otherwise(_let(F.instr(z, F.repeat(F.lit("0"), n)), lambda at: F.concat(_groups(full, at - 1), F.lit("::"), _groups(full, at + n - 9)))))
+
+        return _let(zeros, cut)
 
     def written(h: Column) -> Column:
         octets = [F.conv(F.substring(h, 2 * i + 1, 2), 16, 10) for i in range(4)]

@@ -68,20 +68,39 @@ def age_histogram(df: DataFrame, received: str, time: str = "TIME_LAST") -> Data
 
 
 def ip_versions(df: DataFrame, span: int, least_packets: int = 1) -> DataFrame:
-    """Per tumbling window of TIME_LAST: flows, packets, bytes by IP version, and distinct sources (exact) by prefix."""
+    """Per tumbling window of TIME_LAST: flows, packets, bytes by IP version, and distinct sources (exact) by prefix.
+
+    Distinct counts come from a chain of groupings, source, /64, /48, window,
+    each of which hands on the sums, so no row is multiplied and each step
+    combines before its shuffle.
+    """
     v4 = ips.is_v4(F.col("SRC_IP"))
-    enough = F.col("PACKETS") >= least_packets
-    out = []
-    for name, met in (("v4", v4), ("v6", ~v4)):
-        out += [F.count(F.when(met, 1)).alias(f"{name}_flows"), F.coalesce(F.sum(F.when(met, F.col("PACKETS"))), F.lit(0)).cast("long").alias(f"{name}_packets"), F.coalesce(F.sum(F.when(met, F.col("BYTES"))), F.lit(0)).cast("long").alias(f"{name}_bytes")]
-    out += [
-        F.count_distinct(F.when(v4 & enough, F.col("SRC_IP"))).alias("unique_v4"),
-        F.count_distinct(F.when(~v4 & enough, F.col("SRC_IP"))).alias("unique_v6"),
-        F.count_distinct(F.when(~v4 & enough, F.substring("SRC_IP", 1, 8))).alias("unique_v6_64"),
-        F.count_distinct(F.when(~v4 & enough, F.substring("SRC_IP", 1, 6))).alias("unique_v6_48"),
-    ]
     start = (F.floor(whole_seconds(F.col("TIME_LAST")) / span) * span).cast("long").alias("window_start")
-    return df.groupBy(start).agg(*out)
+    names = ("flows", "packets", "bytes")
+    one = F.max(F.col("PACKETS") >= least_packets).alias("seen")
+    sums = [F.count(F.lit(1)).alias("flows"), F.sum("PACKETS").alias("packets"), F.sum("BYTES").alias("bytes")]
+    by_source = df.groupBy(start, F.col("SRC_IP").alias("ip"), v4.alias("v4")).agg(one, *sums)
+    on = lambda c: F.sum(F.col(c).cast("long"))
+    # all of version 4 is one prefix here: its sources are counted in the first step
+    wide = by_source.groupBy("window_start", "v4", F.when(~F.col("v4"), F.substring("ip", 1, 8)).alias("p")).agg(F.max("seen").alias("seen"), on("seen").alias("sources"), *[F.sum(n).alias(n) for n in names])
+    wider = wide.groupBy("window_start", "v4", F.substring("p", 1, 6).alias("p")).agg(F.max("seen").alias("seen"), F.sum("sources").alias("sources"), on("seen").alias("p64"), *[F.sum(n).alias(n) for n in names])
+    out = []
+    for name, met in (("v4", F.col("v4")), ("v6", ~F.col("v4"))):
+        out += [F.coalesce(F.sum(F.when(met, F.col(n))), F.lit(0)).cast("long").alias(f"{name}_{n}") for n in names]
+    some = lambda met, c, n: F.coalesce(F.sum(F.when(met, F.col(c).cast("long"))), F.lit(0)).cast("long").alias(n)
+    six = ~F.col("v4")
+    out += [some(F.col("v4"), "sources", "unique_v4"), some(six, "sources", "unique_v6"), some(six, "p64", "unique_v6_64"), some(six, "seen", "unique_v6_48")]
+    return wider.groupBy("window_start").agg(*out)
+
+
+#: The long window is so many short ones.
+LONG_WINDOWS = 12
+
+
+def ip_versions_both(df: DataFrame, span: int = 300, least_packets: int = 1) -> DataFrame:
+    """``ip_versions`` of the short and the long window: a column ``span`` tells them apart."""
+    out = [ip_versions(df, n, least_packets).withColumn("span", F.lit(n).cast("long")) for n in (span, LONG_WINDOWS * span)]
+    return out[0].unionByName(out[1])
 
 
 def tunnels(df: DataFrame, field: str = "TUNNEL_TYPE") -> DataFrame:

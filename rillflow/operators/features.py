@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import warnings
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ip as ips
@@ -25,30 +29,30 @@ def reply_features(df: DataFrame, block: int = 10, blocks: int = 6, best: int =
     seconds. Distinct counts and top ports are exact.
     """
     keys = ["SRC_IP", "PROTOCOL"]
-    n, packets = F.count(F.lit(1)).cast("double"), F.col("PACKETS").cast("double")
+    packets = F.col("PACKETS").cast("double")
     per_packet = F.col("BYTES").cast("double") / F.nullif(packets, F.lit(0.0))
-    aggs = [
-        F.count(F.lit(1)).alias("flows"),
-        F.sum("PACKETS").cast("long").alias("packets"),
-        F.sum("BYTES").cast("long").alias("bytes"),
-        F.avg(packets).alias("avg_packets"),
-        _deviation(n, F.sum(packets), F.sum(packets * packets)).alias("std_packets"),
-        (F.sum("BYTES") / F.nullif(F.sum("PACKETS"), F.lit(0))).alias("avg_bytes"),
-        _deviation(F.sum(packets), F.sum(F.col("BYTES").cast("double")), F.sum(packets * per_packet * per_packet)).alias("std_bytes"),
-        *[F.count(F.when(F.col("TCP_FLAGS").bitwiseAND(bit) != 0, 1)).alias(f"{name}_flows") for name, bit in FLAGS.items()],
-        F.count_distinct("DST_IP").alias("targets"),
-        F.count_distinct(ips.mask(F.col("DST_IP"), 24, 64)).alias("target_nets"),
-        F.count_distinct("DST_PORT").alias("target_ports"),
-        F.count_distinct("SRC_PORT").alias("source_ports"),
-    ]
-    base = df.groupBy(*keys).agg(*aggs)
+    # sums go up by partner and partner's network, so both are counted without rows being multiplied
+    sums = {"flows": F.count(F.lit(1)), "packets": F.sum("PACKETS").cast("long"), "bytes": F.sum("BYTES").cast("long"), "_pp": F.sum(packets * packets), "_bb": F.sum(packets * per_packet * per_packet)}
+    sums |= {f"{name}_flows": F.count(F.when(F.col("TCP_FLAGS").bitwiseAND(bit) != 0, 1)) for name, bit in FLAGS.items()}
+    up = [F.sum(c).alias(c) for c in sums]
+    by_target = df.groupBy(*keys, "DST_IP").agg(*[c.alias(n) for n, c in sums.items()])
+    by_net = by_target.groupBy(*keys, ips.mask(F.col("DST_IP"), 24, 64).alias("_net")).agg(F.count(F.lit(1)).alias("targets"), *up)
+    base = by_net.groupBy(*keys).agg(F.sum("targets").alias("targets"), F.count(F.lit(1)).alias("target_nets"), *up)
+    n, total, octets = F.col("flows").cast("double"), F.col("packets").cast("double"), F.col("bytes").cast("double")
+    base = base.withColumns({
+        "avg_packets": total / n,
+        "std_packets": _deviation(n, total, F.col("_pp")),
+        "avg_bytes": F.col("bytes") / F.nullif(F.col("packets"), F.lit(0)),
+        "std_bytes": _deviation(total, octets, F.col("_bb")),
+    }).drop("_pp", "_bb")
+    asked = df.groupBy(*keys, "DST_PORT").agg(F.lit(1).alias("_one")).groupBy(*keys).agg(F.count("_one").alias("target_ports"))
     ports = df.groupBy(*keys, "SRC_PORT").agg(F.count(F.lit(1)).alias("n"))
-    ranked = ports.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "SRC_PORT"))).where(F.col("r") <= best)
-    tops = ranked.groupBy(*keys).agg(*[F.coalesce(F.max(F.when(F.col("r") == i, F.col(c))), F.lit(0)).alias(f"top{i}_{name}") for i in range(1, best + 1) for c, name in (("SRC_PORT", "port"), ("n", "flows"))])
+    ranked = ports.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "SRC_PORT")))
+    tops = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("source_ports"), *[F.coalesce(F.max(F.when(F.col("r") == i, F.col(c))), F.lit(0)).alias(f"top{i}_{name}") for i in range(1, best + 1) for c, name in (("SRC_PORT", "port"), ("n", "flows"))])
     slots = df.groupBy(*keys, F.floor(whole_seconds(F.col("TIME_LAST")) / block).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     minute = F.sum("n").over(Window.partitionBy(*keys).orderBy("slot").rangeBetween(-(blocks - 1), 0))
     busiest = slots.withColumn("m", minute).groupBy(*keys).agg(F.max("m").alias("most_per_minute"))
-    return base.join(tops, keys).join(busiest, keys)
+    return base.join(asked, keys).join(tops, keys).join(busiest, keys)
 
 
 def _moments(met: Column, value: Column, name: str) -> list[Column]:
@@ -93,11 +97,12 @@ def sparse_rows(df: DataFrame, features: list[str], label: str = "label") -> Dat
     return df.select(F.concat_ws(" ", F.col(label).cast("string"), *parts).alias("value"))
 
 
-def fit_labels(df: DataFrame, features: list[str], labels: list[str], steps: int = 30, rate: float = 0.5):
-    """A linear classifier with hinge loss for each label column (0/1); a function that adds ``is_LABEL`` for each.
+def fit_labels(df: DataFrame, features: list[str], labels: list[str], steps: int = 30, rate: float = 0.5) -> dict[str, dict]:
+    """A linear classifier with hinge loss for each label column (0/1): {label: {feature or "": weight}}.
 
-    Full-batch descent: each step is one aggregate over the rows (the sums of
-    the gradient of all labels), so only a few numbers reach the driver.
+    Full-batch descent on scaled features: each step is one aggregate over the
+    rows (the sums of the gradient of all labels), so only a few numbers reach
+    the driver. The weights returned are those of the features as they are.
     """
     stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
     mean = [stats[f"m{i}"] or 0.0 for i in range(len(features))]
@@ -119,8 +124,31 @@ def fit_labels(df: DataFrame, features: list[str], labels: list[str], steps: int
         for y in labels:
             weights[y] = [v * (1 - 0.001 * rate) + rate / (1 + step / 10) * (g[f"{y}_{i}"] or 0.0) for i, v in enumerate(weights[y])]
     scaled.unpersist()
-
-    def apply(other: DataFrame) -> DataFrame:
-        return other.withColumns({f"is_{y}": (margin(F.array(*x), w) > 0).cast("int") for y, w in weights.items()})
-
-    return apply
+    out = {}
+    for y, w in weights.items():
+        plain = {c: v / s for c, v, s in zip(features, w, spread, strict=False)}
+        out[y] = plain | {"": w[-1] - sum(plain[c] * m for c, m in zip(features, mean, strict=True))}
+    return out
+
+
+def write_models(spark: SparkSession, models: dict[str, dict], folder: str) -> None:
+    """A JSON file for each label, in a folder of its name."""
+    for label, weights in models.items():
+        spark.createDataFrame([(json.dumps(weights, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/{label}")
+
+
+def read_models(spark: SparkSession, labels: list[str], folder: str) -> dict[str, dict]:
+    """The stored models of these labels; a label whose model isn't there (never trained) is left out with a warning."""
+    out = {}
+    for label in labels:
+        try:
+            out[label] = json.loads(spark.read.text(f"{folder}/{label}").first()[0])
+        except AnalysisException:
+            warnings.warn(f"no model of {label} in {folder}", stacklevel=2)
+    return out
+
+
+def labelled(df: DataFrame, models: dict[str, dict]) -> DataFrame:
+    """``df`` with ``is_LABEL`` (0/1) of each model: one projection, whatever the number of models."""
+    margin = lambda w: sum((F.col(c).cast("double") * v for c, v in w.items() if c), F.lit(w.get("", 0.0)))
+    return df.withColumns({f"is_{y}": (margin(w) > 0).cast("int") for y, w in models.items()})

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ip as ips
-from ..functions.scalar import seconds
 
 #: Rows up to which a configuration table is broadcast; above, the join shuffles.
 BROADCAST_ROWS = 100_000
@@ -136,10 +135,14 @@ def one_way(df: DataFrame, history: int = 120, networks: list[str] | None = None
     seen = v4.where(~((F.col("PROTOCOL") == 6) & F.col("TCP_FLAGS").isin(4, 20)))
     end = F.unix_micros(F.col("TIME_LAST").cast("timestamp"))
     bin_ = F.floor(end / (history * 1_000_000))
-    # a pair meets only in the same or a neighbouring span, so the range is an equi-join on spans
-    past = seen.select(F.col("SRC_IP").alias("_s"), F.col("DST_IP").alias("_d"), end.alias("_e"), F.explode(F.sequence(bin_ - 1, bin_ + 1)).alias("_k")).distinct()
+    # a pair meets only in the same or a neighbouring span, so the range is an equi-join on spans; of a span
+    # in which it was seen, its ends nearest to both borders decide for the neighbours, all ends for itself
+    micros = history * 1_000_000
+    ends = seen.select(F.col("SRC_IP").alias("_s"), F.col("DST_IP").alias("_d"), end.alias("_e"), bin_.alias("_k"))
+    spans = ends.groupBy("_s", "_d", "_k").agg(F.min("_e").alias("_low"), F.max("_e").alias("_high"))
+    past = spans.select("_s", "_d", F.inline(F.array(F.struct(F.col("_k"), F.col("_low"), F.col("_high")), F.struct((F.col("_k") - 1).alias("_k"), F.col("_low"), F.col("_low").alias("_high")), F.struct((F.col("_k") + 1).alias("_k"), F.col("_high").alias("_low"), F.col("_high")))))
     mine = v4.where(reply).withColumn("_end", end).withColumn("_bin", bin_)
-    near = (mine["SRC_IP"] == past["_d"]) & (mine["DST_IP"] == past["_s"]) & (mine["_bin"] == past["_k"]) & (F.abs(mine["_end"] - past["_e"]) <= history * 1_000_000)
+    near = (mine["SRC_IP"] == past["_d"]) & (mine["DST_IP"] == past["_s"]) & (mine["_bin"] == past["_k"]) & (mine["_end"] - micros <= past["_high"]) & (mine["_end"] + micros >= past["_low"])
     return mine.join(past, near, "left_anti").drop("_end", "_bin")
 
 
@@ -177,36 +180,34 @@ def nat_pairs(lan: DataFrame, wan: DataFrame, router: str, first_ms: int = 2, la
     ordered = rows.repartition(parts, *PAIR_KEY).sortWithinPartitions(*PAIR_KEY, "first", "seq_", "side")
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, waiting = None, []
+        at: list | None = None
+        waiting: dict[str, list[tuple]] = {}
         for b in batches:
             a, z = [], []
             for s, q, first, last, *key in zip(*[b.column(c).to_pylist() for c in fields], strict=True):
                 if key != at:
-                    at, waiting = key, []
-                waiting = [w for w in waiting if first - w[2] < first_ms]
-                for w in waiting:
-                    if w[0] == s:
-                        continue
-                    inner, outer = ((first, last), w[2:]) if s == "lan" else (w[2:], (first, last))
+                    at, waiting = key, {"lan": [], "wan": []}
+                others = waiting["wan" if s == "lan" else "lan"]
+                old = 0
+                while old < len(others) and first - others[old][1] >= first_ms:
+                    old += 1
+                del others[:old]
+                for i, (number, start, end) in enumerate(others):
+                    inner, outer = ((first, last), (start, end)) if s == "lan" else ((start, end), (first, last))
                     d1, d2 = outer[0] - inner[0], outer[1] - inner[1]
                     if key[3] == "W2L":
                         d1, d2 = -d1, -d2
                     if 0 <= d1 < first_ms and 0 <= d2 < last_ms:
-                        waiting.remove(w)
-                        a.append(q if s == "lan" else w[1])
-                        z.append(w[1] if s == "lan" else q)
+                        del others[i]
+                        a.append(q if s == "lan" else number)
+                        z.append(number if s == "lan" else q)
                         break
                 else:
-                    waiting.append((s, q, first, last))
+                    own = waiting[s]
+                    own.append((q, first, last))
+                    if len(own) > 64 and first - own[0][1] >= first_ms:  # the other side never looked
+                        waiting[s] = [w for w in own if first - w[1] < first_ms]
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["lan_seq", "wan_seq"])
 
     return ordered.mapInArrow(paired, T.StructType([T.StructField("lan_seq", T.LongType()), T.StructField("wan_seq", T.LongType())]))
-
-
-def reversed_pair(a: str = "SRC_IP", b: str = "DST_IP") -> Column:
-    return F.struct(F.col(b), F.col(a))
-
-
-def elapsed(a: Column, b: Column) -> Column:
-    return F.abs(seconds(a) - seconds(b))

@@ -9,6 +9,7 @@ before (anchored rules) it is a fold over a group in order, in Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -18,20 +19,28 @@ from pyspark.sql import types as T
 from ..functions.scalar import whole_seconds
 
 
-def global_clock(df: DataFrame, order: str = "seq", time: str = "TIME_LAST", slices: int = 256) -> DataFrame:
+#: Slices of the order: at least so many, of about so many records; more are joined by a shuffle.
+LEAST_SLICES, SLICE_RECORDS, MOST_BROADCAST = 256, 1_000_000, 100_000
+#: Records of a slice whose fold goes through Python.
+IN_TIME_RECORDS = 2_000_000
+
+
+def global_clock(df: DataFrame, order: str = "seq", time: str = "TIME_LAST") -> DataFrame:
     """``clock``: the latest time seen among all records up to this one, in whole seconds; ``clock_before``: without this one.
 
     In two levels: the maximum of each slice of the order, the running maximum
     over the slices, and the running maximum within a slice. No task sees all
-    records; bounds of the order come from one small aggregate.
+    records; the slices' number and bounds come from one small aggregate.
     """
-    low, high = df.agg(F.min(order), F.max(order)).first()
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+    slices = max(LEAST_SLICES, n // SLICE_RECORDS)
     width = max(1, ((high or 0) - (low or 0)) // slices + 1)
     rows = df.withColumn("_slice", F.floor((F.col(order) - F.lit(low or 0)) / width)).withColumn("_time", whole_seconds(F.col(time)))
     tops = rows.groupBy("_slice").agg(F.max("_time").alias("_top"))
     tops = tops.withColumn("_before", F.max("_top").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)))
     inner = Window.partitionBy("_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.join(F.broadcast(tops.select("_slice", "_before")), "_slice")  # at most ``slices`` rows
+    tops = tops.select("_slice", "_before")
+    rows = rows.join(F.broadcast(tops) if slices <= MOST_BROADCAST else tops, "_slice")
     earlier = Window.partitionBy("_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("clock", F.greatest("_before", F.max("_time").over(inner))).withColumn("clock_before", F.greatest("_before", F.max("_time").over(earlier)))
     return rows.drop("_slice", "_time", "_before")
@@ -131,6 +140,106 @@ def event_clock(df: DataFrame, keys: list[str], active_s: int = 40, passive_s: i
     return _folded(clocked, keys, order, extra, fold).drop("clock", "clock_before")
 
 
+#: Why an event was exported; 1 is added if it goes on from one exported before by the active time-out.
+EXPORTS = {"passive": 2, "active": 4, "forced": 8}
+
+
+def event_tracker(df: DataFrame, keys: list[str], active_s: int = 7200, passive_s: int = 150, least: int = 30, order: str = "seq") -> DataFrame:
+    """Events of a key with an active and a passive time-out by the clock: keys, EXPORT, COUNT, TIME_FIRST, TIME_LAST.
+
+    An event ends passively once the clock has moved past its end plus
+    ``passive_s``; it is exported actively, and goes on anew, when a record
+    comes with the clock past its begin plus ``active_s``; what is left at the
+    end is forced. Events of fewer than ``least`` records aren't exported.
+    """
+    clocked = global_clock(df, order).select(*keys, order, "TIME_FIRST", "TIME_LAST", "clock")
+
+    def fold(state, row):
+        first, last, clock = row
+        if state is None:
+            return (first, last, clock, 0), 0
+        low, high, seen, again = state
+        # segments are numbered by twos, the odd ones go on from an active export
+        if clock > seen and high + passive_s < clock:
+            return (first, last, clock, 0), 2 - again
+        if low + active_s < clock:
+            return (first, last, clock, 1), 3 - again
+        return (min(low, first), max(high, last), clock, again), 0
+
+    extra = {"f": whole_seconds(F.col("TIME_FIRST")), "l": whole_seconds(F.col("TIME_LAST")), "c": F.col("clock")}
+    events = _folded(clocked, keys, order, extra, fold).groupBy(*keys, "segment").agg(F.count(F.lit(1)).alias("COUNT"), F.min("TIME_FIRST").alias("TIME_FIRST"), F.max("TIME_LAST").alias("TIME_LAST"), F.max("clock").alias("_seen"))
+    end = df.agg(F.max(whole_seconds(F.col("TIME_LAST")))).first()[0]
+    after = F.lead("segment").over(Window.partitionBy(*keys).orderBy("segment"))
+    last = F.when((F.col("_seen") < F.lit(end)) & (whole_seconds(F.col("TIME_LAST")) + passive_s < F.lit(end)), EXPORTS["passive"]).otherwise(EXPORTS["forced"])
+    why = F.when(after % 2 == 1, EXPORTS["active"]).when(after.isNotNull(), EXPORTS["passive"]).otherwise(last)
+    events = events.withColumn("EXPORT", (why + F.col("segment") % 2).cast("int"))
+    return events.where(F.col("COUNT") >= least).select(*keys, "EXPORT", "COUNT", "TIME_FIRST", "TIME_LAST")
+
+
+def in_time(df: DataFrame, late_s: int = 60, early_s: int = 30, reset_after: int = 1000, order: str = "seq", time: str = "TIME_LAST") -> DataFrame:
+    """Records whose time lies near the clock, with ``epoch``: how often the clock was reset before.
+
+    A record more than ``late_s`` before or ``early_s`` after the clock is
+    skipped; after ``reset_after`` skipped ones in a row the clock starts anew
+    at the last of them. The clock is a fold over all records, so slices of
+    the order are folded in parallel, each from a guess of the state before
+    it: at first the last time of the slice before. Where a slice's end isn't
+    what the next one began with, that one is folded again, until all fit.
+    """
+    spark = df.sparkSession
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+    if not n:
+        return df.withColumn("epoch", F.lit(0).cast("long"))
+    slices = max(1, n // IN_TIME_RECORDS)
+    width = (high - low) // slices + 1
+    rows = df.select(F.floor((F.col(order) - F.lit(low)) / width).cast("long").alias("slice"), F.col(order).alias("o"), whole_seconds(F.col(time)).alias("t"))
+
+    def folded(begin: dict[int, tuple], verdicts: bool) -> DataFrame:
+        """Each slice from its state (clock, skipped in a row, resets): the records that pass, or the states at the ends."""
+        shared = spark.sparkContext.broadcast(begin)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, state, ends = None, (None, 0, 0), {}
+            for b in batches:
+                keep, epoch = [], []
+                for s, t in zip(b.column("slice").to_pylist(), b.column("t").to_pylist(), strict=True):
+                    if s != at:
+                        at, state = s, shared.value[s]
+                    clock, skipped, resets = state
+                    ok = clock is None or clock - late_s <= t <= clock + early_s
+                    if ok:
+                        state = (t if clock is None else max(clock, t), 0, resets)
+                    else:
+                        state = (t, 0, resets + 1) if skipped + 1 >= reset_after else (clock, skipped + 1, resets)
+                    keep.append(ok)
+                    epoch.append(resets)
+                    ends[s] = state
+                if verdicts:
+                    yield pa.RecordBatch.from_arrays([b.column("o"), pa.array(epoch, pa.int64())], ["_o", "epoch"]).filter(pa.array(keep))
+            if not verdicts:
+                values = [(s, *e) for s, e in ends.items()]
+                yield pa.RecordBatch.from_arrays([pa.array([v[i] for v in values], pa.int64()) for i in range(4)], ["slice", "clock", "skipped", "resets"])
+
+        part = rows if len(begin) == len(names) else rows.where(F.col("slice").isin(list(begin)))
+        kind = df.schema[order].dataType.simpleString()
+        ordered = part.repartition(len(begin), "slice").sortWithinPartitions("slice", "o")
+        return ordered.mapInArrow(run, f"_o {kind}, epoch long" if verdicts else "slice long, clock long, skipped long, resets long")
+
+    tops = {r["slice"]: r["t"] for r in rows.groupBy("slice").agg(F.max("t").alias("t")).collect()}  # a number for each slice
+    names = sorted(tops)
+    begin = {s: (tops[names[i - 1]], 0) if i else (None, 0) for i, s in enumerate(names)}
+    ends: dict[int, tuple] = {}
+    again = names
+    while again:
+        for r in folded({s: (*begin[s], 0) for s in again}, False).collect():
+            ends[r["slice"]] = (r["clock"], r["skipped"], r["resets"])
+        again = [b for a, b in zip(names, names[1:], strict=False) if ends[a][:2] != begin[b]]
+        begin |= {b: ends[a][:2] for a, b in zip(names, names[1:], strict=False)}
+    before = dict(zip(names, [0, *accumulate(ends[s][2] for s in names)], strict=False))
+    passed = folded({s: (*begin[s], before[s]) for s in names}, True)
+    return df.join(passed, F.col(order) == F.col("_o")).drop("_o")
+
+
 def relative_flush(df: DataFrame, n: int, order: str = "seq") -> DataFrame:
     """Flush before a record when the clock is n seconds past the last flush.
 

@@ -201,6 +201,23 @@ def a17_biflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(hexed("SRC_IP", "src"), hexed("DST_IP", "dst"), "PROTOCOL", "COUNT", secs("TIME_FIRST", "first"), secs("TIME_LAST", "last"), "BYTES", "BYTES_REV")
 
 
+@query(""", b as (select seq, proto, t1, packets, 167772160 + seq % 3 as a, 1000 + sport % 2 as pa, 167772170 + seq % 5 as z, dport as pz, dir = 1 as rev from flows),
+g as (select a, pa, z, pz, proto, count(*) as n, arg_min(rev, (t1, seq)) as lead from b group by all),
+v as (select a, pa, z, pz, proto, seq, rev, unnest([1, 2]) as i, unnest([packets + 2, packets]) as key, unnest([seq % 100 + 1, seq % 50 + 1]) as val from b)
+select case when lead then z else a end as src, case when lead then pa else pz end as dport, proto as PROTOCOL, max(n) as COUNT, array_to_string(list(case when rev <> lead then -val else val end order by key, seq, i)[1:25], ',') as DIRS
+from v join g using (a, pa, z, pz, proto) group by a, pa, z, pz, proto, lead""")
+def a15_sorted_merge_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-way traffic between few ends; every second record runs from the larger end to the smaller."""
+    back, ten = c("DIR_BIT_FIELD") == 1, 167772160
+    one = (ips.v4_of_number(F.lit(ten) + c("seq") % 3), (1000 + c("SRC_PORT") % 2).cast("int"))
+    two = (ips.v4_of_number(F.lit(ten + 10) + c("seq") % 5), c("DST_PORT"))
+    ends = [F.when(back, y).otherwise(x).alias(name) for name, x, y in (("SRC_IP", one[0], two[0]), ("DST_IP", two[0], one[0]), ("SRC_PORT", one[1], two[1]), ("DST_PORT", two[1], one[1]))]
+    keys, values = F.array(c("PACKETS") + 2, c("PACKETS")), F.array(c("seq") % 100 + 1, c("seq") % 50 + 1)
+    df = flows(spark, sf_dir).select("seq", "PROTOCOL", "TIME_FIRST", "TIME_LAST", *ends, keys.alias("K"), values.alias("DIRS"))
+    out = ag.biflows(df, [Agg("SORTED_MERGE_DIR", "DIRS", key="K", size=25)])
+    return out.select(F.conv(F.hex("SRC_IP"), 16, 10).cast("long").alias("src"), c("DST_PORT").alias("dport"), "PROTOCOL", "COUNT", F.array_join("DIRS", ",").alias("DIRS"))
+
+
 _STEP = 86400
 
 
@@ -213,6 +230,14 @@ def a18_a20_time_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("TIME", F.round("total", 3).alias("total"), "dns", F.round("mean", 6).alias("mean"), F.round("rate", 9).alias("rate"), "hosts")
 
 
+@query(f""", f as (select *, max(t2) over (order by seq) as clock from flows where dport = 8080 and tunnel = 0), h as (select distinct t1 // {_STEP} * {_STEP} as t from f), q as (select max(t) as start from (select t, t - lag(t) over (order by t) as gap from h) where gap > 3 * {_STEP}),
+e as (select f.*, unnest(range(t1 // {_STEP} - (case when t1 % {_STEP} = 0 then 1 else 0 end), t2 // {_STEP} + 1)) * {_STEP} as step from f, q where start is null or t1 >= start)
+select step::bigint as TIME, count(*) as n from e where step + {_STEP} > clock - 30 * {_STEP} group by step""")
+def a20_delay_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = segments.global_clock(flows(spark, sf_dir).where("DST_PORT = 8080 and TUNNEL_TYPE = 0"))
+    return timeseries.series(df, timeseries.parsed_rules("n:COUNT()"), _STEP, delay=30 * _STEP, inactive=3 * _STEP)
+
+
 @query("select count(*) as FLOWS, sum(packets)::bigint as PACKETS, sum(octets)::bigint as BYTES from flows")
 def a21_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.totals(flows(spark, sf_dir))
@@ -253,6 +278,12 @@ def a25_ip_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.ip_versions(flows(spark, sf_dir), 3600, 3)
 
 
+@query(", w as (select unnest([3600, 43200]) as span) select span::bigint as span, (t2 // span * span)::bigint as window_start, count(*) filter (not v6) as v4_flows, count(*) filter (v6) as v6_flows, coalesce(sum(octets) filter (v6), 0)::bigint as v6_bytes, count(distinct src) filter (not v6 and packets >= 3) as unique_v4, count(distinct src) filter (v6 and packets >= 3) as unique_v6, count(distinct src[1:16]) filter (v6 and packets >= 3) as unique_v6_64, count(distinct src[1:12]) filter (v6 and packets >= 3) as unique_v6_48 from flows, w group by 1, 2")
+def w7_short_and_long_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = counters.ip_versions_both(flows(spark, sf_dir), 3600, 3)
+    return out.select("span", "window_start", "v4_flows", "v6_flows", "v6_bytes", "unique_v4", "unique_v6", "unique_v6_64", "unique_v6_48")
+
+
 @query("select floor(log2(tunnel))::int as tunnel, count(*) as FLOWS, sum(packets)::bigint as PACKETS, sum(octets)::bigint as BYTES from flows where tunnel > 0 group by 1")
 def a25_tunnels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.tunnels(flows(spark, sf_dir))
@@ -288,7 +319,7 @@ def a29_addresses_of_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.top_addresses_of_ports(flows(spark, sf_dir), [53, 443], 5).withColumn("address", F.lower(F.hex("address")))
 
 
-@query("select distinct (t2 // 86400 * 86400)::bigint as window_start, case tunnel when 1 then 'one' when 2 then 'two' end as tag_name, src as peer from flows where tunnel in (1, 2)")
+@query("select distinct (t2 // 86400 * 86400)::bigint as window_start, case tunnel when 1 then 'one' when 2 then 'two' end as tag_name, dst as peer from flows where tunnel in (1, 2)")
 def a30_peer_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = flows(spark, sf_dir).withColumn("PREFIX_TAG", c("TUNNEL_TYPE"))
     return writers.peer_sets(df, {1: "one", 2: "two"}, 86400).withColumn("peer", F.lower(F.hex("peer")))
@@ -384,11 +415,29 @@ def w5_relative_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(_events(spark, sf_dir), "5000r")
 
 
-@query(f"with {_EV}, o as (select *, case when t1 - max(t2) over (partition by k order by seq rows between unbounded preceding and 1 preceding) > 7200 then 1 else 0 end as n from ev), w as (select *, sum(n) over (partition by k order by seq) as g from o) select * from ({_SEG.format('w')}) where COUNT >= 3", plain=True)
+@query(f"""with recursive {_EV}, q as (select *, max(t2) over (order by seq) as c from ev), o as (select *, row_number() over (partition by k order by seq) as r from q),
+w as (select k, r, t1, t2, c, t1 as lo, t2 as hi, 0 as f, 0 as g from o where r = 1
+ union all select k, r, t1, t2, c, case when p or a then t1 else least(lo, t1) end, case when p or a then t2 else greatest(hi, t2) end, case when p then 0 when a then 1 else f end, g + (p or a)::int
+ from (select o.k, o.r, o.t1, o.t2, o.c, w.lo, w.hi, w.f, w.g, o.c > w.c and w.hi + 9000 < o.c as p, w.lo + 20000 < o.c as a from w join o on o.k = w.k and o.r = w.r + 1)),
+e as (select k, g, max(f) as f, count(*) as n, min(t1) as first, max(t2) as last, max(c) as seen from w group by k, g), x as (select *, lead(f) over (partition by k order by g) as after, (select max(t2) from ev) as done from e)
+select k as KEY, case when after = 1 then 4 when after = 0 then 2 when seen < done and last + 9000 < done then 2 else 8 end + f as EXPORT, n as COUNT, first, last from x where n >= 2""", plain=True)
 def w10_event_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = segments.event_tracker(_events(spark, sf_dir), ["KEY"], 20000, 9000, 2)
+    return out.select("KEY", "EXPORT", "COUNT", secs("TIME_FIRST", "first"), secs("TIME_LAST", "last"))
+
+
+@query(f"with {_EV}, o as (select *, case when t1 - max(t2) over (partition by k order by seq rows between unbounded preceding and 1 preceding) > 7200 then 1 else 0 end as n from ev), w as (select *, sum(n) over (partition by k order by seq) as g from o) select * from ({_SEG.format('w')}) where COUNT >= 3", plain=True)
+def w10_passive_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(_events(spark, sf_dir), "P:7200").where("COUNT >= 3")
 
 
+@query(f"with recursive {_EV}, o as (select seq, case when seq % 100 < 8 then t1 + 500000 else t1 end as t, row_number() over (order by seq) as r from ev), w as (select seq, t, r, t as m, 0 as s, 0 as e, true as ok from o where r = 1 union all select seq, t, r, case when ok then greatest(m, t) when s + 1 >= 5 then t else m end, case when ok or s + 1 >= 5 then 0 else s + 1 end, case when not ok and s + 1 >= 5 then e + 1 else e end, ok from (select o.seq, o.t, o.r, w.m, w.s, w.e, o.t between w.m - 60000 and w.m + 200000 as ok from w join o on o.r = w.r + 1)) select seq, t as t1, e::bigint as epoch from w where ok", plain=True)
+def w9_time_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ahead = F.when(c("seq") % 100 < 8, F.expr("interval 500000 seconds")).otherwise(F.expr("interval 0 seconds"))
+    df = _events(spark, sf_dir).withColumn("T", c("TIME_FIRST") + ahead)
+    return segments.in_time(df, 60000, 200000, 5, time="T").select("seq", secs("T", "t1"), "epoch")
+
+
 @query(f"with {_EV}, q as (select *, max(t1) over (order by seq rows between unbounded preceding and 1 preceding) as m from ev) select seq, t1 from q where m is null or t1 between m - 60 and m + 300", plain=True)
 def w9_late_and_future(spark: SparkSession, sf_dir: str) -> DataFrame:
     clocked = segments.global_clock(_events(spark, sf_dir), time="TIME_FIRST")
@@ -601,7 +650,7 @@ def s2_flow_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select seq, src, octets as BYTES from flows")
 def s7_k3_recorded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
-    flows(spark, sf_dir).write.parquet(path)
+    writers.write_stored(flows(spark, sf_dir), path, "gzip")
     return readers.read_stored(spark, path, "ipaddr SRC_IP,uint64 BYTES").select("seq", hexed("SRC_IP", "src"), "BYTES")
 
 
@@ -655,12 +704,25 @@ def u4_registered_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows(spark, sf_dir).groupBy("DST_PORT").agg(records.registered("range", "BYTES").alias("spread"), records.registered("median", "PACKETS").cast("double").alias("middle"))
 
 
-@query(None)
+#: Models as a trainer would have stored them: weights by feature.
+MODELS = {"busy": {"peers": 0.5, "connections": 0.25, "": -20.0}, "client": {"begins_ratio": 4.0, "tcp_ratio": -0.5, "": -1.9}}
+
+
+@query(""", r as (select s4 as host, d4 as peer, true as is_src, proto, t1, seq from flows where not v6 union all select d4, s4, false, proto, t1, seq from flows where not v6),
+n as (select *, coalesce(t1 - lag(t1) over (partition by host, peer order by t1, seq, is_src) > 60, true) as fresh from r),
+f as (select host, count(distinct peer) as peers, count(*) filter (fresh) as connections, count(*) filter (fresh and is_src) / count(*) filter (fresh)::double as begins_ratio, count(*) filter (proto = 6) / count(*)::double as tcp_ratio from n group by host)
+select printf('%08x', host) as host, (0.5 * peers + 0.25 * connections - 20 > 0)::int as is_busy, (4 * begins_ratio - 0.5 * tcp_ratio - 1.9 > 0)::int as is_client from f""")
 def u3_multi_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = features.device_features(flows(spark, sf_dir)).withColumn("server", (c("begins_ratio") < 0.5).cast("int")).withColumn("web", (c("port_80") > 0).cast("int"))
-    names = ["peers", "connections", "begins_ratio", "bytes_ratio", "tcp_ratio", "port_80"]
-    apply = features.fit_labels(vectors, names, ["server", "web"])
-    return apply(vectors).select(F.lower(F.hex("host")).alias("host"), "server", "is_server", "web", "is_web")
+    """Hosts labelled by stored models; one that was never trained is left out."""
+    folder = shared_folder(spark)
+    features.write_models(spark, MODELS, folder)
+    models = features.read_models(spark, ["busy", "client", "untrained"], folder)
+    return features.labelled(features.device_features(flows(spark, sf_dir)), models).select(F.lower(F.hex("host")).alias("host"), "is_busy", "is_client")
+
+
+@query("select * from (values (0, 'SRC_IP', 'ipaddr'), (1, 'BYTES', 'uint64'), (2, 'TIME_FIRST', 'time')) as t(id, name, type)", plain=True)
+def x18_template_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project.described(flows(spark, sf_dir).select("SRC_IP", "BYTES", "TIME_FIRST"))
 
 
 # --- alerts ------------------------------------------------------------------------------------

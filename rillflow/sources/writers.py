@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import ip as ips
 from ..functions.scalar import array_text, seconds, tcp_flags_text
@@ -127,27 +126,42 @@ def mail_texts(df: DataFrame, template: str) -> DataFrame:
 def limited_per_hour(df: DataFrame, most: int = 20, time: str = "TIME_LAST", order: str = "seq") -> DataFrame:
     """Records of which at most ``most`` lie in any sliding hour: a record passes if fewer passed in the hour before it.
 
-    The state is the last ``most`` times that passed. Mail is a trickle, so one ordered stream is enough.
+    The state is the last ``most`` times that passed, so it is as good as
+    empty after an hour without a record: the records between such silences
+    are folded apart, in parallel. Only order and time go through the fold.
     """
     from collections import deque
     from collections.abc import Iterator
 
     import pyarrow as pa
 
-    rows = df.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
+    hour = 3_600_000_000
+    times = df.select(F.col(order).alias("o"), F.unix_micros(F.col(time).cast("timestamp")).alias("t"))
+    # a row for each hour that has records; an empty hour between two is a silence of at least an hour
+    hours = times.groupBy(F.floor(F.col("t") / hour).alias("h")).agg(F.min("o").alias("low"), F.max("o").alias("high"))
+    upto = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    # islands of time must follow each other in the order of arrival too
+    apart = (F.col("h") - F.lag("h").over(Window.orderBy("h")) >= 2) & (F.max("high").over(upto) < F.min("low").over(Window.orderBy("h").rowsBetween(0, Window.unboundedFollowing)))
+    islands = hours.select("h", F.sum(F.when(apart, 1).otherwise(0)).over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0)).alias("island"))
+    rows = times.withColumn("h", F.floor(F.col("t") / hour)).join(islands, "h").select("island", "o", "t")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: deque[int] = deque(maxlen=most)
+        at, sent = None, deque(maxlen=most)
         for b in batches:
             keep = []
-            for t in b.column("_t").to_pylist():
-                ok = len(sent) < most or t - sent[0] >= 3_600_000_000
+            for island, t in zip(b.column("island").to_pylist(), b.column("t").to_pylist(), strict=True):
+                if island != at:
+                    at, sent = island, deque(maxlen=most)
+                ok = len(sent) < most or t - sent[0] >= hour
                 keep.append(ok)
                 if ok:
                     sent.append(t)
-            yield pa.RecordBatch.from_arrays(b.columns[:-1], b.schema.names[:-1]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([b.column("o")], ["_passed"]).filter(pa.array(keep))
 
-    return rows.coalesce(1).sortWithinPartitions(order).mapInArrow(run, df.schema)
+    kind = df.schema[order].dataType.simpleString()
+    passed = rows.repartition(parts, "island").sortWithinPartitions("island", "o").mapInArrow(run, f"_passed {kind}")
+    return df.join(passed, F.col(order) == F.col("_passed"), "left_semi")
 
 
 def ruled(df: DataFrame, rules: list[tuple[str, list[str], list[str]]]) -> dict[str, DataFrame]:
@@ -175,17 +189,53 @@ def snapshot(df: DataFrame) -> DataFrame:
 
 
 def peer_sets(df: DataFrame, tags: dict[int, str], span: int = 300) -> DataFrame:
-    """Per window and configured prefix tag the distinct peers (exact form of a membership filter)."""
+    """Per window and configured prefix tag the distinct peers, the targets of its records (exact form of a membership filter)."""
     from ..functions.scalar import whole_seconds
 
     start = (F.floor(whole_seconds(F.col("TIME_LAST")) / span) * span).cast("long")
     names = F.create_map(*[F.lit(x) for item in tags.items() for x in item])
     rows = df.withColumn("window_start", start).withColumn("tag_name", names[F.col("PREFIX_TAG").cast("int")]).where("tag_name is not null")
-    return rows.select("window_start", "tag_name", F.col("SRC_IP").alias("peer")).distinct()
+    return rows.select("window_start", "tag_name", F.col("DST_IP").alias("peer")).distinct()
 
 
 def text_report(df: DataFrame, separator: str = "\t") -> DataFrame:
     return df.select(F.concat_ws(separator, *[as_text(F.col(n), k) for n, k in kinds(df).items()]).alias("value"))
 
 
-VALUE = T.StructType([T.StructField("value", T.StringType())])
+def write_stored(df: DataFrame, path: str, codec: str = "zstd", append: bool = False) -> None:
+    """Record a stream as Parquet; codecs are those of Parquet (zstd, snappy, gzip, lz4, uncompressed)."""
+    df.write.mode("append" if append else "overwrite").option("compression", codec).parquet(path)
+
+
+def send_lines(rows: DataFrame, host: str, port: int) -> None:
+    """Send texts (column ``value``) as lines to a socket, one connection for each task."""
+    import socket
+
+    def send(part) -> None:
+        link = None
+        for r in part:
+            link = link or socket.create_connection((host, port), 30)
+            link.sendall(r["value"].encode() + b"\n")
+        if link:
+            link.close()
+
+    rows.select("value").foreachPartition(send)
+
+
+def send_mails(mails: DataFrame, host: str, port: int, sender: str, receiver: str, subject: str) -> None:
+    """Send texts (column ``mail``) through a mail server, one connection for each task."""
+    import smtplib
+    from email.message import EmailMessage
+
+    def send(part) -> None:
+        server = None
+        for r in part:
+            server = server or smtplib.SMTP(host, port, timeout=30)
+            m = EmailMessage()
+            m["From"], m["To"], m["Subject"] = sender, receiver, subject
+            m.set_content(r["mail"])
+            server.send_message(m)
+        if server:
+            server.quit()
+
+    mails.select("mail").foreachPartition(send)

@@ -6,12 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.aggregate import Agg, built
+from ..operators.project import tagged_routes
 from ..operators.timeseries import Rule, _column, stepped
 from ..schema import required
 
@@ -97,9 +98,10 @@ def one_way(df: DataFrame, history: str = "120 seconds") -> DataFrame:
     """Replies without a request on a stream: a left outer interval join that keeps what met nothing."""
     kind = F.shiftright(F.col("DST_PORT").cast("int"), 8)
     reply = ((F.col("PROTOCOL") == 6) & F.col("TCP_FLAGS").isin(18, 4)) | ((F.col("PROTOCOL") == 1) & kind.isin(0, 3, 4, 5, 11, 12, 14, 16, 18))
-    timed = df.withColumn("t", F.col("TIME_LAST").cast("timestamp"))
-    mine = timed.where(reply).select("seq", "SRC_IP", "DST_IP", "t").withWatermark("t", history)
-    seen = timed.where(~((F.col("PROTOCOL") == 6) & F.col("TCP_FLAGS").isin(4, 20))).select(F.col("SRC_IP").alias("s"), F.col("DST_IP").alias("d"), F.col("t").alias("u")).withWatermark("u", history)
+    # the watermark stands before the filters, so records that are neither move the time on too
+    timed = df.withColumn("t", F.col("TIME_LAST").cast("timestamp")).withWatermark("t", history)
+    mine = timed.where(reply).select("seq", "SRC_IP", "DST_IP", "t")
+    seen = timed.where(~((F.col("PROTOCOL") == 6) & F.col("TCP_FLAGS").isin(4, 20))).select(F.col("SRC_IP").alias("s"), F.col("DST_IP").alias("d"), F.col("t").alias("u"))
     joined = mine.join(seen, F.expr(f"SRC_IP = d and DST_IP = s and u >= t - interval {history} and u <= t + interval {history}"), "left_outer")
     return joined.where("s is null").select("seq", "SRC_IP", "DST_IP", "t")
 
@@ -121,5 +123,22 @@ def progress(query) -> list[dict]:
     return [{"batch": p["batchId"], "rows": p["numInputRows"]} for p in query.recentProgress]
 
 
-def filtered(df: DataFrame, condition: Column) -> DataFrame:
-    return df.where(condition)
+def reloading(df: DataFrame, path: str, act: Callable[[DataFrame, int], None], checkpoint: str):
+    """Route a stream by filters that can change while it runs: ``path`` (text, ``TEMPLATE:FILTER;…``) is read again for each micro-batch.
+
+    ``act`` gets the batch's records with ``out_id``. If the file doesn't parse, the last good one holds.
+    """
+    last: dict[str, str] = {}
+
+    def each(batch: DataFrame, number: int) -> None:
+        text = "\n".join(r["value"] for r in batch.sparkSession.read.option("wholetext", True).text(path).collect())
+        try:
+            routed = tagged_routes(batch, text)
+            last["text"] = text
+        except ValueError:
+            if "text" not in last:
+                raise
+            routed = tagged_routes(batch, last["text"])
+        act(routed, number)
+
+    return for_each(df, each, checkpoint)

@@ -10,11 +10,6 @@ def test_same_as_sql(spark, sf_dir, same_rows, name):
     same_rows(catalog.QUERIES[name](spark, sf_dir), catalog.ORACLES[name])
 
 
-def test_without_sql(spark, sf_dir):
-    out = catalog.QUERIES["u3_multi_label"](spark, sf_dir).toPandas()
-    assert (out.web == out.is_web).mean() > 0.8 and (out.server == out.is_server).mean() > 0.8
-
-
 def test_entry(spark):
     import __spark_entry__ as entry
 
