@@ -6,26 +6,35 @@ after an end. These context restaurants share one parent restaurant over all
 words, whose base is uniform over them and one unknown word. So the
 probabilities of all words in a context sum to one.
 
-Customers are all tokens of the training texts. In a Gibbs sweep all customers
-of a dish leave their restaurant and are seated anew, one after another (in
-blocks that grow with the dish once it has 64 customers): at an existing table
-with weight i - d t, at a new one with weight (strength + d tables) times the
-parent's probability. New tables are the parent's customers. Discounts come
+Customers are all tokens of the training texts, and new tables are the
+parent's customers. Seats are sampled by Gibbs: of each dish one customer after
+another leaves and is seated anew, at a table of the dish with weight
+c - 1 - d t or at a new one with weight (strength + d tables) times the parent's
+probability, with the counts of all others as they are at that moment. Table
+sizes are summed out: a customer that leaves was alone with the probability
+that the sizes of t tables of c customers give it (ratios of generalised
+Stirling numbers; above MOST_EXACT customers their limit). Restaurants are
+independent given the parent, so they are sampled side by side, each one
+customer at a time. The parent is one restaurant over all machines: each hash
+range samples its own words, takes the other ranges' tables in proportion to
+its own, and brings the number of tables up to date once for each block.
+Strengths are sampled from the tables (auxiliary variables); discounts come
 from the numbers of dishes with one and two customers.
 
-Everything that grows with the corpus is held by hash range. One shuffle brings
-each pair (context, word), with the texts it stands in, to the range of its
-context. Since a text's contexts are its tokens (each end stands before the
-first word instead of after the last), a range also has the counts of its
-words. Two exchanges with the ranges of the next words give the parent's
-customers: at first each pair has one table, then the tables after burn-in. A
-word's parent probability depends on its number of customers only, so the
-ranges answer with that number. In the sweeps after burn-in the parent stays as
-it is; tables are averaged over them.
+Everything that grows with the corpus is held by hash range. Each chunk of
+texts sends its distinct pairs (context, word) once, with their counts in
+training texts, to the range of the context; the range sends back a
+probability for each of them, in the same order. Since a text's contexts are
+its tokens (each end stands before the first word instead of after the last),
+the range also has the counts of its words. Two exchanges with the ranges of
+the words give the parent's customers: at first each pair has one table, then
+the tables after burn-in. Then tables are averaged over further sweeps, and so
+are the predictive probabilities, which are linear in them.
 
 Defined results: null and empty texts are one end token; repeated rows count
 and are scored each; with no training text every count is 0 and base_score
 is log10 of the formula with N = V = 0, that is 0; other columns never enter.
+Of a long text some ten bytes are held for each token.
 """
 
 from __future__ import annotations
@@ -41,24 +50,32 @@ from pyspark.sql import functions as F
 from . import sampling, storage
 from . import text as tx
 
-STRENGTH = 1.0
 BURN_IN, SWEEPS = 4, 6
-BYTES_PER_RANGE, BYTES_PER_CHUNK = 16 << 20, 4 << 20
-#: Words whose tables are sampled for each count of customers.
-WORDS_PER_COUNT = 4000
+#: Customers of a dish up to which the probability that one sits alone is exact.
+MOST_EXACT = 512
+#: Bytes of text for each range, least and most, and ranges from which on they grow.
+LEAST_RANGE, MOST_RANGE, MANY_RANGES = 8 << 20, 256 << 20, 4096
+#: Bytes of text of a chunk, least and most, and for each range; ranges of pairs for each range of words.
+LEAST_CHUNK, MOST_CHUNK, CHUNK_PER_RANGE, RANGES_PER_ROOT = 4 << 20, 64 << 20, 1 << 10, 16
+#: Restaurants from which on their next dishes are sampled together; words of the parent that are.
+SIDE_BY_SIDE, ROOT_BLOCK = 32, 1024
 END = tx.mix(np.array([0xE4D], np.uint64))[0]
 U = np.uint64
 
 
 def tokenised(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of all texts, each with its end, and the place of each text's first token."""
-    words = tx.split(texts, lower=True)
-    first = words.first + np.arange(len(words.first))
+    """Token hashes of all texts, each with its end, and the place of each text's first token (one more at the end)."""
+    own, counts = [], np.zeros(len(texts), np.int64)
+    for parts, numbers in tx.cut_up(texts, list(range(len(texts))), limit=tx.CHUNK_BYTES):
+        words = tx.split(parts, lower=True)
+        own.append(words.hashes())
+        np.add.at(counts, numbers, words.counts)
+    first = np.concatenate(([0], np.cumsum(counts + 1)))
     out = np.empty(int(first[-1]), np.uint64)
-    own = np.ones(len(out), bool)
-    own[first[1:] - 1] = False
-    out[own] = words.hashes()
-    out[~own] = END
+    word = np.ones(len(out), bool)
+    word[first[1:] - 1] = False
+    out[word] = np.concatenate([np.empty(0, np.uint64), *own])
+    out[~word] = END
     return out, first
 
 
@@ -90,7 +107,7 @@ def grown(data: bytes, dtype: str, ascending: bool = False) -> np.ndarray:
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
     fields = [f.split() for f in schema.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[t]) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
 
@@ -101,314 +118,398 @@ def _lists(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*(b.column(c).to_pylist() for c in names), strict=True)
 
 
-ASKED = "part int, chunk long, ids array<long>, held array<boolean>, ctx binary, runs binary, dishes binary, dish binary, texts binary"
-RANGES = "part int, chunk long, ids array<long>, held array<boolean>, runs binary, dishes binary, dish binary, counts binary, asks binary, ask binary, chunks binary, texts binary, tokens long, words long, ones long, twos long"
-TOLD, HEARD = "part int, home int, dishes binary, guests binary", "part int, home int, guests binary, many binary"
+# --- seats -----------------------------------------------------------------
 
+_ALONE: dict[float, np.ndarray] = {}
 
-def pair_ranges(source: DataFrame, ranges: int) -> DataFrame:
-    """A row for each hash range of contexts, and one for each chunk of texts with its ids (parts from ``ranges`` on).
+
+def alone(counts: np.ndarray, tables: np.ndarray, d: float) -> np.ndarray:
+    """The probability that one of c customers at t tables of a dish sits alone: S(c - 1, t - 1) / S(c, t)."""
+    if d not in _ALONE:
+        n = MOST_EXACT
+        log = np.full((n + 1, n + 1), -np.inf)
+        log[0, 0] = 0.0
+        t = np.arange(1, n + 1)
+        for c in range(1, n + 1):  # S(c, t) = S(c - 1, t - 1) + (c - 1 - t d) S(c - 1, t)
+            log[c, 1:] = np.logaddexp(log[c - 1, :-1], np.log(np.maximum(c - 1 - t * d, 1e-300)) + log[c - 1, 1:])
+        with np.errstate(invalid="ignore"):
+            table = np.exp(np.concatenate([np.full((1, n + 1), -np.inf), np.concatenate([np.full((n, 1), -np.inf), log[:-1, :-1]], axis=1)]) - log)
+        _ALONE.clear()
+        _ALONE[d] = np.nan_to_num(table)
+    few = counts <= MOST_EXACT
+    out = d * (tables - 1) / np.maximum(counts - 1 - d, 1e-9)
+    out[few] = _ALONE[d][counts[few], tables[few]]
+    return out
+
+
+def opened(counts: np.ndarray, base: np.ndarray, free: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables to begin with: each dish's customers enter one after another, ``free`` as the weight of a new table before the base."""
+    tables = (counts > 0).astype(np.int64)
+    order = np.argsort(-counts, kind="stable")
+    seen, weight = 1, free * base
+    while True:
+        some = order[: int(np.searchsorted(-counts[order], -seen, side="left"))]  # dishes with more than ``seen`` customers
+        if not len(some):
+            return tables
+        block = 1 if seen < 64 else seen // 32
+        p = weight[some] / (weight[some] + np.maximum(seen - d * tables[some], 1e-12))
+        tables[some] += rng.binomial(np.minimum(block, counts[some] - seen), p)
+        seen += block
+
+
+class Restaurants:
+    """Context restaurants: pairs (restaurant, dish) in order of the restaurant, with customers and the parent's probability."""
+
+    def __init__(self, owner: np.ndarray, n: int, counts: np.ndarray, base: np.ndarray, d: float, strength: float, rng: np.random.Generator):
+        self.owner, self.n, self.counts, self.base, self.d, self.strength, self.rng = owner, n, counts, base, d, strength, rng
+        self.tables = (counts > 0).astype(np.int64)
+        total = np.bincount(owner, self.tables, n)
+        some = np.flatnonzero(counts > 1)  # one customer has one table
+        self.tables[some] = opened(counts[some], base[some], strength + d * total[owner[some]], d, rng)
+        # the k-th dishes of all restaurants stand together
+        here = owner[some]
+        begin = np.flatnonzero(np.diff(here, prepend=-1))
+        sizes = np.diff(begin, append=len(here))
+        rank = np.arange(len(here)) - np.repeat(begin, sizes)
+        order = np.argsort(rank, kind="stable")
+        self.some = some[order]
+        edges = np.searchsorted(rank[order], np.arange(int(sizes.max()) + 1 if len(sizes) else 1))
+        wide = np.diff(edges, append=len(here)) >= SIDE_BY_SIDE
+        steps = int(wide.argmin()) if not wide.all() else len(wide)
+        self.edges = [*edges[: steps + 1].tolist()] if steps < len(edges) else [*edges.tolist(), len(here)]
+        rest = self.some[self.edges[-1] :]
+        order = np.argsort(owner[rest], kind="stable")
+        self.rest = rest[order]
+        self.some = np.concatenate([self.some[: self.edges[-1]], self.rest])
+
+    def sweep(self) -> None:
+        """One customer of each dish leaves and is seated anew, in each restaurant one after another."""
+        some, d = self.some, self.d
+        if not len(some):
+            return
+        counts, tables, base, owner = self.counts[some], self.tables[some], self.base[some], self.owner[some]
+        total = np.bincount(self.owner, self.tables, self.n)
+        gone = (self.rng.random(len(some)) < alone(counts, tables, d)).astype(np.int64)
+        tables = tables - gone
+        stay = counts - 1 - d * tables
+        luck = self.rng.random(len(some))
+        for i, j in zip(self.edges[:-1], self.edges[1:], strict=True):
+            at = owner[i:j]
+            now = total[at] - gone[i:j]
+            new = (self.strength + d * now) * base[i:j]
+            more = luck[i:j] * (new + stay[i:j]) < new
+            tables[i:j] += more
+            total[at] = now + more
+        i = self.edges[-1]
+        last, now, added = -1, 0.0, []
+        for r, g, b, s, u in zip(owner[i:].tolist(), gone[i:].tolist(), base[i:].tolist(), stay[i:].tolist(), luck[i:].tolist(), strict=True):
+            if r != last:
+                last, now = r, float(total[r])
+            now -= g
+            new = (self.strength + d * now) * b
+            more = u * (new + s) < new
+            now += more
+            added.append(more)
+        tables[i:] += np.array(added, np.int64)
+        self.tables[some] = tables
+
+    def averaged(self, times: int) -> np.ndarray:
+        total = np.zeros(len(self.tables))
+        for _ in range(times):
+            self.sweep()
+            total += self.tables
+        return total / times
+
+    def probabilities(self, mean: np.ndarray) -> np.ndarray:
+        """Of each pair, with the mean number of tables."""
+        customers = np.bincount(self.owner, self.counts, self.n) + self.strength
+        free = (self.strength + self.d * np.bincount(self.owner, mean, self.n)) / customers
+        return (self.counts - self.d * mean) / customers[self.owner] + free[self.owner] * self.base
+
+    def auxiliary(self) -> tuple[float, float]:
+        """Sums over the restaurants for the strength's posterior: successes, and minus the logs of the Beta variables."""
+        customers, tables = np.bincount(self.owner, self.counts, self.n), np.bincount(self.owner, self.tables, self.n)
+        customers, tables = customers[customers > 1], tables[customers > 1]
+        logs = -np.log(np.maximum(self.rng.beta(self.strength + 1, customers - 1), 1e-300)).sum()
+        return float(successes(tables, self.strength, self.d).sum()), float(logs)
+
+
+def successes(tables: np.ndarray, strength: float, d: float) -> np.ndarray:
+    """The expected number of successes with probability strength / (strength + d i), i from 1 to t - 1."""
+    return strength / d * np.log((strength + d * np.maximum(tables - 0.5, 0.5)) / (strength + d / 2))
+
+
+def root_tables(guests: np.ndarray, words: int, d: float, strength: float, rng: np.random.Generator) -> np.ndarray:
+    """Mean tables of one range's words in the parent; ``words`` are those of all ranges."""
+    out = (guests > 0).astype(float)
+    own = int((guests > 0).sum())
+    some = np.flatnonzero(guests > 1)
+    if not len(some):
+        return out
+    share, base = words / own, np.full(len(some), 1.0 / (words + 1))
+    counts = guests[some]
+    tables = opened(counts, base, np.full(len(some), strength + d * words), d, rng)
+    single = own - len(some)
+    mean = np.zeros(len(some))
+    for sweep in range(BURN_IN + SWEEPS):
+        total = float(tables.sum() + single)
+        for i in range(0, len(some), ROOT_BLOCK):
+            s = slice(i, i + ROOT_BLOCK)
+            before = tables[s].sum()
+            gone = rng.random(len(counts[s])) < alone(counts[s], tables[s], d)
+            left = tables[s] - gone
+            new = (strength + d * (total * share - gone)) * base[s]
+            tables[s] = left + (rng.random(len(left)) * (new + counts[s] - 1 - d * left) < new)
+            total += float(tables[s].sum() - before)
+        if sweep >= BURN_IN:
+            mean += tables
+    out[some] = mean / SWEEPS
+    return out
+
+
+def discount(one: float, two: float) -> float:
+    """n1 / (n1 + 2 n2), kept within [0.05, 0.95]."""
+    return min(0.95, max(0.05, one / (one + 2 * two))) if one + two else 0.5
+
+
+def strength_drawn(done: float, logs: float, seed: int) -> float:
+    """A draw from the strength's posterior under a Gamma(1, 1) prior."""
+    return float(max(0.01, np.random.default_rng(seed).gamma(1 + done, 1 / (1 + logs))))
+
+
+# --- exchanges -------------------------------------------------------------
+
+ASKED = "part int, chunk long, ids array<long>, held array<boolean>, lengths binary, entry binary, ctx binary, runs binary, dishes binary, dish binary, counts binary"
+RANGES = "part int, chunk long, ids array<long>, held array<boolean>, lengths binary, entry binary, runs binary, dishes binary, dish binary, counts binary, chunks array<long>, sizes array<long>, places binary, tokens long, words long, ones long, twos long, word_ones long, word_twos long"
+TOLD, HEARD = "root int, home int, dishes binary, guests binary", "part int, home int, q binary, customers double, tables double"
+
+
+class Shape:
+    """Ranges of contexts and of words, and bytes of a chunk, for so many bytes of text."""
+
+    def __init__(self, size: int):
+        self.ranges = max(16, min(size // LEAST_RANGE, MANY_RANGES), size // MOST_RANGE)
+        self.roots = max(16, self.ranges // RANGES_PER_ROOT)
+        self.chunk = min(MOST_CHUNK, max(LEAST_CHUNK, self.ranges * CHUNK_PER_RANGE))
+
+
+def pair_ranges(source: DataFrame, shape: Shape, parts: int) -> DataFrame:
+    """A row for each hash range of contexts, and one for each chunk of texts (parts from ``shape.ranges`` on).
 
     A range has all pairs (context, next token), by context: ``runs`` pairs
     each, their ``dish`` as a place in ``dishes`` and their ``counts`` in
-    training texts. Each pair stands ``asks`` times in all texts, ``ask`` gives
-    these as places in (``chunks``, ``texts``).
+    training texts; and for each of ``chunks`` the ``places`` of its pairs. A
+    chunk has its texts' ids and ``lengths`` in tokens, and for each token its
+    pair's number among the chunk's pairs (``entry``).
     """
+    ranges = shape.ranges
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for texts, ids, held in tx.chunked(batches, ["text", "doc_id", "held_out"], BYTES_PER_CHUNK):
+        for texts, ids, held in tx.chunked(batches, ["text", "doc_id", "held_out"], shape.chunk):
             tokens, first = tokenised(texts)
+            lengths = np.diff(first)
             before = np.empty_like(tokens)
             before[1:] = tokens[:-1]
             before[first[:-1]] = END
-            text_of = np.repeat(np.arange(len(ids)) * 2 + ~np.array(held, bool), np.diff(first))
             order = np.lexsort((tokens, before))
-            before, tokens, text_of = before[order], tokens[order], text_of[order]
-            yield _batch([(ranges + number % ranges, number, ids, held, None, shrunk(np.diff(first), "<u4"), None, None, None)], ASKED)
+            before, tokens = before[order], tokens[order]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (before[1:] != before[:-1]) | (tokens[1:] != tokens[:-1])
+            begin = np.flatnonzero(fresh)
+            entry = np.empty(len(order), np.uint32)
+            entry[order] = np.cumsum(fresh) - 1
+            train = np.repeat(~np.array(held, bool), lengths).astype(np.int64)
+            counts = np.add.reduceat(train[order], begin)
+            before, tokens = before[begin], tokens[begin]
+            yield _batch([(ranges + number % ranges, number, ids, held, shrunk(lengths, "<u4"), shrunk(entry, "<u4"), *[None] * 5)], ASKED)
             for p, s in _pieces(before, part_of(before, ranges)):
                 ctx, runs = np.unique(before[s], return_counts=True)
                 dishes, dish = np.unique(tokens[s], return_inverse=True)
-                yield _batch([(p, number, None, None, shrunk(ctx, "<u8", True), shrunk(runs, "<u4"), shrunk(dishes, "<u8", True), shrunk(dish, "<u4"), shrunk(text_of[s], "<u4"))], ASKED)
+                yield _batch([(p, number, None, None, None, None, shrunk(ctx, "<u8", True), shrunk(runs, "<u4"), shrunk(dishes, "<u8", True), shrunk(dish, "<u4"), shrunk(counts[s], "<u4"))], ASKED)
             number += 1
 
     def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = key[0].as_py()
-        all_chunks, all_ctx, all_runs, all_dishes, all_dish, all_texts = [], [], [], [], [], []
-        for chunk, ids, held, ctx, runs, dishes, dish, texts in _lists(batches, "chunk", "ids", "held", "ctx", "runs", "dishes", "dish", "texts"):
+        chunks, all_ctx, all_runs, all_dishes, all_dish, all_counts = [], [], [], [], [], []
+        for chunk, ids, held, lengths, entry, ctx, runs, dishes, dish, counts in _lists(batches, *[f.split()[0] for f in ASKED.split(", ")[1:]]):
             if part >= ranges:
-                yield _batch([(part, chunk, ids, held, runs, *[None] * 7, 0, 0, 0, 0)], RANGES)
+                yield _batch([(part, chunk, ids, held, lengths, entry, *[None] * 7, *[0] * 6)], RANGES)
                 continue
-            all_chunks.append(chunk)
+            chunks.append(chunk)
             all_ctx.append(grown(ctx, "<u8", True))
             all_runs.append(grown(runs, "<u4"))
-            all_dish.append(grown(dish, "<u4"))
             all_dishes.append(grown(dishes, "<u8", True))
-            all_texts.append(grown(texts, "<u4"))
+            all_dish.append(grown(dish, "<u4"))
+            all_counts.append(grown(counts, "<u4"))
         if part >= ranges:
             return
+        sizes = [len(c) for c in all_counts]
         ctxs, place = np.unique(np.concatenate(all_ctx), return_inverse=True)
         key_of = np.repeat(place, np.concatenate(all_runs))
         dishes, place = np.unique(np.concatenate(all_dishes), return_inverse=True)
         shift = np.cumsum([0, *map(len, all_dishes[:-1])])
         key_of = key_of * len(dishes) + place[np.concatenate([d + k for d, k in zip(all_dish, shift.tolist(), strict=True)])]
         del all_ctx, all_runs, all_dishes, all_dish, place
-        texts = np.concatenate([t.astype(np.int64) | k << 33 for k, t in enumerate(all_texts)])  # 2 * text + train, behind the chunk
-        del all_texts
-        order = np.argsort(key_of, kind="stable")
-        key_of, texts = key_of[order], texts[order]
-        begin = np.flatnonzero(np.diff(key_of, prepend=-1))
-        asks, pairs = np.diff(begin, append=len(key_of)), key_of[begin]
-        counts = np.add.reduceat(texts & 1, begin)
-        met, ask = np.unique(texts >> 1, return_inverse=True)
+        pairs, places = np.unique(key_of, return_inverse=True)
+        del key_of
+        counts = np.bincount(places, np.concatenate(all_counts), len(pairs)).astype(np.int64)
         of_ctx = pairs // len(dishes)
         totals = np.bincount(of_ctx, counts, len(ctxs))
-        values = [shrunk(np.bincount(of_ctx, minlength=len(ctxs)), "<u4"), shrunk(dishes, "<u8", True), shrunk(pairs % len(dishes), "<u4"), shrunk(counts, "<i8"), shrunk(asks, "<u4"), shrunk(ask, "<u4")]
-        values += [shrunk(np.array(all_chunks, np.int64)[met >> 32], "<i8"), shrunk(met & 0xFFFFFFFF, "<u4")]
-        yield _batch([(part, None, None, None, *values, int(totals.sum()), int((totals > 0).sum()), int((counts == 1).sum()), int((counts == 2).sum()))], RANGES)
+        values = [shrunk(np.bincount(of_ctx, minlength=len(ctxs)), "<u4"), shrunk(dishes, "<u8", True), shrunk(pairs % len(dishes), "<u4"), shrunk(counts, "<i8")]
+        seen = [totals.sum(), (totals > 0).sum(), (counts == 1).sum(), (counts == 2).sum(), (totals == 1).sum(), (totals == 2).sum()]
+        yield _batch([(part, None, None, None, None, None, *values, chunks, sizes, shrunk(places, "<u4"), *map(int, seen))], RANGES)
 
-    return source.select("text", "doc_id", "held_out").mapInArrow(asked, ASKED).groupBy("part").applyInArrow(merged, RANGES)
+    rows = source.select("text", "doc_id", "held_out").mapInArrow(asked, ASKED)
+    return rows.repartition(parts, "part").groupBy("part").applyInArrow(merged, RANGES)
 
 
-def _told(part: int, dishes: np.ndarray, guests: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
-    for p, s in _pieces(dishes, part_of(dishes, ranges)):
+def told_of(part: int, dishes: np.ndarray, guests: np.ndarray, roots: int) -> Iterator[pa.RecordBatch]:
+    for p, s in _pieces(dishes, part_of(dishes, roots)):
         yield _batch([(p, part, shrunk(dishes[s], "<u8", True), shrunk(guests[s], "<i8"))], TOLD)
 
 
-def heard(told: DataFrame) -> DataFrame:
-    """The parent's customers of each dish, told to all ranges that have it; rows of part -1 have the numbers of dishes by customers."""
+def heard(told: DataFrame, words: int, d: float, strength: float, seed: int, parts: int) -> DataFrame:
+    """Seat the parent's words by range. Each range of contexts hears q = customers - d tables of its dishes; rows of part -1 have sums."""
 
     def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(h, grown(d, "<u8", True), grown(g, "<i8")) for h, d, g in _lists(batches, "home", "dishes", "guests")]
-        dishes, place = np.unique(np.concatenate([d for _, d, _ in rows]), return_inverse=True)
+        rows = [(h, grown(x, "<u8", True), grown(g, "<i8")) for h, x, g in _lists(batches, "home", "dishes", "guests")]
+        dishes, place = np.unique(np.concatenate([x for _, x, _ in rows]), return_inverse=True)
         guests = np.bincount(place, np.concatenate([g for _, _, g in rows]), len(dishes)).astype(np.int64)
         here, at = key[0].as_py(), 0
-        for home, d, _ in rows:
-            yield _batch([(home, here, shrunk(guests[place[at : at + len(d)]], "<i8"), None)], HEARD)
-            at += len(d)
-        kinds, many = np.unique(guests[guests > 0], return_counts=True)
-        yield _batch([(-1, here, shrunk(kinds, "<i8"), shrunk(many, "<i8"))], HEARD)
-
-    return told.groupBy("part").applyInArrow(merged, HEARD)
-
-
-def parent_of(answers: DataFrame) -> dict[str, np.ndarray]:
-    """fit_rare of the parent's customers; of these the driver gets the distinct numbers, at most sqrt(2 N) in all."""
-    by_count: dict[int, int] = {}
-    for r in answers.where("part = -1").select("guests", "many").toLocalIterator():
-        for k, m in zip(grown(r["guests"], "<i8").tolist(), grown(r["many"], "<i8").tolist(), strict=True):
-            by_count[k] = by_count.get(k, 0) + m
-    kinds = np.array(sorted(by_count), np.int64)
-    return fit_rare(kinds, np.array([by_count[k] for k in kinds.tolist()], np.int64))
-
-
-class Seats:
-    """The context restaurants of one range, seated with the parent's probabilities as they are."""
-
-    def __init__(self, runs: bytes, dish: bytes, counts: bytes, answers: list[tuple[int, bytes]], parent: dict, d: float, seed: list[int]):
-        runs_ = grown(runs, "<u4")
-        self.n, self.dish, self.counts = len(runs_), grown(dish, "<u4"), grown(counts, "<i8")
-        self.ctx = np.repeat(np.arange(self.n), runs_)
-        guests = np.concatenate([grown(g, "<i8") for _, g in sorted(answers)])
-        self.base = 10.0 ** parent["log"][np.searchsorted(parent["counts"], guests)]
-        self.d, self.rng = d, np.random.default_rng(seed)
-        self.tables = (self.counts > 0).astype(np.float64)
-
-    def sweeps(self, times: int) -> np.ndarray:
-        """Tables of each pair, averaged over the sweeps."""
-        some = np.flatnonzero(self.counts > 1)  # one customer has one table
-        c, ctx, base = self.counts[some], self.ctx[some], self.base[self.dish[some]]
-        total = np.zeros(len(some))
-        for _ in range(times):
-            per_context = np.bincount(self.ctx, self.tables, self.n)
-            self.tables[some] = seated(c, per_context[ctx] - self.tables[some], base, self.d, self.rng)
-            total += self.tables[some]
-        mean = self.tables.copy()
-        mean[some] = total / times
-        return mean
+        tables = root_tables(guests, words, d, strength, np.random.default_rng([seed, here]))
+        q = guests - d * tables
+        for home, x, _ in rows:
+            yield _batch([(home, here, shrunk(q[place[at : at + len(x)]], "<f8"), None, None)], HEARD)
+            at += len(x)
+        yield _batch([(-1, here, None, float(guests.sum()), float(tables.sum()))], HEARD)
 
-    def logs(self, mean: np.ndarray) -> np.ndarray:
-        """log10 of each pair's probability."""
-        rows = np.bincount(self.ctx, self.counts, self.n) + STRENGTH
-        free = (STRENGTH + self.d * np.bincount(self.ctx, mean, self.n)) / rows
-        return np.log10((self.counts - self.d * mean) / rows[self.ctx] + free[self.ctx] * self.base[self.dish])
+    return told.repartition(parts, "root").groupBy("root").applyInArrow(merged, HEARD)
 
 
-def discount(counts: np.ndarray, many: np.ndarray | None = None) -> float:
-    """n1 / (n1 + 2 n2), kept within [0.05, 0.95]."""
-    many = np.ones(len(counts), np.int64) if many is None else many
-    one, two = float(many[counts == 1].sum()), float(many[counts == 2].sum())
-    return min(0.95, max(0.05, one / (one + 2 * two))) if one + two else 0.5
-
-
-def seated(counts: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish after all its customers were seated anew.
-
-    ``others`` are the tables of the restaurant's other dishes, ``base`` the
-    parent's probability of the dish. The first customer opens a table.
-    """
-    order = np.argsort(-counts, kind="stable")
-    counts, others, base = counts[order], others[order].astype(float), base[order]
-    tables = (counts > 0).astype(np.float64)
-    seen = 1
-    while True:
-        active = int(np.searchsorted(-counts, -seen, side="left"))  # dishes with more than ``seen`` customers
-        if not active:
-            break
-        block = 1 if seen < 64 else seen // 32
-        t = tables[:active]
-        new = (STRENGTH + d * (others[:active] + t)) * base[:active]
-        p = new / (new + np.maximum(seen - d * t, 1e-12))
-        if block == 1:
-            tables[:active] += rng.random(active) < p
-        else:
-            tables[:active] += rng.binomial(np.minimum(block, counts[:active] - seen), p)
-        seen += block
-    out = np.empty_like(tables)
-    out[order] = tables
-    return out
+class Parent:
+    """The parent's probability of a word from its q, and of an unknown one (q = 0)."""
 
+    def __init__(self, customers: float, tables: float, words: int, d: float, strength: float):
+        self.rows = strength + customers
+        self.free = (strength + d * tables) / (words + 1)
+        self.tables, self.customers, self.d, self.strength = tables, customers, d, strength
 
-def fit_classes(pairs: np.ndarray) -> np.ndarray:
-    """Averaged predictive probabilities of few words, all in memory, the parent seated in each sweep: row = context, column = next word.
+    def of(self, q: np.ndarray) -> np.ndarray:
+        return (q + self.free) / self.rows
 
-    Tests hold the ranges against it.
-    """
-    rng = np.random.default_rng(17)
-    n = len(pairs)
-    context, dish = np.nonzero(pairs)
-    c = pairs[context, dish]
-    d, uniform = discount(c), np.full(n, 1.0 / n)
-    tables = np.ones(len(c))
-    parent = uniform
-    top_tables = np.ones(n)
-    total, rows = np.zeros((n, n)), pairs.sum(axis=1).astype(float)
-    for sweep in range(BURN_IN + SWEEPS):
-        per_context = np.bincount(context, tables, n)
-        tables = seated(c, per_context[context] - tables, parent[dish], d, rng)
-        guests = np.bincount(dish, tables, n)
-        d0 = discount(guests[guests > 0])
-        top_tables = seated(guests.astype(np.int64), top_tables.sum() - top_tables, uniform, d0, rng)
-        parent = (guests - d0 * top_tables + (STRENGTH + d0 * top_tables.sum()) * uniform) / (STRENGTH + guests.sum())
-        if sweep >= BURN_IN:
-            per_context = np.bincount(context, tables, n)
-            now = ((STRENGTH + d * per_context) / (STRENGTH + rows))[:, None] * parent[None]
-            now[context, dish] += (c - d * tables) / (STRENGTH + rows[context])
-            total += now
-    return total / SWEEPS
-
-
-def fit_rare(kinds: np.ndarray, many: np.ndarray) -> dict[str, np.ndarray]:
-    """log10 of a word's averaged probability in the parent by its customers; counts[0] is 0, an unknown word's."""
-    rng = np.random.default_rng(19)
-    kinds, many = kinds[many > 0], many[many > 0]
-    words, customers = int(many.sum()), float((kinds * many).sum())
-    base = 1.0 / (words + 1)
-    if not words:
-        return {"counts": np.zeros(1, np.int64), "log": np.zeros(1)}
-    d = discount(kinds, many)
-    n = np.minimum(many, WORDS_PER_COUNT)
-    counts, group = np.repeat(kinds, n), np.repeat(np.arange(len(kinds)), n)
-    tables, total = np.ones(len(counts)), np.zeros(len(kinds) + 1)
-    for sweep in range(BURN_IN + SWEEPS):
-        mean = np.bincount(group, tables, len(kinds)) / n
-        tables = seated(counts, (mean * many).sum() - tables, np.full(len(counts), base), d, rng)
-        if sweep >= BURN_IN:
-            mean = np.bincount(group, tables, len(kinds)) / n
-            free = (STRENGTH + d * (mean * many).sum()) * base
-            total[0] += free / (STRENGTH + customers)
-            total[1:] += (kinds - d * mean + free) / (STRENGTH + customers)
-    return {"counts": np.concatenate(([0], kinds)), "log": np.log10(total / SWEEPS)}
+    def strength_drawn(self, seed: int) -> float:
+        if self.customers < 2:
+            return self.strength
+        x = np.random.default_rng([seed, 1]).beta(self.strength + 1, self.customers - 1)
+        return strength_drawn(float(successes(np.array([self.tables]), self.strength, self.d)[0]), -float(np.log(max(x, 1e-300))), seed)
 
 
 def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of each row of ``docs``."""
     spark = docs.sparkSession
     folder = storage.shared_dir(spark)
-    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = sampling.fold("doc_id", folds) == out_fold
     source = docs.select(F.col("text").cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(16, size // BYTES_PER_RANGE)
-    pairs = storage.stored(pair_ranges(source, ranges), folder, "ranges")
+    size = storage.text_bytes(docs)
+    shape, parts = Shape(size), storage.parts_for(spark, size, storage.TASK_BYTES // 2)
+    pairs = storage.stored(pair_ranges(source, shape, parts), folder, "ranges")
     spark.sparkContext._jvm.System.gc()  # so Spark removes the files of the shuffle
-    rows = pairs.where(F.col("part") < ranges)
-    n_all, n_kinds, ones, twos = (x or 0 for x in rows.agg(*[F.sum(c) for c in ("tokens", "words", "ones", "twos")]).first())
-    d = discount(np.array([1, 2]), np.array([ones, twos]))
+    rows = pairs.where(F.col("part") < shape.ranges)
+    names = ("tokens", "words", "ones", "twos", "word_ones", "word_twos")
+    n_all, n_kinds, *of_counts = (x or 0 for x in rows.agg(*[F.sum(c) for c in names]).first())
+    d, d_root = discount(*of_counts[:2]), discount(*of_counts[2:])
     norm = float(np.log10(n_all + n_kinds + 1))
 
-    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, dishes, dish, counts in _lists(batches, "part", "dishes", "dish", "counts"):
             values = grown(dishes, "<u8", True)
-            yield from _told(part, values, np.bincount(grown(dish, "<u4"), grown(counts, "<i8") > 0, len(values)).astype(np.int64), ranges)
+            yield from told_of(part, values, np.bincount(grown(dish, "<u4"), grown(counts, "<i8") > 0, len(values)).astype(np.int64), shape.roots)
 
-    def with_answers(columns: list[str], answers: DataFrame) -> DataFrame:
-        own = rows.select("part", F.lit(-1).alias("home"), F.lit(None).cast("binary").alias("guests"), *columns)
-        return own.unionByName(answers.where("part >= 0").select("part", "home", "guests"), allowMissingColumns=True).groupBy("part")
+    def with_answers(columns: list[str], answers: DataFrame):
+        own = rows.select("part", F.lit(-1).alias("home"), F.lit(None).cast("binary").alias("q"), *columns)
+        both = own.unionByName(answers.where("part >= 0").select("part", "home", "q"), allowMissingColumns=True)
+        return both.repartition(parts, "part").groupBy("part")
 
-    def met(batches: Iterator[pa.RecordBatch], columns: list[str]) -> tuple[dict, list[tuple[int, bytes]]]:
+    def met(batches: Iterator[pa.RecordBatch], columns: list[str], parent: Parent, strength: float, seed: list[int]) -> tuple[dict, Restaurants]:
+        """A range's own columns, and its restaurants with the parent's answers, which come in the order of its dishes."""
         own, answers = {}, []
-        for home, guests, *values in _lists(batches, "home", "guests", *columns):
+        for home, q, *values in _lists(batches, "home", "q", *columns):
             if home < 0:
                 own = dict(zip(columns, values, strict=True))
             else:
-                answers.append((home, guests))
-        return own, answers
+                answers.append((home, q))
+        runs, dish = grown(own["runs"], "<u4"), grown(own["dish"], "<u4")
+        base = parent.of(np.concatenate([grown(q, "<f8") for _, q in sorted(answers)]))
+        owner = np.repeat(np.arange(len(runs)), runs)
+        return own, Restaurants(owner, len(runs), grown(own["counts"], "<i8"), base[dish], d, strength, np.random.default_rng(seed))
+
+    def parent_of(answers: DataFrame, strength: float) -> Parent:
+        sums = answers.where("part < 0").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).first()
+        return Parent(sums["c"] or 0.0, sums["t"] or 0.0, n_kinds, d_root, strength)
 
-    first = storage.stored(heard(rows.select("part", "dishes", "dish", "counts").mapInArrow(opened, TOLD)), folder, "first")
-    parent = spark.sparkContext.broadcast(parent_of(first))
-    some = ["runs", "dishes", "dish", "counts"]
+    told = rows.select("part", "dishes", "dish", "counts").mapInArrow(first_told, TOLD)
+    first = storage.stored(heard(told, n_kinds, d_root, 1.0, 19, parts), folder, "first")
+    parent, some = parent_of(first, 1.0), ["runs", "dishes", "dish", "counts"]
 
     def burnt_in(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, answers = met(batches, some)
         part = key[0].as_py()
-        seats = Seats(own["runs"], own["dish"], own["counts"], answers, parent.value, d, [17, part])
-        seats.sweeps(BURN_IN)
-        dishes = grown(own["dishes"], "<u8", True)
-        yield from _told(part, dishes, np.bincount(seats.dish, seats.tables, len(dishes)).astype(np.int64), ranges)
-
-    second = storage.stored(heard(with_answers(some, first).applyInArrow(burnt_in, TOLD)), folder, "second")
+        own, seats = met(batches, some, parent, 1.0, [17, part])
+        for _ in range(BURN_IN):
+            seats.sweep()
+        dishes, dish = grown(own["dishes"], "<u8", True), grown(own["dish"], "<u4")
+        yield from told_of(part, dishes, np.bincount(dish, seats.tables, len(dishes)).astype(np.int64), shape.roots)
+        yield _batch([(-1, part, None, np.array(seats.auxiliary(), "<f8").tobytes())], TOLD)
+
+    told = storage.stored(with_answers(some, first).applyInArrow(burnt_in, TOLD), folder, "told")
+    sums = np.zeros(2)
+    for r in told.where("root < 0").select("guests").toLocalIterator():  # two numbers for each range
+        sums += np.frombuffer(r["guests"], "<f8")
+    strength, root_strength = strength_drawn(*sums, 29), parent.strength_drawn(31)
+    second = storage.stored(heard(told.where("root >= 0"), n_kinds, d_root, root_strength, 23, parts), folder, "second")
     spark.sparkContext._jvm.System.gc()
-    last_parent = spark.sparkContext.broadcast(parent_of(second))
-    every = ["runs", "dish", "counts", "asks", "ask", "chunks", "texts"]
+    last, every = parent_of(second, root_strength), ["runs", "dish", "counts", "chunks", "sizes", "places"]
 
     def answered(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, answers = met(batches, every)
-        seats = Seats(own["runs"], own["dish"], own["counts"], answers, last_parent.value, d, [23, key[0].as_py()])
-        seats.sweeps(BURN_IN)
-        logs = seats.logs(seats.sweeps(SWEEPS))
-        counts = np.bincount(seats.ctx, seats.counts, seats.n)[seats.ctx]
-        asks, ask = grown(own["asks"], "<u4"), grown(own["ask"], "<u4")
-        chunks, texts = grown(own["chunks"], "<i8"), grown(own["texts"], "<u4")
-        sums = np.stack([np.bincount(ask, np.repeat(v, asks), len(texts)) for v in ((counts > 0).astype(float), np.log10(counts + 1), logs)], axis=1)
-        order = np.argsort(chunks, kind="stable")
-        cut = np.flatnonzero(np.diff(chunks[order], prepend=-1)).tolist()
-        for i, j in zip(cut, [*cut[1:], len(order)], strict=True):
-            yield _batch([(int(chunks[order[i]]), tx.packed(texts[order[i:j]], "<u4"), tx.packed(sums[order[i:j]], "<f8"))], "chunk long, texts binary, data binary")
+        part = key[0].as_py()
+        own, seats = met(batches, every, last, strength, [37, part])
+        for _ in range(BURN_IN):
+            seats.sweep()
+        logs = np.log10(seats.probabilities(seats.averaged(SWEEPS))).astype("<f4")
+        totals = np.bincount(seats.owner, seats.counts, seats.n).astype(np.int64)
+        places, at = grown(own["places"], "<u4"), 0
+        for chunk, n in zip(own["chunks"], own["sizes"], strict=True):
+            mine = places[at : at + n]
+            at += n
+            ctx = seats.owner[mine]
+            begin = np.flatnonzero(np.diff(ctx, prepend=-1))
+            yield _batch([(chunk, part, logs[mine].tobytes(), shrunk(np.diff(begin, append=n), "<u4"), shrunk(totals[ctx[begin]], "<i8"))], "chunk long, part int, logs binary, runs binary, totals binary")
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = None
-
-        def done(ids, held_out, sums):
-            n = sums[:, 0].astype(np.int64)
-            base, own = sums[:, 2] - sums[:, 0] * norm, sums[:, 3]
-            columns = [pa.array(ids, pa.int64()), pa.array(held_out, pa.bool_()), pa.array(n), pa.array(sums[:, 1].astype(np.int64)), pa.array(np.full(len(n), n_all)), pa.array(base), pa.array(own), pa.array(10.0 ** (-own / sums[:, 0]))]
+        head, answers = None, []
+
+        def done() -> pa.RecordBatch:
+            ids, held_out, lengths, entry = head
+            lengths, entry = grown(lengths, "<u4"), grown(entry, "<u4")
+            logs = np.concatenate([np.frombuffer(x, "<f4") for x, _, _ in answers]).astype(float)[entry]
+            counts = np.concatenate([np.repeat(grown(t, "<i8"), grown(r, "<u4")) for _, r, t in answers])[entry]
+            first = np.cumsum(lengths, dtype=np.int64) - lengths
+            own, known = np.add.reduceat(logs, first), np.add.reduceat((counts > 0).astype(np.int64), first)
+            base = np.add.reduceat(np.log10(counts + 1.0), first) - lengths * norm
+            columns = [pa.array(ids, pa.int64()), pa.array(held_out, pa.bool_()), pa.array(lengths.astype(np.int64)), pa.array(known), pa.array(np.full(len(lengths), n_all, np.int64)), pa.array(base), pa.array(own), pa.array(10.0 ** (-own / lengths))]
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
-        for kind, ids, held_out, texts, data in _lists(batches, "kind", "ids", "held", "texts", "data"):
-            if kind == 0:
-                if at is not None:
-                    yield done(*at)
-                n = grown(data, "<u4")
-                at = (ids, held_out, np.stack([n, *[np.zeros(len(n))] * 3], axis=1))
+        for part, ids, held_out, lengths, entry, logs, runs, totals in _lists(batches, "part", "ids", "held", "lengths", "entry", "logs", "runs", "totals"):
+            if part < 0:
+                if head is not None:
+                    yield done()
+                head, answers = (ids, held_out, lengths, entry), []
             else:
-                at[2][np.frombuffer(texts, "<u4"), 1:] += np.frombuffer(data, "<f8").reshape(-1, 3)
-        if at is not None:
-            yield done(*at)
-
-    empty = F.lit(None)
-    answers = with_answers(every, second).applyInArrow(answered, "chunk long, texts binary, data binary")
-    answers = answers.select("chunk", F.lit(1).alias("kind"), empty.cast("array<long>").alias("ids"), empty.cast("array<boolean>").alias("held"), "texts", "data")
-    heads = pairs.where(F.col("part") >= ranges).select("chunk", F.lit(0).alias("kind"), "ids", "held", empty.cast("binary").alias("texts"), F.col("runs").alias("data"))
-    out = heads.union(answers).repartition(shuffled, "chunk").sortWithinPartitions("chunk", "kind")
+                answers.append((logs, runs, totals))
+        if head is not None:
+            yield done()
+
+    answers = with_answers(every, second).applyInArrow(answered, "chunk long, part int, logs binary, runs binary, totals binary")
+    heads = pairs.where(F.col("part") >= shape.ranges).select("chunk", F.lit(-1).alias("part"), "ids", "held", "lengths", "entry")
+    out = heads.unionByName(answers, allowMissingColumns=True).repartition(parts, "chunk").sortWithinPartitions("chunk", "part")
     return out.mapInArrow(summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")

@@ -517,16 +517,156 @@ def test_language_model(docs, rows):
         assert abs(got["base_score"] - base) < 1e-6 * max(1, abs(base)) and got["score"] < 0
 
 
+def partitions(items):
+    if not items:
+        yield []
+        return
+    for p in partitions(items[1:]):
+        for i in range(len(p)):
+            yield [*p[:i], [items[0], *p[i]], *p[i + 1 :]]
+        yield [[items[0]], *p]
+
+
+def test_customers_that_sit_alone():
+    d = 0.4
+    for c in range(1, 8):
+        total, single = Counter(), Counter()
+        for p in partitions(list(range(c))):
+            weight = math.prod(math.prod(i - d for i in range(1, len(x))) for x in p)
+            total[len(p)] += weight
+            single[len(p)] += weight * ([0] in p)
+        got = pitmanyor.alone(np.full(c, c), np.arange(1, c + 1), d)
+        assert np.allclose(got, [single[t] / total[t] for t in range(1, c + 1)])
+    near = pitmanyor.alone(np.array([pitmanyor.MOST_EXACT, pitmanyor.MOST_EXACT + 1]), np.array([5, 5]), d)
+    assert abs(near[0] / near[1] - 1) < 0.15
+
+
+@pytest.mark.parametrize("side_by_side", [1, 99])
+def test_seats_have_the_distribution_of_the_model(monkeypatch, side_by_side):
+    """One restaurant, many times: the numbers of tables follow the exact posterior, found by enumeration."""
+    monkeypatch.setattr(pitmanyor, "SIDE_BY_SIDE", side_by_side)
+    counts, base, d, strength, n = [2, 3, 5, 1], [0.3, 0.2, 0.4, 0.1], 0.5, 1.3, 4000
+    stirling = {(0, 0): 1.0}
+    for c in range(1, 6):
+        for t in range(1, c + 1):
+            stirling[c, t] = stirling.get((c - 1, t - 1), 0) + (c - 1 - t * d) * stirling.get((c - 1, t), 0)
+    weights = {}
+    for t in np.ndindex(*counts):
+        t = tuple(x + 1 for x in t)
+        weights[t] = math.prod(strength + d * i for i in range(1, sum(t))) * math.prod(stirling[c, x] * b**x for c, x, b in zip(counts, t, base, strict=True))
+    exact = sum(np.array(t) * w for t, w in weights.items()) / sum(weights.values())
+    owner = np.repeat(np.arange(n), 4)
+    seats = pitmanyor.Restaurants(owner, n, np.tile(counts, n), np.tile(base, n), d, strength, np.random.default_rng(3))
+    for _ in range(40):
+        seats.sweep()
+    mean = np.mean([(seats.sweep(), seats.tables.reshape(n, 4).mean(axis=0))[1] for _ in range(20)], axis=0)
+    assert np.abs(mean - exact).max() < 0.03
+
+
 def test_language_model_sums_to_one():
     r = np.random.default_rng(4)
-    pairs = r.integers(0, 30, (6, 6)) * (r.random((6, 6)) < 0.5)
-    assert np.allclose(pitmanyor.fit_classes(pairs.astype(np.int64)).sum(axis=1), 1)
-    kinds, many = np.array([1, 2, 5, 400]), np.array([50, 20, 4, 1])
-    rare = pitmanyor.fit_rare(kinds, many)
-    p = 10 ** rare["log"]
-    assert abs(p[0] + (p[1:] * many).sum() - 1) < 1e-6
-    tables = pitmanyor.seated(np.array([1, 5, 100000]), np.array([3.0, 3.0, 3.0]), np.full(3, 0.1), 0.5, r)
-    assert tables[0] == 1 and (tables >= 1).all() and (tables <= [1, 5, 100000]).all()
+    n = 40
+    pairs = (r.integers(0, 30, (n, n)) * (r.random((n, n)) < 0.3)).astype(np.int64)
+    pairs[0] = 0  # never met in training
+    pairs[:, 5] = 0
+    guests = (pairs > 0).sum(axis=0)
+    words = int((guests > 0).sum())
+    tables = pitmanyor.root_tables(guests, words, 0.4, 1.0, r)
+    assert (tables[guests > 0] >= 1).all() and (tables <= guests).all()
+    parent = pitmanyor.Parent(float(guests.sum()), float(tables.sum()), words, 0.4, 1.0)
+    base = parent.of(guests - 0.4 * tables)
+    assert abs(base[guests > 0].sum() + parent.of(np.zeros(1))[0] - 1) < 1e-9
+    seats = pitmanyor.Restaurants(np.repeat(np.arange(n), n), n, pairs.ravel(), np.tile(base, n), 0.6, 2.0, r)
+    p = seats.probabilities(seats.averaged(6)).reshape(n, n)
+    free = np.array([seats.probabilities(seats.tables.astype(float))[k * n + 5] for k in range(n)])  # the word never seen: as unknown
+    assert np.allclose(p[:, guests > 0].sum(axis=1) + p[:, 5], 1, atol=1e-9) and (free > 0).all()
+    for values, up in ((np.array([3, 5, 2**63], np.uint64), True), (np.empty(0, np.uint64), True), (np.array([9, 1], np.uint64), False)):
+        assert (pitmanyor.grown(pitmanyor.shrunk(values, "<u8", up), "<u8", up) == values).all()
+
+
+class Seating:
+    """Brute force: restaurants with table sizes, one customer at a time, and the parent's customers one for each table."""
+
+    def __init__(self, pairs, words, d, d_root, strength, root_strength, seed):
+        self.r, self.words, self.d, self.strength = random.Random(seed), words, (d, d_root), (strength, root_strength)
+        self.pairs = pairs
+        self.sizes = {p: [] for p in pairs}
+        self.root = {}
+        self.tables = Counter()
+        for p, c in pairs.items():
+            for _ in range(c):
+                self.enter(p)
+
+    def root_p(self, w):
+        t = self.root.get(w, [])
+        total, rows = sum(map(len, self.root.values())), sum(map(sum, self.root.values()))
+        return (sum(t) - self.d[1] * len(t) + (self.strength[1] + self.d[1] * total) / (self.words + 1)) / (self.strength[1] + rows)
+
+    def seat(self, sizes, new, d):
+        at = self.r.uniform(0, sum(sizes) - d * len(sizes) + new)
+        for i, n in enumerate(sizes):
+            at -= n - d
+            if at < 0:
+                sizes[i] += 1
+                return False
+        sizes.append(1)
+        return True
+
+    def leave(self, sizes):
+        i = self.r.choices(range(len(sizes)), sizes)[0]
+        sizes[i] -= 1
+        if not sizes[i]:
+            del sizes[i]
+            return True
+        return False
+
+    def enter(self, p):
+        if self.seat(self.sizes[p], (self.strength[0] + self.d[0] * self.tables[p[0]]) * self.root_p(p[1]), self.d[0]):
+            self.tables[p[0]] += 1
+            own = self.root.setdefault(p[1], [])
+            self.seat(own, (self.strength[1] + self.d[1] * sum(map(len, self.root.values()))) / (self.words + 1), self.d[1])
+
+    def sweep(self):
+        for p, c in self.pairs.items():
+            for _ in range(c):
+                if self.leave(self.sizes[p]):
+                    self.tables[p[0]] -= 1
+                    self.leave(self.root[p[1]])
+                self.enter(p)
+
+    def p(self, u, w, rows):
+        own = self.sizes.get((u, w), [])
+        return (sum(own) - self.d[0] * len(own) + (self.strength[0] + self.d[0] * self.tables[u]) * self.root_p(w)) / (self.strength[0] + rows[u])
+
+
+def test_scores_are_near_those_of_plain_seating(spark):
+    r = random.Random(11)
+    names = [f"w{k}" for k in range(25)]
+    texts = [(k, " ".join(r.choices(names, [1 / (1 + (i + k) % 25) for i in range(25)], k=14))) for k in range(70)]
+    held = {k for k, _ in texts if zlib.crc32(str(k).encode()) % 7 == 2}
+    pairs, rows, seen = Counter(), Counter(), Counter()
+    for k, t in texts:
+        if k not in held:
+            own = ["", *t.split(), ""]
+            pairs.update(zip(own[:-1], own[1:], strict=True))
+            seen.update(own[1:])
+    for (u, _), c in pairs.items():
+        rows[u] += c
+    ones = lambda c: ([*c.values()].count(1), [*c.values()].count(2))
+    plain = Seating(pairs, len(seen), pitmanyor.discount(*ones(pairs)), pitmanyor.discount(*ones(seen)), 1.0, 1.0, 5)
+    for _ in range(10):
+        plain.sweep()
+    total = Counter()
+    for _ in range(15):
+        plain.sweep()
+        for k, t in texts:
+            own = ["", *t.split(), ""]
+            for i, (u, w) in enumerate(zip(own[:-1], own[1:], strict=True)):
+                total[k, i] += plain.p(u, w, rows) / 15
+    out = {x["doc_id"]: x["score"] / x["n_tokens"] for x in pitmanyor.scored(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for k, t in texts:
+        own = sum(math.log10(total[k, i]) for i in range(15)) / 15
+        assert abs(out[k] - own) < 0.04, (k, k in held, out[k], own)
 
 
 def test_every_pair_of_words_counts(spark):
@@ -542,28 +682,6 @@ def test_every_pair_of_words_counts(spark):
     assert out[held[0]]["score"] - out[held[1]]["score"] > len(w)  # before: the same class for all
 
 
-def test_seats_sum_to_one_and_follow_the_model_in_memory():
-    r = np.random.default_rng(6)
-    n = 40
-    pairs = (r.integers(0, 30, (n, n)) * (r.random((n, n)) < 0.3)).astype(np.int64)
-    pairs[0] = 0  # never met in training
-    guests = (pairs > 0).sum(axis=0)
-    kinds, many = np.unique(guests[guests > 0], return_counts=True)
-    parent = pitmanyor.fit_rare(kinds, many)
-    packed = [pitmanyor.shrunk(v, t) for v, t in ((np.full(n, n), "<u4"), (np.tile(np.arange(n), n), "<u4"), (pairs.ravel(), "<i8"))]
-    seats = pitmanyor.Seats(*packed, [(1, pitmanyor.shrunk(guests[20:], "<i8")), (0, pitmanyor.shrunk(guests[:20], "<i8"))], parent, pitmanyor.discount(pairs[pairs > 0]), [1])
-    seats.sweeps(4)
-    mean = seats.sweeps(6)
-    p = 10 ** seats.logs(mean).reshape(n, n)
-    free = (pitmanyor.STRENGTH + seats.d * mean.reshape(n, n).sum(axis=1)) / (pairs.sum(axis=1) + pitmanyor.STRENGTH)
-    unknown = 10 ** parent["log"][0]
-    assert np.allclose(p[:, guests > 0].sum(axis=1) + free * unknown, 1, atol=1e-6)
-    met = pairs > 0
-    assert abs(np.log10(p[met]) - np.log10(pitmanyor.fit_classes(pairs)[met])).mean() < 0.03
-    for values, up in ((np.array([3, 5, 2**63], np.uint64), True), (np.empty(0, np.uint64), True), (np.array([9, 1], np.uint64), False)):
-        assert (pitmanyor.grown(pitmanyor.shrunk(values, "<u8", up), "<u8", up) == values).all()
-
-
 def test_mixing(docs, rows):
     out = mixing.mixed(docs).collect()
     sizes, taken = Counter(), Counter()
