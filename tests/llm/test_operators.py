@@ -226,16 +226,18 @@ def test_the_prefilter_holds_at_any_size(spark, tmp_path, copies, monkeypatch):
     assert sent / 8 < 0.05 * len(rows) * 1466
 
 
-def test_vectors(spark, monkeypatch):
-    monkeypatch.setattr(embeddings, "CELL_VECTORS", 40)
-    monkeypatch.setattr(embeddings, "BLOCK_VECTORS", 16)
+@pytest.mark.parametrize("limits", [(40, 64, 1 << 16, 16), (4, 3, 5, 6)])
+def test_vectors(spark, monkeypatch, limits):
+    for name, value in zip(("CELL_VECTORS", "MOST_PIVOTS", "PIVOTS_PER_PASS", "BLOCK_VECTORS"), limits, strict=True):
+        monkeypatch.setattr(embeddings, name, value)
     r = np.random.default_rng(5)
     base = r.normal(size=(12, 8))
     x = [base[i % 12] + r.normal(size=8) * (0.02 if i % 3 else 0.3) for i in range(150)]
     x += [x[0], x[0] * 2, np.zeros(8)]
     rows = [(i, v.tolist(), i % 2) for i, v in enumerate(x)]
     rows += [(200, None, 1), (201, [1.0, None], 1), (202, [float("nan")] * 8, 1), (203, [float("inf")] * 8, 0), (204, x[0].tolist(), None), (205, [], 0), (206, [1.0, 2.0], 0), (207, [1.0, 2.0], 0), (208, (x[0] * 1e300).tolist(), 0)]
-    out = {q["vec_id"]: q for q in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    extra = {c: F.lit("clash") for c in ("node", "cell", "unit", "n_links", "component_id", "kept", "h1", "dim", "many")}
+    out = {q["vec_id"]: q for q in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns(extra)).collect()}
     assert len(out) == len(rows)
 
     def unit(v):
