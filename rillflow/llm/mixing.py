@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import storage
+
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MOST_TURNS = 2
@@ -73,27 +75,31 @@ def position(demand: Column, target: Column, number: Column) -> Column:
     return F.when(ramp == 0, share).otherwise(2 * share / (1 + ramp + root))
 
 
-def planned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with the plan of the mix in columns ``_mix_*``.
-
-    took0 and took1 are the words taken at the first and second turn, pos0 and
-    pos1 their positions. A source's running sum is built in two levels, within
-    slices of the hash range and over the slices, so no task holds a whole
-    source. The order within a source is by md5 of the id, so it is the same
-    for every engine and every run.
-    """
-    spark = docs.sparkSession
+def sized(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The columns ``keep`` with each document's source, size and place in its source's order, stored: words are counted once."""
     source = F.coalesce(F.col(source_col), F.lit(""))
+    slices = max(SLICES, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(
-        "*",
+        *[F.col(f"`{c}`") for c in keep],
         F.col(source_col).alias("_mix_source"),
         F.xxhash64(F.col(source_col).isNull(), source).alias("_mix_key"),
         words(F.col(text_col)).alias("_mix_size"),
         F.xxhash64(text_col).alias("_mix_mark"),
         F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long").alias("_mix_place"),
     )
-    slices = max(SLICES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.withColumn("_mix_slice", F.floor(F.col("_mix_place").cast("double") / 2.0**60 * slices).cast("int"))
+    return storage.stored(rows, storage.shared_dir(docs.sparkSession), "sized")
+
+
+def planned(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``sized`` with the plan of the mix in columns ``_mix_*``.
+
+    took0 and took1 are the words taken at the first and second turn, pos0 and
+    pos1 their positions. A source's running sum is built in two levels, within
+    slices of the hash range and over the slices, so no task holds a whole
+    source. The order within a source is by md5 of the id, so it is the same
+    for every engine and every run.
+    """
     by_slice = rows.groupBy("_mix_key", "_mix_slice").agg(F.first("_mix_source").alias("source"), F.sum("_mix_size").alias("slice_size"))
     upto = Window.partitionBy("_mix_key").orderBy("_mix_slice").rowsBetween(Window.unboundedPreceding, -1)
     by_slice = by_slice.withColumn("_mix_start", F.coalesce(F.sum("slice_size").over(upto), F.lit(0)))
@@ -116,7 +122,7 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     A document that isn't taken has position null. The rows stand in training order.
     """
-    plan = planned(docs.select("doc_id", "text", "source"))
+    plan = planned(sized(docs, ["doc_id"]))
     out = plan.select(
         "doc_id",
         F.col("_mix_size").alias("size"),
@@ -136,7 +142,7 @@ def curriculum(docs: DataFrame, whole: bool = False) -> DataFrame:
     ``whole``, it keeps its text as it is.
     """
     turns = F.array(*[F.struct(F.col(f"_mix_took{k}").alias("took"), F.col(f"_mix_pos{k}").alias("pos")) for k in range(MOST_TURNS)])
-    rows = planned(docs).withColumn("_mix_turn", F.explode(F.filter(turns, lambda x: x["took"] > 0)))
+    rows = planned(sized(docs, docs.columns)).withColumn("_mix_turn", F.explode(F.filter(turns, lambda x: x["took"] > 0)))
     took, pos = F.col("_mix_turn.took"), F.col("_mix_turn.pos")
     if not whole:
         part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")), F.lit(1), took.cast("int")), " ")
