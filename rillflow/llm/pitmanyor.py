@@ -24,7 +24,8 @@ from the numbers of dishes with one and two customers.
 Everything that grows with the corpus is held by hash range. Each chunk of
 texts sends its distinct pairs (context, word) once, with their counts in
 training texts, to the range of the context; the range sends back a
-probability for each of them, in the same order. Since a text's contexts are
+probability for each of them, in the same order. The answers are read from the
+shared folder by the tasks that read the chunks, so those are never shuffled. Since a text's contexts are
 its tokens (each end stands before the first word instead of after the last),
 the range also has the counts of its words. Two exchanges with the ranges of
 the words give the parent's customers: at first each pair has one table, then
@@ -279,8 +280,9 @@ def strength_drawn(done: float, logs: float, seed: int) -> float:
 
 # --- exchanges -------------------------------------------------------------
 
-ASKED = "part int, chunk long, ids array<long>, held array<boolean>, lengths binary, entry binary, ctx binary, runs binary, dishes binary, dish binary, counts binary"
-RANGES = "part int, chunk long, ids array<long>, held array<boolean>, lengths binary, entry binary, runs binary, dishes binary, dish binary, counts binary, chunks array<long>, sizes array<long>, places binary, tokens long, words long, ones long, twos long, word_ones long, word_twos long"
+ASKED = "kind int, part int, chunk long, ids array<long>, held array<boolean>, lengths binary, entry binary, ctx binary, runs binary, dishes binary, dish binary, counts binary"
+RANGES = "part int, runs binary, dishes binary, dish binary, counts binary, chunks array<long>, sizes array<long>, places binary, tokens long, words long, ones long, twos long, word_ones long, word_twos long"
+ANSWERS = "home long, chunk long, part int, logs binary, runs binary, totals binary"
 TOLD, HEARD = "root int, home int, dishes binary, guests binary", "part int, home int, q binary, customers double, tables double"
 
 
@@ -293,18 +295,16 @@ class Shape:
         self.chunk = min(MOST_CHUNK, max(LEAST_CHUNK, self.ranges * CHUNK_PER_RANGE))
 
 
-def pair_ranges(source: DataFrame, shape: Shape, parts: int) -> DataFrame:
-    """A row for each hash range of contexts, and one for each chunk of texts (parts from ``shape.ranges`` on).
+def asked(source: DataFrame, shape: Shape) -> DataFrame:
+    """Chunks of texts (kind 0), and their distinct pairs (context, next token) by hash range of the context (kind 1).
 
-    A range has all pairs (context, next token), by context: ``runs`` pairs
-    each, their ``dish`` as a place in ``dishes`` and their ``counts`` in
-    training texts; and for each of ``chunks`` the ``places`` of its pairs. A
-    chunk has its texts' ids and ``lengths`` in tokens, and for each token its
-    pair's number among the chunk's pairs (``entry``).
+    A chunk has its texts' ids and ``lengths`` in tokens, and for each token its
+    pair's number among the chunk's pairs (``entry``). Pairs stand by context,
+    ``runs`` pairs each, their ``dish`` as a place in ``dishes`` and their
+    ``counts`` in training texts.
     """
-    ranges = shape.ranges
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for texts, ids, held in tx.chunked(batches, ["text", "doc_id", "held_out"], shape.chunk):
             tokens, first = tokenised(texts)
@@ -322,28 +322,28 @@ def pair_ranges(source: DataFrame, shape: Shape, parts: int) -> DataFrame:
             train = np.repeat(~np.array(held, bool), lengths).astype(np.int64)
             counts = np.add.reduceat(train[order], begin)
             before, tokens = before[begin], tokens[begin]
-            yield _batch([(ranges + number % ranges, number, ids, held, shrunk(lengths, "<u4"), shrunk(entry, "<u4"), *[None] * 5)], ASKED)
-            for p, s in _pieces(before, part_of(before, ranges)):
+            yield _batch([(0, None, number, ids, held, shrunk(lengths, "<u4"), shrunk(entry, "<u4"), *[None] * 5)], ASKED)
+            for p, s in _pieces(before, part_of(before, shape.ranges)):
                 ctx, runs = np.unique(before[s], return_counts=True)
                 dishes, dish = np.unique(tokens[s], return_inverse=True)
-                yield _batch([(p, number, None, None, None, None, shrunk(ctx, "<u8", True), shrunk(runs, "<u4"), shrunk(dishes, "<u8", True), shrunk(dish, "<u4"), shrunk(counts[s], "<u4"))], ASKED)
+                yield _batch([(1, p, number, None, None, None, None, shrunk(ctx, "<u8", True), shrunk(runs, "<u4"), shrunk(dishes, "<u8", True), shrunk(dish, "<u4"), shrunk(counts[s], "<u4"))], ASKED)
             number += 1
 
+    return source.select("text", "doc_id", "held_out").mapInArrow(made, ASKED)
+
+
+def pair_ranges(pieces: DataFrame, parts: int) -> DataFrame:
+    """A row for each hash range of contexts: all its pairs with their counts, and for each of ``chunks`` the ``places`` of its pairs."""
+
     def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = key[0].as_py()
         chunks, all_ctx, all_runs, all_dishes, all_dish, all_counts = [], [], [], [], [], []
-        for chunk, ids, held, lengths, entry, ctx, runs, dishes, dish, counts in _lists(batches, *[f.split()[0] for f in ASKED.split(", ")[1:]]):
-            if part >= ranges:
-                yield _batch([(part, chunk, ids, held, lengths, entry, *[None] * 7, *[0] * 6)], RANGES)
-                continue
+        for chunk, ctx, runs, dishes, dish, counts in _lists(batches, "chunk", "ctx", "runs", "dishes", "dish", "counts"):
             chunks.append(chunk)
             all_ctx.append(grown(ctx, "<u8", True))
             all_runs.append(grown(runs, "<u4"))
             all_dishes.append(grown(dishes, "<u8", True))
             all_dish.append(grown(dish, "<u4"))
             all_counts.append(grown(counts, "<u4"))
-        if part >= ranges:
-            return
         sizes = [len(c) for c in all_counts]
         ctxs, place = np.unique(np.concatenate(all_ctx), return_inverse=True)
         key_of = np.repeat(place, np.concatenate(all_runs))
@@ -358,10 +358,9 @@ def pair_ranges(source: DataFrame, shape: Shape, parts: int) -> DataFrame:
         totals = np.bincount(of_ctx, counts, len(ctxs))
         values = [shrunk(np.bincount(of_ctx, minlength=len(ctxs)), "<u4"), shrunk(dishes, "<u8", True), shrunk(pairs % len(dishes), "<u4"), shrunk(counts, "<i8")]
         seen = [totals.sum(), (totals > 0).sum(), (counts == 1).sum(), (counts == 2).sum(), (totals == 1).sum(), (totals == 2).sum()]
-        yield _batch([(part, None, None, None, None, None, *values, chunks, sizes, shrunk(places, "<u4"), *map(int, seen))], RANGES)
+        yield _batch([(key[0].as_py(), *values, chunks, sizes, shrunk(places, "<u4"), *map(int, seen))], RANGES)
 
-    rows = source.select("text", "doc_id", "held_out").mapInArrow(asked, ASKED)
-    return rows.repartition(parts, "part").groupBy("part").applyInArrow(merged, RANGES)
+    return pieces.select("part", "chunk", "ctx", "runs", "dishes", "dish", "counts").repartition(parts, "part").groupBy("part").applyInArrow(merged, RANGES)
 
 
 def told_of(part: int, dishes: np.ndarray, guests: np.ndarray, roots: int) -> Iterator[pa.RecordBatch]:
@@ -411,11 +410,17 @@ def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
     folder = storage.shared_dir(spark)
     held = sampling.fold("doc_id", folds) == out_fold
     source = docs.select(F.col("text").cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"))
-    size = storage.text_bytes(docs)
+    size, n_texts = storage.text_bytes(docs), docs.limit(1).count()
     shape, parts = Shape(size), storage.parts_for(spark, size, storage.TASK_BYTES // 2)
-    pairs = storage.stored(pair_ranges(source, shape, parts), folder, "ranges")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
+    if not n_texts:
+        return spark.createDataFrame([], schema)
+    asked(source, shape).write.mode("overwrite").option("compression", "zstd").partitionBy("kind").parquet(f"{folder}/asked")
+    read = spark.read.schema(ASKED.removeprefix("kind int, "))
+    heads = read.parquet(f"{folder}/asked/kind=0")
+    rows = storage.stored(pair_ranges(read.parquet(f"{folder}/asked/kind=1"), parts), folder, "ranges")
+    storage.removed(spark, f"{folder}/asked/kind=1")
     spark.sparkContext._jvm.System.gc()  # so Spark removes the files of the shuffle
-    rows = pairs.where(F.col("part") < shape.ranges)
     names = ("tokens", "words", "ones", "twos", "word_ones", "word_twos")
     n_all, n_kinds, *of_counts = (x or 0 for x in rows.agg(*[F.sum(c) for c in names]).first())
     d, d_root = discount(*of_counts[:2]), discount(*of_counts[2:])
@@ -483,33 +488,25 @@ def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
             at += n
             ctx = seats.owner[mine]
             begin = np.flatnonzero(np.diff(ctx, prepend=-1))
-            yield _batch([(chunk, part, logs[mine].tobytes(), shrunk(np.diff(begin, append=n), "<u4"), shrunk(totals[ctx[begin]], "<i8"))], "chunk long, part int, logs binary, runs binary, totals binary")
+            yield _batch([(chunk >> 32, chunk, part, logs[mine].tobytes(), shrunk(np.diff(begin, append=n), "<u4"), shrunk(totals[ctx[begin]], "<i8"))], ANSWERS)
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, answers = None, []
+    storage.by_home(with_answers(every, second).applyInArrow(answered, ANSWERS), f"{folder}/answers", parts)
 
-        def done() -> pa.RecordBatch:
-            ids, held_out, lengths, entry = head
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, of_chunk = None, {}
+        for chunk, ids, held_out, lengths, entry in _lists(batches, "chunk", "ids", "held", "lengths", "entry"):
+            if chunk >> 32 != at:
+                at, of_chunk = chunk >> 32, {}
+                for number, part, *answer in storage.answers_of(f"{folder}/answers", at):
+                    of_chunk.setdefault(number, []).append((part, *answer))
+            answers = sorted(of_chunk.pop(chunk), key=lambda a: a[0])
             lengths, entry = grown(lengths, "<u4"), grown(entry, "<u4")
-            logs = np.concatenate([np.frombuffer(x, "<f4") for x, _, _ in answers]).astype(float)[entry]
-            counts = np.concatenate([np.repeat(grown(t, "<i8"), grown(r, "<u4")) for _, r, t in answers])[entry]
+            logs = np.concatenate([np.frombuffer(x, "<f4") for _, x, _, _ in answers]).astype(float)[entry]
+            counts = np.concatenate([np.repeat(grown(t, "<i8"), grown(r, "<u4")) for _, _, r, t in answers])[entry]
             first = np.cumsum(lengths, dtype=np.int64) - lengths
             own, known = np.add.reduceat(logs, first), np.add.reduceat((counts > 0).astype(np.int64), first)
             base = np.add.reduceat(np.log10(counts + 1.0), first) - lengths * norm
             columns = [pa.array(ids, pa.int64()), pa.array(held_out, pa.bool_()), pa.array(lengths.astype(np.int64)), pa.array(known), pa.array(np.full(len(lengths), n_all, np.int64)), pa.array(base), pa.array(own), pa.array(10.0 ** (-own / lengths))]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
-        for part, ids, held_out, lengths, entry, logs, runs, totals in _lists(batches, "part", "ids", "held", "lengths", "entry", "logs", "runs", "totals"):
-            if part < 0:
-                if head is not None:
-                    yield done()
-                head, answers = (ids, held_out, lengths, entry), []
-            else:
-                answers.append((logs, runs, totals))
-        if head is not None:
-            yield done()
-
-    answers = with_answers(every, second).applyInArrow(answered, "chunk long, part int, logs binary, runs binary, totals binary")
-    heads = pairs.where(F.col("part") >= shape.ranges).select("chunk", F.lit(-1).alias("part"), "ids", "held", "lengths", "entry")
-    out = heads.unionByName(answers, allowMissingColumns=True).repartition(parts, "chunk").sortWithinPartitions("chunk", "part")
-    return out.mapInArrow(summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
+    return heads.select("chunk", "ids", "held", "lengths", "entry").mapInArrow(summed, schema)

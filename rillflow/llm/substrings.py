@@ -38,8 +38,6 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -197,20 +195,6 @@ def heavy(found: DataFrame, shape: Shape, parts: int) -> DataFrame:
     return found.where("cells is not null").select("home", "row", "range", "cells").repartition(parts, "row", "range").groupBy("row", "range").applyInArrow(merged, HEAVY)
 
 
-def by_home(answers: DataFrame, path: str, parts: int) -> None:
-    """Write answers so that a task finds those of one partition in one folder."""
-    answers.repartition(parts, "home").write.mode("overwrite").option("compression", "zstd").partitionBy("home").parquet(path)
-
-
-def answers_of(path: str, home: int) -> Iterator[tuple]:
-    """The answers for one partition, row by row; none where there is no folder."""
-    store, at = fs.FileSystem.from_uri(f"{path}/home={home}")
-    if store.get_file_info(at).type == fs.FileType.Directory:
-        table = pq.read_table(at, filesystem=store, partitioning=None)
-        for batch in table.to_batches(max_chunksize=256):
-            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-
 CANDIDATES = "home long, range int, hashes binary, at binary, many binary"
 
 
@@ -242,7 +226,7 @@ def candidates(found: DataFrame, answers: str, shape: Shape, window: int, anchor
                     yield sent()
                 at, held, size = home, [], 0
                 parts: list[list[np.ndarray]] = [[] for _ in range(DEPTH)]
-                for row, cells in answers_of(answers, home):
+                for row, cells in storage.answers_of(answers, home):
                     parts[row].append(np.frombuffer(cells, "<u8"))
                 dense = [np.sort(np.concatenate([np.empty(0, np.uint64), *p])) for p in parts]
             texts = pa.ipc.open_stream(rows).read_all().column("text").cast(pa.large_binary()).to_pylist()
@@ -328,15 +312,15 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = A
     size = storage.text_bytes(docs)
     parts, shape = storage.parts_for(spark, size), Shape(size)
     found = storage.stored(sketched(docs, shape, window, anchor), folder, "chunks")
-    by_home(heavy(found, shape, parts), f"{folder}/heavy", parts)
+    storage.by_home(heavy(found, shape, parts), f"{folder}/heavy", parts)
     may = storage.stored(candidates(found, f"{folder}/heavy", shape, window, anchor), folder, "candidates")
-    by_home(repeated(may, parts), f"{folder}/places", parts)
+    storage.by_home(repeated(may, parts), f"{folder}/places", parts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, places = None, np.empty(0, np.int64)
         for home, number, rows in _lists(batches, "home", "number", "rows"):
             if home != at:
-                at, places = home, np.sort(np.concatenate([np.empty(0, np.int64), *[np.frombuffer(p, "<i8") for (p,) in answers_of(f"{folder}/places", home)]]))
+                at, places = home, np.sort(np.concatenate([np.empty(0, np.int64), *[np.frombuffer(p, "<i8") for (p,) in storage.answers_of(f"{folder}/places", home)]]))
             i, j = np.searchsorted(places, (number << 32, (number + 1) << 32))
             hits, base = places[i:j] & 0xFFFFFFFF, 0
             for batch in pa.ipc.open_stream(rows):

@@ -221,7 +221,7 @@ def test_the_prefilter_holds_at_any_size(spark, tmp_path, copies, monkeypatch):
     shape = substrings.Shape(size)
     assert copies == 1 or shape.ranges > 16
     found = substrings.storage.stored(substrings.sketched(df, shape, 35, 20), f"file://{tmp_path}", "chunks")
-    substrings.by_home(substrings.heavy(found, shape, 4), f"file://{tmp_path}/heavy", 4)
+    substrings.storage.by_home(substrings.heavy(found, shape, 4), f"file://{tmp_path}/heavy", 4)
     sent = substrings.candidates(found, f"file://{tmp_path}/heavy", shape, 35, 20).where("range >= 0").agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
     assert sent / 8 < 0.05 * len(rows) * 1466
 
