@@ -4,7 +4,9 @@ Two histograms describe a document: its characters by class, and its words by
 the common words of a language (one more bin holds all others). References are
 the same histograms summed over all documents of a language. A document is
 rejected if its Jensen-Shannon distance to the nearest reference is above a
-threshold, where the text is long enough for a histogram to mean anything.
+threshold, where the text is long enough for a histogram to mean anything. The
+words' threshold follows the reference: it lies just below the distance of a
+text that has none of the common words.
 
 Defined results: a null or empty text has no words, fails the base rules and
 is not kept; a document with a null language takes no part in the references;
@@ -32,8 +34,10 @@ MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
 COMMON_WORDS = 64
 #: Shortest text, in characters and in words, that the two histograms can judge.
 MIN_CHARS_FOR_CLASSES, MIN_WORDS_FOR_COMMON = 200, 60
-#: Largest Jensen-Shannon distances (base 2, in [0, 1]) of a kept document.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.31, 0.48
+#: Largest Jensen-Shannon distance (base 2, in [0, 1]) of a kept document by classes, and by words as a share of the
+#: distance that a text without any common word has. Measured on labelled documents of sf0.1 of these lengths: good
+#: ones have at most 0.33 by classes (99.9 %: 0.24), and 0.93 of the distance without common words (99.9 %: 0.88).
+MAX_CLASS_DISTANCE, WORD_SHARE = 0.31, 0.96
 SYMBOLS = b"#*$%&|<>"
 
 # Character classes by byte; bytes above 127 lead or continue letters of other scripts.
@@ -99,11 +103,16 @@ def base_counts(words: tx.Words, texts: list[bytes | None]) -> dict[str, np.ndar
 def core_hashes(words: tx.Words) -> np.ndarray:
     """Hashes of the words in lower case, without marks at their ends."""
     raw = np.frombuffer(words.raw.tobytes().lower(), np.uint8)
-    plain = np.flatnonzero(~_MARK[raw])
-    first, last = np.searchsorted(plain, words.starts), np.searchsorted(plain, words.ends) - 1
-    some = first <= last  # the words that have more than marks
-    starts, ends = words.ends.copy(), words.ends.copy()
-    starts[some], ends[some] = plain[first[some]], plain[last[some]] + 1
+    starts, ends = words.starts.copy(), words.ends.copy()
+    for _ in range(4):  # few marks at once, words with more one by one
+        starts[_MARK[raw[starts]] & (starts < ends)] += 1
+        ends[_MARK[raw[ends - 1]] & (starts < ends)] -= 1
+    for i in np.flatnonzero((starts < ends) & (_MARK[raw[starts]] | _MARK[raw[ends - 1]])).tolist():
+        plain = ~_MARK[raw[starts[i] : ends[i]]]
+        if plain.any():
+            starts[i], ends[i] = starts[i] + int(plain.argmax()), ends[i] - int(plain[::-1].argmax())
+        else:
+            starts[i] = ends[i]
     return tx.spans_of_bytes(raw, starts, ends)
 
 
@@ -218,6 +227,13 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((a + b) / 2, 0, 1))
 
 
+def most_word_distance(shares: np.ndarray) -> float:
+    """The largest distance by words that a reference allows."""
+    none = np.zeros((1, len(shares)))
+    none[0, -1] = 1
+    return WORD_SHARE * float(distance(none, shares)[0])
+
+
 def word_table(words: tx.Words, hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Counts of the common words in each text; the last column counts all others."""
     other, n = len(common), len(words.first) - 1
@@ -268,16 +284,17 @@ def judged(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
                     hashes = core_hashes(words)
                     for table, r in zip(tables, refs.values(), strict=True):
                         table[i] += word_table(words, hashes, r["words"]).sum(axis=0)
-            by_class, by_word = np.full(n, np.nan), np.full(n, np.nan)
+            by_class, by_word, most = np.full(n, np.nan), np.full(n, np.nan), np.full(n, np.nan)
             if refs:
                 d_class = np.stack([distance(classes, r["classes"]) for r in refs.values()])
                 d_word = np.stack([distance(table, r["shares"]) for table, r in zip(tables, refs.values(), strict=True)])
                 nearest = (d_class + d_word).argmin(axis=0)
                 by_class, by_word = d_class[nearest, np.arange(n)], d_word[nearest, np.arange(n)]
+                most = np.array([most_word_distance(r["shares"]) for r in refs.values()])[nearest]
             failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > REPEAT_PERCENT * out["n_words"])
             with np.errstate(invalid="ignore"):
                 far = (by_class > MAX_CLASS_DISTANCE) & (classes.sum(axis=1) >= MIN_CHARS_FOR_CLASSES)
-                far |= (by_word > MAX_WORD_DISTANCE) & (out["n_words"] >= MIN_WORDS_FOR_COMMON)
+                far |= (by_word > most) & (out["n_words"] >= MIN_WORDS_FOR_COMMON)
             values = [pa.array(r, kinds[c]) for r, c in zip(rest, carried, strict=True)]
             values += [pa.array(v) for v in out.values()] + [pa.array(by_class), pa.array(by_word), pa.array(failed), pa.array(~failed & ~far)]
             yield pa.RecordBatch.from_arrays(values, [*carried, *[x.split()[0] for x in SCHEMA.split(", ")]])

@@ -145,8 +145,7 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
                     coded.append(pieces.whole(part))
                     continue
                 head, *rest = part.split(" ")
-                coded.append(heads[head] if head else b"")
-                coded += map(get, rest)
+                coded.append((heads[head] if head else b"") + b"".join(map(get, rest)))
             out.append(b"".join(coded))
     return out
 

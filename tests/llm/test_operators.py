@@ -367,8 +367,9 @@ def verdict(t, known):
             h = rules.core_hashes(text.split([x.encode()]))
             counts[common.get(int(h[0]), len(common))] += 1
         d = [js([x / max(1, sum(p)) for x in p], list(q)) for p, q in ((kinds, ref["classes"]), (counts, ref["shares"]))]
-        best = d if best is None or sum(d) < sum(best) else best
-    far = best is not None and ((best[0] > rules.MAX_CLASS_DISTANCE and len(raw) >= rules.MIN_CHARS_FOR_CLASSES) or (best[1] > rules.MAX_WORD_DISTANCE and len(w) >= rules.MIN_WORDS_FOR_COMMON))
+        none = js([0] * len(common) + [1], list(ref["shares"]))
+        best = [*d, none] if best is None or sum(d) < sum(best[:2]) else best
+    far = best is not None and ((best[0] > rules.MAX_CLASS_DISTANCE and len(raw) >= rules.MIN_CHARS_FOR_CLASSES) or (best[1] > rules.WORD_SHARE * best[2] and len(w) >= rules.MIN_WORDS_FOR_COMMON))
     return not far
 
 
@@ -736,6 +737,39 @@ def test_positions():
             assert abs(root - t) < 1e-12
 
 
+CLASHES = ("kept", "n_words", "word_chars", "base_failed", "class_distance", "size", "source_size", "target", "taken", "position", "component_id", "n_shingles", "sig", "h1", "n", "least", "root", "bands", "key", "piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset", "part", "nth", "number", "score", "held_out", "predicted", "lang_pred", "accepted", "n_tokens", "base_score", "home", "rows", "row", "range", "cells", "mark", "_salt", "a", "b")
+
+
+def test_other_columns_of_any_name(spark, docs, rows, sf_dir):
+    """Extra columns with the names of results and of columns within change nothing, in operators and stages."""
+    import corpus_pipeline as pipeline
+
+    own = spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
+    more = own.withColumns({c: F.lit("clash") for c in CLASHES})
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(0, len(rows), 3)], "doc_id long, quality int, toxic int")
+    made = {
+        "op1": lambda d: minhash.near_duplicates(d, 3, 85).select("doc_id", "component_id", "n_shingles"),
+        "op2": lambda d: substrings.without_repeats(d).select("doc_id", "_sub_n_words", "_sub_n_removed"),
+        "op4": lambda d: tokens.written_and_read(d).select("doc_id", "start", "ids_crc32"),
+        "op5": lambda d: bytecnn.classified(d, labels).select("doc_id", "predicted"),
+        "op6": lambda d: rules.judged(d).select("doc_id", "kept", "n_repeat_words"),
+        "op7": lambda d: pitmanyor.scored(d).select("doc_id", "n_known", F.round("base_score", 6)),
+        "op8": lambda d: packing.packed(d).select("doc_id", "piece", "ids_crc32"),
+        "op9": lambda d: mixing.mixed(d).select("doc_id", "size", "taken"),
+        "op10": lambda d: langid.identified(d).select("doc_id", "lang_pred"),
+    }
+    order = lambda d: sorted((tuple(r) for r in d.collect()), key=lambda r: (r[0] is None, str(r)))
+    for name, f in made.items():
+        assert order(f(more)) == order(f(own)), name
+    plain, wide = own, more
+    for name, stage in pipeline.STAGES[:-1]:
+        plain, wide = (stage(spark, d, sf_dir).cache() for d in (plain, wide))
+        assert wide.columns == more.columns and order(wide.select(*own.columns)) == order(plain), name
+        assert wide.where("kept <> 'clash' or ids <> 'clash'").count() == 0
+    last = [stage for _, stage in pipeline.STAGES][-1]
+    assert last(spark, wide, sf_dir).select("doc_id", "start", "ids_crc32").count() == last(spark, plain, sf_dir).count()
+
+
 def test_empty_tables(spark, empty):
     assert minhash.near_duplicates(empty).count() == 0 and minhash.deduplicated(empty).count() == 0
     assert substrings.without_repeats(empty).count() == 0
@@ -763,8 +797,65 @@ def test_pipeline(spark, sf_dir):
     links = [(i, j) for i in range(len(names)) for j in range(i) if 100 * len(sets[names[i]] & sets[names[j]]) >= 80 * len(sets[names[i]] | sets[names[j]])]
     roots = closure(len(names), links)
     assert sorted(r["doc_id"] for r in two.collect()) == sorted({names[x] for x in roots})
-    three = pipeline.repeated_passages(spark, two, sf_dir)
-    assert three.columns == docs.columns and three.count() == two.count()
+    three = pipeline.repeated_passages(spark, two, sf_dir).cache()
+    assert three.columns == docs.columns
+    kept = sorted((r["doc_id"], r["text"]) for r in two.collect())
+    cut = {i: (t if not gone else left) for (i, t), (_, gone, left) in zip(kept, kept_of([t for _, t in kept]), strict=True)}
+    assert {r["doc_id"]: r["text"] for r in three.collect()} == cut
+    four = pipeline.mixed_sources(spark, three, sf_dir).cache()
+    turns = turns_of([(r["doc_id"], r["text"], r["source"]) for r in three.collect()])
+    got = Counter()
+    for r in four.collect():
+        assert r["text"] == cut[r["doc_id"]]
+        got[r["doc_id"]] += 1
+    assert got == turns
+    five = pipeline.packed_sequences(spark, four, sf_dir).collect()
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokens.default_tokenizer())
+    whole = {i: [*t.encode(x, add_special_tokens=False).ids, 0] for i, x in cut.items()}
+    pieces = Counter()
+    for r in five:
+        ids = tokens.unpack(bytes(r["ids"]), 16, r["length"]).tolist()
+        assert ids == whole[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        pieces[r["doc_id"], r["start"], r["length"]] += 1
+    expected = Counter()
+    for i, n in turns.items():
+        for start, length in packing.cut(len(whole[i]), packing.SEQUENCE_TOKENS):
+            expected[i, start, length] += n
+    assert pieces == expected
+    places = {}
+    for r in five:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in places.values():
+        assert [o for o, _ in sorted(own)] == [sum(n for _, n in sorted(own)[:k]) for k in range(len(own))] and sum(n for _, n in own) <= 2048
     last = pipeline.run(spark, sf_dir)
-    assert last.count() > 0 and last.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
-    assert hashlib.sha256(before[names[0]].encode()).hexdigest()
+    assert sorted((r["doc_id"], r["start"], r["ids_crc32"]) for r in last.collect()) == sorted((r["doc_id"], r["start"], r["ids_crc32"]) for r in five)
+
+
+def turns_of(docs):
+    """How often each document is taken (whole, also where its source's demand ends within it), by plain sums."""
+    sizes, by_source = Counter(), {}
+    for i, t, s in docs:
+        sizes[s] += len(words(t))
+        by_source.setdefault(s, []).append((int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16), i, len(words(t))))
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    total, target, open_ = sum(sizes.values()) * 1.5, {}, dict(weights)
+    while open_:
+        level = (total - sum(target.values())) / sum(open_.values())
+        above = [s for s in open_ if level * open_[s] > 2 * sizes[s]]
+        for s in above or list(open_):
+            target[s] = 2 * sizes[s] if above else level * open_[s]
+            del open_[s]
+        if not above:
+            break
+    out = Counter()
+    for s, own in by_source.items():
+        left = round(target[s])
+        for _ in range(2):
+            for _, i, n in sorted(own):
+                if left > 0 and n:
+                    out[i] += 1
+                    left -= n
+    return out
