@@ -116,7 +116,9 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def _lists(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """The named columns, row by row."""
     for b in batches:
-        yield from zip(*(b.column(c).to_pylist() for c in names), strict=True)
+        columns = [b.column(c) for c in names]
+        for i in range(b.num_rows):
+            yield tuple(c[i].as_py() for c in columns)
 
 
 # --- seats -----------------------------------------------------------------
@@ -280,10 +282,10 @@ def strength_drawn(done: float, logs: float, seed: int) -> float:
 
 # --- exchanges -------------------------------------------------------------
 
-ASKED = "kind int, part int, chunk long, ids array<long>, held array<boolean>, lengths binary, entry binary, ctx binary, runs binary, dishes binary, dish binary, counts binary"
-RANGES = "part int, runs binary, dishes binary, dish binary, counts binary, chunks array<long>, sizes array<long>, places binary, tokens long, words long, ones long, twos long, word_ones long, word_twos long"
+ASKED = "part int, chunk long, ids array<long>, held array<boolean>, lengths binary, entry binary, ctx binary, runs binary, dishes binary, dish binary, counts binary"
+RANGES = "part int, chunk long, ids array<long>, held array<boolean>, lengths binary, entry binary, runs binary, dishes binary, dish binary, counts binary, chunks array<long>, sizes array<long>, places binary, tokens long, words long, ones long, twos long, word_ones long, word_twos long"
 ANSWERS = "home long, chunk long, part int, logs binary, runs binary, totals binary"
-TOLD, HEARD = "root int, home int, dishes binary, guests binary", "part int, home int, q binary, customers double, tables double"
+TOLD, HEARD = "root int, home int, dishes binary, guests binary", "home long, root int, q binary, customers double, tables double"
 
 
 class Shape:
@@ -296,7 +298,7 @@ class Shape:
 
 
 def asked(source: DataFrame, shape: Shape) -> DataFrame:
-    """Chunks of texts (kind 0), and their distinct pairs (context, next token) by hash range of the context (kind 1).
+    """Chunks of texts (parts from ``shape.ranges`` on), and their distinct pairs (context, next token) by hash range of the context.
 
     A chunk has its texts' ids and ``lengths`` in tokens, and for each token its
     pair's number among the chunk's pairs (``entry``). Pairs stand by context,
@@ -305,7 +307,8 @@ def asked(source: DataFrame, shape: Shape) -> DataFrame:
     """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        home = TaskContext.get().partitionId()
+        number = home << 32
         for texts, ids, held in tx.chunked(batches, ["text", "doc_id", "held_out"], shape.chunk):
             tokens, first = tokenised(texts)
             lengths = np.diff(first)
@@ -322,28 +325,37 @@ def asked(source: DataFrame, shape: Shape) -> DataFrame:
             train = np.repeat(~np.array(held, bool), lengths).astype(np.int64)
             counts = np.add.reduceat(train[order], begin)
             before, tokens = before[begin], tokens[begin]
-            yield _batch([(0, None, number, ids, held, shrunk(lengths, "<u4"), shrunk(entry, "<u4"), *[None] * 5)], ASKED)
+            yield _batch([(shape.ranges + home % shape.ranges, number, ids, held, shrunk(lengths, "<u4"), shrunk(entry, "<u4"), *[None] * 5)], ASKED)
             for p, s in _pieces(before, part_of(before, shape.ranges)):
                 ctx, runs = np.unique(before[s], return_counts=True)
                 dishes, dish = np.unique(tokens[s], return_inverse=True)
-                yield _batch([(1, p, number, None, None, None, None, shrunk(ctx, "<u8", True), shrunk(runs, "<u4"), shrunk(dishes, "<u8", True), shrunk(dish, "<u4"), shrunk(counts[s], "<u4"))], ASKED)
+                yield _batch([(p, number, None, None, None, None, shrunk(ctx, "<u8", True), shrunk(runs, "<u4"), shrunk(dishes, "<u8", True), shrunk(dish, "<u4"), shrunk(counts[s], "<u4"))], ASKED)
             number += 1
 
     return source.select("text", "doc_id", "held_out").mapInArrow(made, ASKED)
 
 
-def pair_ranges(pieces: DataFrame, parts: int) -> DataFrame:
-    """A row for each hash range of contexts: all its pairs with their counts, and for each of ``chunks`` the ``places`` of its pairs."""
+def pair_ranges(rows: DataFrame, ranges: int, parts: int) -> DataFrame:
+    """A row for each hash range of contexts: all its pairs with their counts, and for each of ``chunks`` the ``places`` of its pairs.
+
+    Chunks of texts pass through, those of one task one after another.
+    """
 
     def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = key[0].as_py()
         chunks, all_ctx, all_runs, all_dishes, all_dish, all_counts = [], [], [], [], [], []
-        for chunk, ctx, runs, dishes, dish, counts in _lists(batches, "chunk", "ctx", "runs", "dishes", "dish", "counts"):
+        for chunk, ids, held, lengths, entry, ctx, runs, dishes, dish, counts in _lists(batches, *[f.split()[0] for f in ASKED.split(", ")[1:]]):
+            if part >= ranges:
+                yield _batch([(part, chunk, ids, held, lengths, entry, *[None] * 7, *[0] * 6)], RANGES)
+                continue
             chunks.append(chunk)
             all_ctx.append(grown(ctx, "<u8", True))
             all_runs.append(grown(runs, "<u4"))
             all_dishes.append(grown(dishes, "<u8", True))
             all_dish.append(grown(dish, "<u4"))
             all_counts.append(grown(counts, "<u4"))
+        if part >= ranges:
+            return
         sizes = [len(c) for c in all_counts]
         ctxs, place = np.unique(np.concatenate(all_ctx), return_inverse=True)
         key_of = np.repeat(place, np.concatenate(all_runs))
@@ -358,9 +370,9 @@ def pair_ranges(pieces: DataFrame, parts: int) -> DataFrame:
         totals = np.bincount(of_ctx, counts, len(ctxs))
         values = [shrunk(np.bincount(of_ctx, minlength=len(ctxs)), "<u4"), shrunk(dishes, "<u8", True), shrunk(pairs % len(dishes), "<u4"), shrunk(counts, "<i8")]
         seen = [totals.sum(), (totals > 0).sum(), (counts == 1).sum(), (counts == 2).sum(), (totals == 1).sum(), (totals == 2).sum()]
-        yield _batch([(key[0].as_py(), *values, chunks, sizes, shrunk(places, "<u4"), *map(int, seen))], RANGES)
+        yield _batch([(part, *[None] * 5, *values, chunks, sizes, shrunk(places, "<u4"), *map(int, seen))], RANGES)
 
-    return pieces.select("part", "chunk", "ctx", "runs", "dishes", "dish", "counts").repartition(parts, "part").groupBy("part").applyInArrow(merged, RANGES)
+    return rows.repartition(parts, "part").groupBy("part").applyInArrow(merged, RANGES)
 
 
 def told_of(part: int, dishes: np.ndarray, guests: np.ndarray, roots: int) -> Iterator[pa.RecordBatch]:
@@ -369,7 +381,7 @@ def told_of(part: int, dishes: np.ndarray, guests: np.ndarray, roots: int) -> It
 
 
 def heard(told: DataFrame, words: int, d: float, strength: float, seed: int, parts: int) -> DataFrame:
-    """Seat the parent's words by range. Each range of contexts hears q = customers - d tables of its dishes; rows of part -1 have sums."""
+    """Seat the parent's words by range. Each range of contexts (home) hears q = customers - d tables of its dishes; home -1 the sums."""
 
     def merged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(h, grown(x, "<u8", True), grown(g, "<i8")) for h, x, g in _lists(batches, "home", "dishes", "guests")]
@@ -415,14 +427,11 @@ def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
     if not n_texts:
         return spark.createDataFrame([], schema)
-    asked(source, shape).write.mode("overwrite").option("compression", "zstd").partitionBy("kind").parquet(f"{folder}/asked")
-    read = spark.read.schema(ASKED.removeprefix("kind int, "))
-    heads = read.parquet(f"{folder}/asked/kind=0")
-    rows = storage.stored(pair_ranges(read.parquet(f"{folder}/asked/kind=1"), parts), folder, "ranges")
-    storage.removed(spark, f"{folder}/asked/kind=1")
-    spark.sparkContext._jvm.System.gc()  # so Spark removes the files of the shuffle
+    held_all = storage.stored(pair_ranges(asked(source, shape), shape.ranges, parts), folder, "ranges")
+    rows, heads = held_all.where(F.col("part") < shape.ranges), held_all.where(F.col("part") >= shape.ranges)
     names = ("tokens", "words", "ones", "twos", "word_ones", "word_twos")
     n_all, n_kinds, *of_counts = (x or 0 for x in rows.agg(*[F.sum(c) for c in names]).first())
+    storage.swept(spark)  # after another job: Spark holds the last one's plan
     d, d_root = discount(*of_counts[:2]), discount(*of_counts[2:])
     norm = float(np.log10(n_all + n_kinds + 1))
 
@@ -431,55 +440,52 @@ def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
             values = grown(dishes, "<u8", True)
             yield from told_of(part, values, np.bincount(grown(dish, "<u4"), grown(counts, "<i8") > 0, len(values)).astype(np.int64), shape.roots)
 
-    def with_answers(columns: list[str], answers: DataFrame):
-        own = rows.select("part", F.lit(-1).alias("home"), F.lit(None).cast("binary").alias("q"), *columns)
-        both = own.unionByName(answers.where("part >= 0").select("part", "home", "q"), allowMissingColumns=True)
-        return both.repartition(parts, "part").groupBy("part")
-
-    def met(batches: Iterator[pa.RecordBatch], columns: list[str], parent: Parent, strength: float, seed: list[int]) -> tuple[dict, Restaurants]:
-        """A range's own columns, and its restaurants with the parent's answers, which come in the order of its dishes."""
-        own, answers = {}, []
-        for home, q, *values in _lists(batches, "home", "q", *columns):
-            if home < 0:
-                own = dict(zip(columns, values, strict=True))
-            else:
-                answers.append((home, q))
+    def met(values: tuple, columns: list[str], answers: str, parent: Parent, strength: float, seed: int) -> tuple[dict, Restaurants]:
+        """A range's columns, and its restaurants with the parent's answers, which are in the order of its dishes."""
+        own = dict(zip(columns, values, strict=True))
         runs, dish = grown(own["runs"], "<u4"), grown(own["dish"], "<u4")
-        base = parent.of(np.concatenate([grown(q, "<f8") for _, q in sorted(answers)]))
+        heard_of = sorted((root, q) for root, q, _, _ in storage.answers_of(answers, own["part"]))
+        base = parent.of(np.concatenate([np.empty(0), *[grown(q, "<f8") for _, q in heard_of]]))
         owner = np.repeat(np.arange(len(runs)), runs)
-        return own, Restaurants(owner, len(runs), grown(own["counts"], "<i8"), base[dish], d, strength, np.random.default_rng(seed))
+        return own, Restaurants(owner, len(runs), grown(own["counts"], "<i8"), base[dish], d, strength, np.random.default_rng([seed, own["part"]]))
 
-    def parent_of(answers: DataFrame, strength: float) -> Parent:
-        sums = answers.where("part < 0").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).first()
+    def parent_of(answers: str, strength: float) -> Parent:
+        sums = spark.read.schema(HEARD).parquet(answers).where("home = -1").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).first()
         return Parent(sums["c"] or 0.0, sums["t"] or 0.0, n_kinds, d_root, strength)
 
     told = rows.select("part", "dishes", "dish", "counts").mapInArrow(first_told, TOLD)
-    first = storage.stored(heard(told, n_kinds, d_root, 1.0, 19, parts), folder, "first")
-    parent, some = parent_of(first, 1.0), ["runs", "dishes", "dish", "counts"]
-
-    def burnt_in(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = key[0].as_py()
-        own, seats = met(batches, some, parent, 1.0, [17, part])
-        for _ in range(BURN_IN):
-            seats.sweep()
-        dishes, dish = grown(own["dishes"], "<u8", True), grown(own["dish"], "<u4")
-        yield from told_of(part, dishes, np.bincount(dish, seats.tables, len(dishes)).astype(np.int64), shape.roots)
-        yield _batch([(-1, part, None, np.array(seats.auxiliary(), "<f8").tobytes())], TOLD)
-
-    told = storage.stored(with_answers(some, first).applyInArrow(burnt_in, TOLD), folder, "told")
+    storage.by_home(heard(told, n_kinds, d_root, 1.0, 19, parts), f"{folder}/first", parts)
+    parent, some = parent_of(f"{folder}/first", 1.0), ["part", "runs", "dishes", "dish", "counts"]
+
+    def burnt_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for values in _lists(batches, *some):
+            own, seats = met(values, some, f"{folder}/first", parent, 1.0, 17)
+            for _ in range(BURN_IN):
+                seats.sweep()
+            dishes, dish = grown(own["dishes"], "<u8", True), grown(own["dish"], "<u4")
+            yield from told_of(own["part"], dishes, np.bincount(dish, seats.tables, len(dishes)).astype(np.int64), shape.roots)
+            yield _batch([(-1, own["part"], None, np.array(seats.auxiliary(), "<f8").tobytes())], TOLD)
+
+    told = storage.stored(rows.select(*some).mapInArrow(burnt_in, TOLD), folder, "told")
+    storage.removed(spark, f"{folder}/first")
     sums = np.zeros(2)
     for r in told.where("root < 0").select("guests").toLocalIterator():  # two numbers for each range
         sums += np.frombuffer(r["guests"], "<f8")
     strength, root_strength = strength_drawn(*sums, 29), parent.strength_drawn(31)
-    second = storage.stored(heard(told.where("root >= 0"), n_kinds, d_root, root_strength, 23, parts), folder, "second")
-    spark.sparkContext._jvm.System.gc()
-    last, every = parent_of(second, root_strength), ["runs", "dish", "counts", "chunks", "sizes", "places"]
+    storage.by_home(heard(told.where("root >= 0"), n_kinds, d_root, root_strength, 23, parts), f"{folder}/second", parts)
+    storage.removed(spark, f"{folder}/told")
+    last, every = parent_of(f"{folder}/second", root_strength), ["part", "runs", "dish", "counts", "chunks", "sizes", "places"]
 
-    def answered(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = key[0].as_py()
-        own, seats = met(batches, every, last, strength, [37, part])
-        for _ in range(BURN_IN):
-            seats.sweep()
+    storage.swept(spark)
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for values in _lists(batches, *every):
+            own, seats = met(values, every, f"{folder}/second", last, strength, 37)
+            for _ in range(BURN_IN):
+                seats.sweep()
+            yield from answers_for(own, seats)
+
+    def answers_for(own: dict, seats: Restaurants) -> Iterator[pa.RecordBatch]:
         logs = np.log10(seats.probabilities(seats.averaged(SWEEPS))).astype("<f4")
         totals = np.bincount(seats.owner, seats.counts, seats.n).astype(np.int64)
         places, at = grown(own["places"], "<u4"), 0
@@ -488,9 +494,10 @@ def scored(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
             at += n
             ctx = seats.owner[mine]
             begin = np.flatnonzero(np.diff(ctx, prepend=-1))
-            yield _batch([(chunk >> 32, chunk, part, logs[mine].tobytes(), shrunk(np.diff(begin, append=n), "<u4"), shrunk(totals[ctx[begin]], "<i8"))], ANSWERS)
+            yield _batch([(chunk >> 32, chunk, own["part"], logs[mine].tobytes(), shrunk(np.diff(begin, append=n), "<u4"), shrunk(totals[ctx[begin]], "<i8"))], ANSWERS)
 
-    storage.by_home(with_answers(every, second).applyInArrow(answered, ANSWERS), f"{folder}/answers", parts)
+    storage.by_home(rows.select(*every).mapInArrow(answered, ANSWERS), f"{folder}/answers", parts)
+    storage.removed(spark, f"{folder}/second")
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, of_chunk = None, {}

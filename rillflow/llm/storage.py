@@ -8,6 +8,7 @@ cluster that is an error.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -46,6 +47,12 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def swept(spark: SparkSession) -> None:
+    """Let Spark remove the files of shuffles that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediates that nothing refers to any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
