@@ -4,9 +4,9 @@ A document is the set of its distinct word shingles. MinHash samples of equal
 sets are equal, so equal sets are one class from the start. Bands of samples
 give candidate buckets. In a first round every member of a bucket is compared
 with the bucket's smallest member only. In a second round members of different components that
-may be near by their sketches form clusters, and within a cluster the sets of
-all but the largest component are compared with all others, in pairs of
-blocks. So no link that could join two components is left out, and a group of
+may be near by their sketches form clusters, and within a cluster (of a very
+large one, within each bucket) the sets of all but the largest component are
+compared with all others, in pairs of blocks. So no link that could join two components is left out, and a group of
 n copies costs about n comparisons and not n * n.
 
 Before texts are read, an odd sketch decides: each MinHash sample flips one bit
@@ -46,6 +46,8 @@ SAMPLES, BANDS, ROWS, SKETCH_BITS = 128, 32, 4, 256
 SKETCH_MARGIN = 0.25
 #: Members that are compared with a copy of one bucket's smallest member; most rows of a block.
 CHUNK_MEMBERS, BLOCK_MEMBERS = 256, 1024
+#: Members of a cluster from which on its buckets are settled one by one.
+LARGE_CLUSTER = 4096
 NO_ID = -(2**63)
 _rng = np.random.default_rng(7)
 _FACTOR = _rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -222,8 +224,9 @@ def _dealt(rows: DataFrame, key: str, size: int) -> DataFrame:
     """
     per = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("k"))
     top = per.groupBy(key).agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.max("k").alias("most"), F.sum("k").alias("all"))
-    top = top.where("all > most").select(key, "main", F.ceil(F.col("most") / size).cast("int").alias("mains"), F.ceil((F.col("all") - F.col("most")) / size).cast("int").alias("rests"))
-    both = rows.join(top, key)
+    top = top.where("all > most").select(key, "main", F.ceil(F.col("most") / size).cast("int").alias("mains"), F.ceil((F.col("all") - F.col("most")) / size).cast("int").alias("rests"), F.col("all").alias("n_all"))
+    sizes = top.agg(F.max("n_all").alias("most"), F.sum("n_all").alias("total")).first()
+    both = components.met(rows.withColumnRenamed("n", "n_own"), top.withColumnRenamed("n_all", "n"), key, sizes["most"] or 0, sizes["total"] or 0).withColumnRenamed("n_own", "n")
     is_main = F.col("comp") == F.col("main")
     own = F.pmod(F.xxhash64("sig"), F.when(is_main, F.col("mains")).otherwise(F.col("rests"))).cast("int")
     both = both.withColumn("own", F.when(is_main, own + F.col("rests")).otherwise(own))
@@ -377,7 +380,14 @@ def _components(docs: DataFrame, size: int, percent: int, marked: bool = False)
     near = storage.stored(_across(members, percent, parts), folder, "near")
     if near.limit(1).count():
         clusters = components.components(near.union(links), folder).select(F.col("node").alias("sig"), F.col("root").alias("cluster"))
-        late = storage.stored(_settled(docs, known.join(clusters, "sig"), size, percent, parts), folder, "late")
+        clusters = storage.stored(clusters, folder, "clusters")
+        large = storage.stored(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > LARGE_CLUSTER).select("cluster"), folder, "large")
+        rows = known.join(clusters.join(large, "cluster", "left_anti"), "sig")
+        if large.limit(1).count():
+            # a chain of templates can join very many texts; candidates share a bucket, so its buckets are enough
+            chained = clusters.join(large, "cluster", "left_semi").select("sig")
+            rows = rows.unionByName(members.select("sig", F.col("key").alias("cluster")).join(chained, "sig", "left_semi").join(known, "sig"))
+        late = storage.stored(_settled(docs, rows, size, percent, parts), folder, "late")
         roots = components.components(links.union(late), folder)
     ids = classes.select("sig", "h1", "h2", "least").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     return seen, ids

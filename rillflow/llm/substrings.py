@@ -315,6 +315,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = A
     storage.by_home(heavy(found, shape, parts), f"{folder}/heavy", parts)
     may = storage.stored(candidates(found, f"{folder}/heavy", shape, window, anchor), folder, "candidates")
     storage.by_home(repeated(may, parts), f"{folder}/places", parts)
+    storage.removed(spark, f"{folder}/heavy")
+    storage.removed(spark, f"{folder}/candidates")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, places = None, np.empty(0, np.int64)

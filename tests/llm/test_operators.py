@@ -108,7 +108,10 @@ def test_near_duplicates(docs, rows, size, percent):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(expected)) and left.columns == docs.columns
 
 
-def test_blocks_and_chunks_lose_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("large", [4096, 3])
+def test_blocks_and_chunks_lose_no_link(spark, monkeypatch, large):
+    monkeypatch.setattr(minhash, "LARGE_CLUSTER", large)
+    monkeypatch.setattr(components, "HOT_ROWS", 8)
     monkeypatch.setattr(minhash, "CHUNK_MEMBERS", 4)
     monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 4)
     rows = corpus(7, 10)
