@@ -1,4 +1,8 @@
-"""A folder that driver and executors share, for results that go through files."""
+"""A folder that driver and executors share, for results that go through files.
+
+It lies below ``spark.checkpoint.dir``. Only where that is unset and all runs
+in one process a temporary folder is set for the session.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,9 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="rillflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/flow-{uuid.uuid4().hex}"
