@@ -49,6 +49,8 @@ _MARKS = frozenset(".,;:!?")
 _LOOSE = re.compile(r" (?:\s|$)")
 #: A space that the pre-tokenizer always puts at the start of a unit, with the end of a unit before it.
 _TIGHT = re.compile(r"(?<=\S) (?=\S)")
+#: Units of the pre-tokenizer without white space; numbers other than ASCII digits don't match or are found out.
+_UNITS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|[0-9]+|(?:[^\w\s]|_)+")
 #: Characters of a text that are split at a time; longest piece whose ids are kept.
 SLICE_CHARS, LONGEST_KEPT = 1 << 20, 64
 _TOKENIZERS: dict[str, tuple] = {}
@@ -65,34 +67,62 @@ class _Pieces(dict):
 
     A piece of letters is one unit of the pre-tokenizer and goes straight to
     the model, in the byte-level alphabet; a piece of letters with one mark
-    behind them is two units; any other piece goes through the whole tokenizer.
+    behind them is two units. Other pieces fall into units, those with single
+    line feeds into lines before; pieces with other white space, with numbers
+    beyond ASCII or with the string of an added token go through the whole
+    tokenizer.
     """
 
-    def __init__(self, tokenizer, space: str = " "):
+    def __init__(self, tokenizer, heads: _Pieces | None = None):
         super().__init__()
-        self.tokenizer, self.model, self.space = tokenizer, tokenizer.model, space
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        #: Pieces at the start of a text or behind another unit, without a space.
+        self.heads = self if heads is None else heads
+        self.space = "" if heads is None else " "
         # The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in plain]
         self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(others)}
         self.direct = type(tokenizer.pre_tokenizer).__name__ == "ByteLevel" and tokenizer.normalizer is None
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.marks: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if self.direct and piece.isalpha():
-            written = (self.space + piece).encode().decode("latin-1").translate(self.alphabet)
-            ids = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+            ids = self.unit(piece)
         elif self.direct and piece[-1:] in _MARKS and piece[:-1].isalpha():
-            mark = self.marks.get(piece[-1])
-            if mark is None:
-                mark = self.marks[piece[-1]] = self.whole(piece[-1])
-            ids = self[piece[:-1]] + mark
+            ids = self[piece[:-1]] + self.mark(piece[-1])
+        elif self.direct and piece[0] != "'" and not any(x in piece for x in self.added):
+            lines = piece.split("\n")
+            if len(lines) > 1:
+                if piece.split() != lines:
+                    return self.whole(self.space + piece)
+                end, heads = self.mark("\n"), self.heads
+                return self[lines[0]] + b"".join([end + heads[x] for x in lines[1:]])
+            units = _UNITS.findall(piece)
+            if sum(map(len, units)) != len(piece) or not all(u.isalpha() or u.isascii() or not u[0].isalnum() for u in units):
+                ids = self.whole(self.space + piece)
+            elif len(units) == 1:
+                ids = self.unit(piece)
+            else:
+                heads = self.heads
+                ids = self[units[0]] + b"".join([heads[x] for x in units[1:]])
         else:
             ids = self.whole(self.space + piece)
         if len(self) < CACHE_PIECES and len(piece) <= LONGEST_KEPT:
             self[piece] = ids
         return ids
 
+    def unit(self, piece: str) -> bytes:
+        written = (self.space + piece).encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+
+    def mark(self, x: str) -> bytes:
+        found = self.marks.get(x)
+        if found is None:
+            found = self.marks[x] = self.whole(x)
+        return found
+
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -103,7 +133,8 @@ def _loaded(path: str) -> tuple:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        _TOKENIZERS[path] = (t, _Pieces(t), _Pieces(t, ""))
+        heads = _Pieces(t)
+        _TOKENIZERS[path] = (t, _Pieces(t, heads), heads)
     return _TOKENIZERS[path]
 
 
