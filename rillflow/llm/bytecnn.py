@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import sampling
+from . import sampling, storage
 from . import text as tx
 
 FILTER_BYTES, STRIDE, FILTERS, HIDDEN = 8, 2, 32, 16
@@ -165,6 +165,7 @@ def train(sample: list[tuple[bytes, int]], share: float) -> Network | float:
 
 def scored(docs: DataFrame, model: Network | float, folds: int = 4, out_fold: int = 2, least: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs`` (doc_id, text)."""
+    storage.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model if isinstance(model, float) else model.p)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import sampling
+from . import sampling, storage
 from . import text as tx
 
 ORDERS, BUCKET_BITS, WIDTH = (2, 3, 4), 16, 16
@@ -178,6 +178,7 @@ def raw_scores(model: dict, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]
 
 def predicted(docs: DataFrame, model: dict | None, folds: int = 3, out_fold: int = 1) -> DataFrame:
     """doc_id, held_out, lang_pred, score, accepted for each row of ``docs`` (doc_id, text)."""
+    storage.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

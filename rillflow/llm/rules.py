@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import storage
 from . import text as tx
 
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
@@ -151,6 +152,7 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     ranges of the hash; each range gives its own top list. What reaches the
     driver is bounded: COMMON_WORDS entries for each language and range.
     """
+    storage.small_batches(docs.sparkSession)
     parts = max(64, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

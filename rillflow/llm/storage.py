@@ -22,8 +22,20 @@ from pyspark.sql import functions as F
 TASK_BYTES = 64 << 20
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes (for the session), so long texts don't fill JVM and worker with thousands of rows at once."""
+    now = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under the cluster's shared folder."""
+    """A new folder name under the cluster's shared folder, for an operator that begins."""
+    small_batches(spark)
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
