@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -205,6 +206,14 @@ def aggregated(df: DataFrame, keys: list[str], aggs: list[Agg], order: str = "se
     return out.select(*keys, *[c for c in ("COUNT", "TIME_FIRST", "TIME_LAST") if c in out.columns], *[a.name for a in aggs])
 
 
+def _arrival(df: DataFrame, order: str) -> Column:
+    """(TIME_FIRST, order) as one number where it can be, so that the aggregate stays a hash aggregate."""
+    if not _integral(df.schema[order].dataType):
+        return F.struct("TIME_FIRST", order)
+    micros = F.unix_micros(F.col("TIME_FIRST").cast("timestamp")).cast("decimal(18,0)")
+    return micros * F.lit(Decimal(2**64)) + F.col(order).cast("decimal(20,0)")
+
+
 FIVE_TUPLE = ("SRC_IP", "DST_IP", "SRC_PORT", "DST_PORT", "PROTOCOL")
 
 
@@ -223,7 +232,7 @@ def biflows(df: DataFrame, aggs: list[Agg], extra_keys: tuple[str, ...] = (), or
     rows = df.withColumn("_src", src).withColumn("_dst", dst)
     rows = rows.withColumn("_rev", F.col("_src") > F.col("_dst")).withColumn("_low", F.least("_src", "_dst")).withColumn("_high", F.greatest("_src", "_dst")).drop("_src", "_dst")
     keys = ["_low", "_high", "PROTOCOL", *extra_keys]
-    outs: list[Column] = [*_implicit(df), F.min_by("_rev", F.struct("TIME_FIRST", order)).alias("_lead")]
+    outs: list[Column] = [*_implicit(df), F.min_by("_rev", _arrival(df, order)).alias("_lead")]
     lists: list[tuple[Agg, str, Column, Column | None]] = []
     pairs = []
     for a in aggs:

@@ -69,3 +69,10 @@ def top_ports_of_ports(df: DataFrame, ports: list[int], n: int, by: str = "FLOWS
 def top_addresses_of_ports(df: DataFrame, ports: list[int], n: int, by: str = "FLOWS") -> DataFrame:
     rows = _of_ports(df, ports).withColumn("address", F.col("SRC_IP"))
     return _best(_summed(rows, "listed", "address"), by, n, ["listed"], ["address"])
+
+
+def in_time_order(df: DataFrame, keys: list[str], time: str = "TIME_LAST", order: str = "seq") -> DataFrame:
+    """Records of a key in order of time (ties by arrival): ``place`` from 1 on, and ``wait``, seconds since the one before."""
+    w = Window.partitionBy(*keys).orderBy(time, order)
+    at = whole_seconds(F.col(time))
+    return df.withColumn("place", F.row_number().over(w).cast("long")).withColumn("wait", (at - F.lag(at).over(w)).cast("long"))

@@ -16,6 +16,7 @@ from ..operators import alerts, anonymize, counters, features, joins, project, r
 from ..operators.aggregate import Agg
 from ..sources import readers, writers
 from ..sources.shared import shared_folder
+from ..streaming import queries as live
 from . import filters
 from .flows import SQL, flows
 
@@ -560,6 +561,11 @@ def o3_sampling_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.sampling_rates(events.groupBy(c("event_type").alias("tag")).agg(F.count(F.lit(1)).alias("n")))
 
 
+@query(f"with {_EV} select seq, row_number() over w as place, t2 - lag(t2) over w as wait from ev window w as (partition by k order by t2, seq)", plain=True)
+def o5_time_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topn.in_time_order(_events(spark, sf_dir), ["KEY"]).select("seq", "place", "wait")
+
+
 # --- scalar functions ----------------------------------------------------------------------
 
 
@@ -654,6 +660,27 @@ def s7_k3_recorded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_stored(spark, path, "ipaddr SRC_IP,uint64 BYTES").select("seq", hexed("SRC_IP", "src"), "BYTES")
 
 
+@query("select seq, src, octets as BYTES from flows where " + FILTERS["f1_equal_precedence"][1])
+def s4_w12_live_interface(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream from start to end: required fields, filter and projection, recorded by micro-batches."""
+    df, path = flows(spark, sf_dir), shared_folder(spark)
+    writers.write_stored(df, f"{path}/in")
+    stream = live.receive(spark, f"{path}/in", df.schema, "ipaddr SRC_IP,uint64 BYTES", files_per_trigger=2)
+    out = filters.matching(stream, FILTERS["f1_equal_precedence"][0]).select("seq", "SRC_IP", "BYTES")
+    return live.recorded(out, f"{path}/out", f"{path}/log").select("seq", hexed("SRC_IP", "src"), "BYTES")
+
+
+@query(", m as (select max(t2) as top from flows), w as (select t2 // 86400 * 86400 as s, dport, count(*) as n, sum(octets)::bigint as b from flows group by 1, 2) select s::bigint as start, dport as DST_PORT, n as COUNT, b as BYTES from w, m where s + 86400 <= top - 86400")
+def s4_live_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a stream that the watermark has closed; those still open at the end aren't out yet."""
+    df, path = flows(spark, sf_dir), shared_folder(spark)
+    writers.write_stored(df.select("DST_PORT", "BYTES", "TIME_LAST").coalesce(1), f"{path}/in")
+    stream = live.receive(spark, f"{path}/in", df.select("DST_PORT", "BYTES", "TIME_LAST").schema)
+    out = live.windowed(stream, ["DST_PORT"], [Agg("SUM", "BYTES")], "1 day", "1 day")
+    out = out.select(F.unix_seconds("window.start").alias("start"), "DST_PORT", "COUNT", "BYTES")
+    return live.recorded(out, f"{path}/out", f"{path}/log")
+
+
 @query("select strftime(make_timestamp(t1 * 1000000), '%Y-%m-%dT%H:%M:%S.%f') || ' ' || printf('%.3f', (t2 - t1)::double) || ' ' || case proto when 6 then 'TCP' when 17 then 'UDP' else 'ICMP' end || ' ' || src_ip || ':' || sport || ' -> ' || dst_ip || ':' || dport || ' ' || case when (flags & 32) > 0 then 'U' else '.' end || case when (flags & 16) > 0 then 'A' else '.' end || case when (flags & 8) > 0 then 'P' else '.' end || case when (flags & 4) > 0 then 'R' else '.' end || case when (flags & 2) > 0 then 'S' else '.' end || case when (flags & 1) > 0 then 'F' else '.' end || ' ' || packets || ' ' || octets as value from flows where length(src_ip) < 15 and length(dst_ip) < 15")
 def k2_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.report_lines(flows(spark, sf_dir), 15)

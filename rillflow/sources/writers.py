@@ -198,6 +198,30 @@ def peer_sets(df: DataFrame, tags: dict[int, str], span: int = 300) -> DataFrame
     return rows.select("window_start", "tag_name", F.col("DST_IP").alias("peer")).distinct()
 
 
+def upload_peers(peers: DataFrame, host: str, port: int, path: str, span: int = 300) -> None:
+    """POST the peers of each window and tag, as lines, to ``path/TAG/FROM/TO/``.
+
+    Rows stream in order through a task, so no set is held; a body ends where
+    the next window or tag begins.
+    """
+    import http.client
+    from itertools import groupby
+
+    rows = peers.select("window_start", "tag_name", ips.text(F.col("peer")).alias("peer"))
+    parts = int(peers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def send(part) -> None:
+        for (start, tag), group in groupby(part, key=lambda r: (r["window_start"], r["tag_name"])):
+            link = http.client.HTTPConnection(host, port, timeout=30)
+            link.request("POST", f"{path}/{tag}/{start}/{start + span}/", body=(r["peer"].encode() + b"\n" for r in group), encode_chunked=True, headers={"Transfer-Encoding": "chunked"})
+            answer = link.getresponse()
+            link.close()
+            if answer.status >= 300:
+                raise OSError(f"{path}: {answer.status} {answer.reason}")
+
+    rows.repartition(parts, "window_start", "tag_name").sortWithinPartitions("window_start", "tag_name", "peer").foreachPartition(send)
+
+
 def text_report(df: DataFrame, separator: str = "\t") -> DataFrame:
     return df.select(F.concat_ws(separator, *[as_text(F.col(n), k) for n, k in kinds(df).items()]).alias("value"))
 

@@ -113,6 +113,12 @@ def drained(df: DataFrame, name: str, checkpoint: str, mode: str = "append") ->
     return df.sparkSession.table(name)
 
 
+def recorded(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run to the end of what is there, write the results as Parquet and read them: nothing passes through the driver."""
+    df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path).awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def for_each(df: DataFrame, act: Callable[[DataFrame, int], None], checkpoint: str):
     """An action on each micro-batch: uploads, sockets, mail, rules."""
     return df.writeStream.foreachBatch(act).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

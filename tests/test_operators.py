@@ -343,6 +343,35 @@ def test_lines_and_mails_are_sent(spark):
     assert heard == ["a", "b"] and len(letters) == 2 and "Subject: Alert" in letters[0] and letters[1].endswith("two")
 
 
+def test_peers_are_uploaded(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    heard = {}
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            body = b""
+            while n := int(self.rfile.readline(), 16):
+                body += self.rfile.read(n)
+                self.rfile.readline()
+            self.rfile.readline()
+            heard[self.path] = body.decode().split()
+            self.send_response(200)
+            self.end_headers()
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    rows = [(10, 1, "10.0.0.1"), (11, 1, "10.0.0.1"), (12, 1, "2001:db8::1"), (310, 1, "10.0.0.2"), (13, 2, "10.0.0.3"), (14, 9, "10.0.0.4")]
+    df = spark.createDataFrame(rows, "t long, PREFIX_TAG int, d string").select(F.timestamp_seconds("t").cast("timestamp_ntz").alias("TIME_LAST"), "PREFIX_TAG", ips.parse(F.col("d")).alias("DST_IP"))
+    writers.upload_peers(writers.peer_sets(df, {1: "one", 2: "two"}), "127.0.0.1", server.server_port, "/filters")
+    server.shutdown()
+    assert heard == {"/filters/one/0/300/": ["10.0.0.1", "2001:db8::1"], "/filters/one/300/600/": ["10.0.0.2"], "/filters/two/0/300/": ["10.0.0.3"]}
+
+
 def test_times_by_rule_messages_and_models(spark, tmp_path):
     (tmp_path / "m").write_text('{"a": 1}\n\nbroken{\n{"b": "x"}\n')
     assert readers.read_messages(spark, str(tmp_path / "m")).count() == 2
