@@ -80,15 +80,20 @@ def parts_for(spark: SparkSession, size: int, per_task: int = TASK_BYTES) -> int
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // per_task))
 
 
+#: Folders of answers at most.
+SHELVES = 1 << 14
+
+
 def by_home(answers: DataFrame, path: str, parts: int) -> None:
-    """Write answers so that a task finds those of one partition in one folder."""
-    answers.repartition(parts, "home").write.mode("overwrite").option("compression", "zstd").partitionBy("home").parquet(path)
+    """Write answers (column ``home``, long) so that a task finds those of one partition: in one folder, ordered by home."""
+    rows = answers.withColumn("shelf", F.pmod("home", F.lit(SHELVES)))
+    rows.repartition(parts, "shelf").sortWithinPartitions("shelf", "home").write.mode("overwrite").option("compression", "zstd").partitionBy("shelf").parquet(path)
 
 
 def answers_of(path: str, home: int) -> Iterator[tuple]:
-    """The answers for one partition, row by row; none where there is no folder."""
-    store, at = fs.FileSystem.from_uri(f"{path}/home={home}")
+    """The answers for one partition, row by row, without ``home``; none where there is no folder."""
+    store, at = fs.FileSystem.from_uri(f"{path}/shelf={home % SHELVES}")
     if store.get_file_info(at).type == fs.FileType.Directory:
-        table = pq.read_table(at, filesystem=store, partitioning=None)
+        table = pq.read_table(at, filesystem=store, partitioning=None, filters=[("home", "=", home)]).drop_columns(["home"])
         for batch in table.to_batches(max_chunksize=256):
             yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
