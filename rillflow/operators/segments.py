@@ -65,22 +65,23 @@ def tumbling(df: DataFrame, n: int, time: str = "TIME_LAST") -> DataFrame:
 
 
 def _folded(df: DataFrame, keys: list[str], order: str, extra: dict[str, Column], fold) -> DataFrame:
-    """Add ``segment`` from a fold over each key's records in order.
+    """Add ``segment`` from a fold over each key's records in order (each record has an order of its own).
 
-    Records arrive sorted within a partition and are streamed, so a key's
-    records are never held together; the state is what ``fold`` keeps.
+    Only keys, order and what the fold needs go through Python, sorted within
+    a partition and streamed; the state is what ``fold`` keeps. The segment is
+    joined back by key and order, so the records of a hot key stay spread.
     """
-    rows = df.withColumns({f"_x{i}": c for i, c in enumerate(extra.values())})
     n = len(extra)
-    key_at = [rows.columns.index(k) for k in keys]
+    named = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(a) for k, a in zip(keys, named, strict=True)], F.col(order).alias("_o"), *[c.alias(f"_x{i}") for i, c in enumerate(extra.values())])
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(parts if keys else 1, *keys).sortWithinPartitions(*keys, order)
+    ordered = rows.repartition(parts if keys else 1, *named).sortWithinPartitions(*named, "_o")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, state, segment = object(), None, 0
         for b in batches:
-            values = [b.column(b.num_columns - n + i).to_pylist() for i in range(n)]
-            keys_of = zip(*[b.column(k).to_pylist() for k in key_at], strict=True) if key_at else [()] * b.num_rows
+            columns = [c.to_pylist() for c in b.columns]
+            values, keys_of = columns[len(columns) - n :], zip(*columns[: len(named)], strict=True) if named else [()] * b.num_rows
             out = []
             for key, *row in zip(keys_of, *values, strict=True):
                 if key != at:
@@ -88,10 +89,14 @@ def _folded(df: DataFrame, keys: list[str], order: str, extra: dict[str, Column]
                 state, new = fold(state, row)
                 segment += new
                 out.append(segment)
-            yield pa.RecordBatch.from_arrays([*b.columns[: b.num_columns - n], pa.array(out, pa.int64())], [*b.schema.names[: b.num_columns - n], "segment"])
-
-    schema = T.StructType([*df.schema.fields, T.StructField("segment", T.LongType())])
-    return ordered.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(columns) - n], pa.array(out, pa.int64())], [*b.schema.names[: len(columns) - n], "segment"])
+
+    schema = T.StructType([*rows.schema.fields[: len(named) + 1], T.StructField("segment", T.LongType())])
+    found = ordered.mapInArrow(run, schema)
+    same = F.col(order) == F.col("_o")
+    for k, a in zip(keys, named, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(a))
+    return df.join(found, same).drop("_o", *named)
 
 
 def active(df: DataFrame, keys: list[str], n: int, order: str = "seq") -> DataFrame:
