@@ -149,6 +149,8 @@ def sketched(docs: DataFrame, shape: Shape, window: int, anchor: int) -> DataFra
             return _rows(out, SKETCHED)
 
         for b in batches:
+            if not b.num_rows:
+                continue
             text = b.column(text_at).cast(pa.large_binary())
             lengths = np.diff(np.frombuffer(text.buffers()[1], "<i8", b.num_rows + 1, 8 * text.offset))
             chunk = (np.cumsum(lengths + 64) - lengths - 64) // tx.CHUNK_BYTES
