@@ -6,6 +6,8 @@ A quarter of the records has version 6 addresses.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +38,22 @@ def _hex(number, digits: int):
     return F.lpad(F.lower(F.hex(number)), digits, "0")
 
 
+#: Type of ``seq`` where a number passes a long.
+WIDE = "decimal(38,0)"
+
+
+def _seq(t: DataFrame):
+    """The order of arrival: a long where all numbers fit one (order keys up to 922 336), exact decimals otherwise."""
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    rest = (F.col("l_partkey") * 1000 + F.col("l_suppkey")) * 10000 + F.datediff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))
+    top = t.agg(F.max(F.abs(line.cast("double") * 1e12 + rest.cast("double")))).first()[0]
+    if top is None or top < 9.2e18:
+        return (line * 10**12 + rest).cast("long")
+    return (line.cast("decimal(20,0)") * F.lit(Decimal(10**12)) + rest.cast("decimal(20,0)")).cast(WIDE)
+
+
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))
-    seq = (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 1000 + F.col("l_suppkey")) * 10000 + days
     six = F.col("l_linenumber") % 4 == 0
     src = F.when(six, F.concat(F.lit("20010db80000"), _hex(F.col("l_suppkey") % 7, 4), F.lit("000000000000"), _hex(F.col("l_suppkey") % 65536, 4))).otherwise(_hex(167772160 + F.col("l_suppkey") % 65536, 8))
     dst = F.when(six, F.concat(F.lit("20010db800ff0000000000000000"), _hex(F.col("l_partkey") % 65536, 4))).otherwise(_hex(3232235520 + F.col("l_partkey") % 65536, 8))
@@ -61,4 +75,4 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "LINK_BIT_FIELD": (F.expr("shiftleft(1L, cast(l_suppkey % 4 as int))"), "uint64"),
         "TUNNEL_TYPE": ((F.col("l_partkey") % 6).cast("smallint"), "uint8"),
     }
-    return t.select(seq.cast("long").alias("seq"), *[c.alias(n, metadata={KIND: k}) for n, (c, k) in kinds.items()])
+    return t.select(_seq(t).alias("seq"), *[c.alias(n, metadata={KIND: k}) for n, (c, k) in kinds.items()])
