@@ -52,6 +52,10 @@ def hexed(name: str, alias: str):
     return F.lower(F.hex(name)).alias(alias)
 
 
+def order_kind(df: DataFrame) -> str:
+    return df.schema["seq"].dataType.simpleString()
+
+
 def secs(name: str, alias: str):
     return sc.whole_seconds(c(name)).alias(alias)
 
@@ -639,7 +643,7 @@ def s3_k4_k5_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k5_json_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = flows(spark, sf_dir).select("seq", "DST_PORT", "SRC_PORT", "TIME_FIRST")
     rows = writers.json_rows(df, match={"DST_PORT": {"53": "dns", "80": "web"}}, regex={"SRC_PORT": [("1", "a"), ("12", "b")]}, timify=("TIME_FIRST",))
-    return rows.select(F.from_json("value", "seq bigint, DST_PORT string, SRC_PORT string, TIME_FIRST string").alias("r")).select("r.*")
+    return rows.select(F.from_json("value", f"seq {order_kind(df)}, DST_PORT string, SRC_PORT string, TIME_FIRST string").alias("r")).select("r.*")
 
 
 @query("select (n * 3)::bigint as A, 'r' || n as B from range(100) as t(n)", plain=True)
