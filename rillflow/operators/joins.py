@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import ip as ips
 
@@ -177,6 +178,8 @@ def nat_pairs(lan: DataFrame, wan: DataFrame, router: str, first_ms: int = 2, la
 
     rows = side(lan, "lan").union(side(wan, "wan"))
     parts = int(lan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = lan.schema[order].dataType
+    arrow = to_arrow_type(number)
     ordered = rows.repartition(parts, *PAIR_KEY).sortWithinPartitions(*PAIR_KEY, "first", "seq_", "side")
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,6 +211,6 @@ def nat_pairs(lan: DataFrame, wan: DataFrame, router: str, first_ms: int = 2, la
                     if len(own) > 64 and first - own[0][1] >= first_ms:  # the other side never looked
                         waiting[s] = [w for w in own if first - w[1] < first_ms]
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["lan_seq", "wan_seq"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, arrow), pa.array(z, arrow)], ["lan_seq", "wan_seq"])
 
-    return ordered.mapInArrow(paired, T.StructType([T.StructField("lan_seq", T.LongType()), T.StructField("wan_seq", T.LongType())]))
+    return ordered.mapInArrow(paired, T.StructType([T.StructField("lan_seq", number), T.StructField("wan_seq", number)]))

@@ -14,6 +14,7 @@ from ..functions import scalar as sc
 from ..operators import aggregate as ag
 from ..operators import alerts, anonymize, counters, features, joins, project, records, segments, setops, timeseries, topn
 from ..operators.aggregate import Agg
+from ..schema import kinds
 from ..sources import readers, writers
 from ..sources.shared import shared_folder
 from ..streaming import queries as live
@@ -625,18 +626,19 @@ def s1_k1_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = flows(spark, sf_dir).withColumn("PORTS", F.array("SRC_PORT", "DST_PORT")).select("seq", "SRC_IP", "DST_IP", "BYTES", "DST_PORT", "TIME_FIRST", "PORTS")
     path = shared_folder(spark)
     writers.write_csv(df, path)
-    back = readers.read_csv(spark, path, template="int64 seq,ipaddr SRC_IP,ipaddr DST_IP,uint64 BYTES,uint16 DST_PORT,time TIME_FIRST,int32* PORTS")
+    back = readers.read_csv(spark, path, template=f"{kinds(df)['seq']} seq,ipaddr SRC_IP,ipaddr DST_IP,uint64 BYTES,uint16 DST_PORT,time TIME_FIRST,int32* PORTS")
     return back.select("seq", hexed("SRC_IP", "src"), hexed("DST_IP", "dst"), "BYTES", "DST_PORT", secs("TIME_FIRST", "t1"), F.array_join("PORTS", ",").alias("PORTS"))
 
 
 @query("select seq, octets as BYTES, src_ip as SRC_IP, t1::double as T from flows")
 def s3_k4_k5_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
-    rows = writers.json_rows(flows(spark, sf_dir).select("seq", "BYTES", "SRC_IP", c("TIME_FIRST").alias("T")))
+    df = flows(spark, sf_dir)
+    rows = writers.json_rows(df.select("seq", "BYTES", "SRC_IP", c("TIME_FIRST").alias("T")))
     bad = spark.createDataFrame([("",), ("{broken",)], "value string")
     writers.write_json(rows, path)
     bad.coalesce(1).write.mode("append").text(path)
-    return readers.read_json(spark, path, "seq bigint,BYTES bigint,SRC_IP string,T double")
+    return readers.read_json(spark, path, T.StructType.fromDDL(f"seq {order_kind(df)},BYTES bigint,SRC_IP string,T double"))
 
 
 @query("select seq, case dport when 53 then 'dns' when 80 then 'web' end as DST_PORT, case when sport::varchar like '12%' then 'b' when sport::varchar like '1%' then 'a' else sport::varchar end as SRC_PORT, strftime(make_timestamp(t1 * 1000000), '%Y-%m-%dT%H:%M:%SZ') as TIME_FIRST from flows")
@@ -727,7 +729,8 @@ def k11_text_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select seq, dport * 2 as TWICE from flows where dport <> 80")
 def u1_record_script(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.scripted(flows(spark, sf_dir).select("seq", "DST_PORT"), "int64 seq,int64 TWICE", lambda r, _: None if r["DST_PORT"] == 80 else {"seq": r["seq"], "TWICE": 2 * r["DST_PORT"]})
+    df = flows(spark, sf_dir).select("seq", "DST_PORT")
+    return records.scripted(df, f"{kinds(df)['seq']} seq,int64 TWICE", lambda r, _: None if r["DST_PORT"] == 80 else {"seq": r["seq"], "TWICE": 2 * r["DST_PORT"]})
 
 
 @query("select dport as DST_PORT, max(octets) - min(octets) as spread, quantile_cont(packets, 0.5)::double as middle from flows group by dport")

@@ -19,6 +19,7 @@ TYPES: dict[str, T.DataType] = {
     "int16": T.ShortType(),
     "int32": T.IntegerType(),
     "int64": T.LongType(),
+    "int128": T.DecimalType(38, 0),
     "uint8": T.ShortType(),
     "uint16": T.IntegerType(),
     "uint32": T.LongType(),
@@ -76,11 +77,12 @@ def struct(fields: list[FieldSpec]) -> T.StructType:
 
 def kinds(df: DataFrame) -> dict[str, str]:
     """The record type of each column: from metadata, else by the Spark type."""
-    plain = {T.ByteType: "int8", T.ShortType: "int16", T.IntegerType: "int32", T.LongType: "int64", T.FloatType: "float", T.DoubleType: "double", T.BinaryType: "ipaddr", T.StringType: "string", T.TimestampNTZType: "time", T.TimestampType: "time"}
+    plain = {T.ByteType: "int8", T.ShortType: "int16", T.IntegerType: "int32", T.LongType: "int64", T.DecimalType: "int128", T.FloatType: "float", T.DoubleType: "double", T.BinaryType: "ipaddr", T.StringType: "string", T.TimestampNTZType: "time", T.TimestampType: "time"}
     out = {}
     for f in df.schema.fields:
         base, star = (f.dataType.elementType, "*") if isinstance(f.dataType, T.ArrayType) else (f.dataType, "")
-        out[f.name] = f.metadata.get(KIND) or plain.get(type(base), "string") + star
+        known = "string" if isinstance(base, T.DecimalType) and base.scale else plain.get(type(base), "string")
+        out[f.name] = f.metadata.get(KIND) or known + star
     return out
 
 
