@@ -45,9 +45,10 @@ WIDE = "decimal(38,0)"
 def _seq(t: DataFrame):
     """The order of arrival: a long where all numbers fit one (order keys up to 922 336), exact decimals otherwise."""
     line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    rest = (F.col("l_partkey") * 1000 + F.col("l_suppkey")) * 10000 + F.datediff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))
-    top = t.agg(F.max(F.abs(line.cast("double") * 1e12 + rest.cast("double")))).first()[0]
-    if top is None or top < 9.2e18:
+    parts = (F.col("l_partkey") * 1000 + F.col("l_suppkey")) * 10000
+    rest = parts + F.datediff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))
+    top = t.agg(F.max(F.abs(line.cast("double") * 1e12 + parts.cast("double")))).first()[0]
+    if top is None or top < 9.2e18:  # days are an int, so they can't bridge the rest up to 2^63
         return (line * 10**12 + rest).cast("long")
     return (line.cast("decimal(20,0)") * F.lit(Decimal(10**12)) + rest.cast("decimal(20,0)")).cast(WIDE)
 
