@@ -42,15 +42,23 @@ def _hex(number, digits: int):
 WIDE = "decimal(38,0)"
 
 
+#: Bound below which sums of two terms (and the days, an int) stay within a long.
+FITS = 9.2e18
+
+
 def _seq(t: DataFrame):
-    """The order of arrival: a long where all numbers fit one (order keys up to 922 336), exact decimals otherwise."""
-    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    parts = (F.col("l_partkey") * 1000 + F.col("l_suppkey")) * 10000
-    rest = parts + F.datediff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))
-    top = t.agg(F.max(F.abs(line.cast("double") * 1e12 + parts.cast("double")))).first()[0]
-    if top is None or top < 9.2e18:  # days are an int, so they can't bridge the rest up to 2^63
+    """The order of arrival: a long where all numbers fit one (order keys up to about 920 000), exact decimals otherwise."""
+    keys = [F.col(f"l_{x}") for x in ("orderkey", "linenumber", "partkey", "suppkey")]
+    order, number, part, supplier = (F.coalesce(F.abs(k.cast("double")), F.lit(0.0)) for k in keys)
+    top, most = t.agg(F.max((order * 10 + number) * 1e12 + (part * 1000 + supplier) * 1e4), F.max(F.greatest(order * 10 + number, (part * 1000 + supplier) * 1e4))).first()
+    if most is not None and most >= FITS:  # not even the two halves fit a long
+        keys = [k.cast("decimal(20,0)") for k in keys]
+    order, number, part, supplier = keys
+    line, days = order * 10 + number, F.datediff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))
+    rest = (part * 1000 + supplier) * 10000 + days
+    if top is None or top < FITS:
         return (line * 10**12 + rest).cast("long")
-    return (line.cast("decimal(20,0)") * F.lit(Decimal(10**12)) + rest.cast("decimal(20,0)")).cast(WIDE)
+    return (line.cast("decimal(22,0)") * F.lit(Decimal(10**12)) + rest.cast("decimal(28,0)")).cast(WIDE)
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
