@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import storage
 
 #: Rows of one key that one task meets at least; most keys that are listed as hot.
 HOT_ROWS, LISTED = 1024, 100_000
+#: Links for each file of a step.
+FILE_LINKS = 1 << 16
 
 
 def met(rows: DataFrame, per_key: DataFrame, key: str, most: int, total: int) -> DataFrame:
@@ -42,31 +44,35 @@ def components(links: DataFrame, folder: str) -> DataFrame:
 
     Links from a node to itself and repeated links change nothing. Nodes
     without a link aren't in the result. A node with very many links, like the
-    centre of a large star, is met in several tasks.
+    centre of a large star, is met in several tasks. Steps end as soon as all
+    links are stars: no node has two links to smaller ones, or links both ways.
     """
     spark, folder = links.sparkSession, f"{folder}/components-{uuid.uuid4().hex}"
     now = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, step = storage.stored(now, folder, "links-0"), 0
 
     def measured(df: DataFrame):
-        per = df.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"))
-        return per.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("n").alias("most")).first()
+        per = df.select(F.expr("stack(2, a, 1L, b, 0L) as (node, up)")).groupBy("node").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n"))
+        loose = F.count(F.when((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("n") > 1)), 1))
+        return per.agg(F.sum("up").alias("n"), F.max("n").alias("most"), F.max("up").alias("up"), loose.alias("loose")).first()
 
     seen = measured(now)
-    while True:
+    while seen["loose"]:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
-        large = met(both, least, "a", seen["most"] or 0, 2 * (seen["n"] or 0)).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(smallest.withColumnRenamed("a", "u"), F.col("a") == F.col("u"))
-        small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(smallest.select("a", F.col("m").alias("b")))
+        large = met(both, least, "a", seen["most"], 2 * seen["n"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        if seen["up"] <= HOT_ROWS:  # a node has as many rows here as it has smaller neighbours
+            small = large.repartition("a").withColumn("m", F.min("b").over(Window.partitionBy("a"))).select(F.expr("stack(2, b, m, a, m) as (a, b)")).where("a <> b")
+        else:
+            large = large.distinct()
+            smallest = large.groupBy("a").agg(F.min("b").alias("m"))
+            joined = large.join(smallest.withColumnRenamed("a", "u"), F.col("a") == F.col("u"))
+            small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(smallest.select("a", F.col("m").alias("b")))
         step += 1
-        after = storage.stored(small.distinct(), folder, f"links-{step}")
-        mark, seen = (seen["n"], seen["s"]), measured(after)
+        files = max(spark.sparkContext.defaultParallelism, -(-seen["n"] // FILE_LINKS))
+        now = storage.stored(small.distinct().coalesce(files), folder, f"links-{step}")
+        seen = measured(now)
         storage.removed(spark, f"{folder}/links-{step - 1}")
-        now = after
-        if (seen["n"], seen["s"]) == mark:
-            break
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 

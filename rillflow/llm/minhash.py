@@ -278,14 +278,14 @@ def _pairs(a: list, b: list) -> pa.RecordBatch:
 
 
 def _across(members: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs that join all members of a bucket that sizes and sketches let be near: a forest, not all pairs."""
+    """Pairs of components that join all members of a bucket that sizes and sketches let be near: a forest, not all pairs."""
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _streamed(batches, "key"):
             i, j, _ = _near(rows, percent)
             tree = components.spanning(len(rows["sig"]), zip(i.tolist(), j.tolist(), strict=True))
             if tree:
-                yield _pairs([int(rows["sig"][x]) for x, _ in tree], [int(rows["sig"][y]) for _, y in tree])
+                yield _pairs([int(rows["comp"][x]) for x, _ in tree], [int(rows["comp"][y]) for _, y in tree])
 
     ordered = _dealt(members, "key", BLOCK_MEMBERS).repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high")
     return ordered.mapInArrow(searched, "a long, b long").distinct()
@@ -321,7 +321,7 @@ def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int, part
             order = np.argsort(ones, kind="stable")
             sets: dict[int, np.ndarray] = {}
             comps = np.unique(rows["comp"], return_inverse=True)[1].tolist()
-            sig, a, b = rows["sig"], [], []
+            comp, a, b = rows["comp"], [], []
             parent = list(range(len(comps)))
 
             def root(x: int, parent=parent) -> int:
@@ -342,8 +342,8 @@ def _settled(docs: DataFrame, clusters: DataFrame, size: int, percent: int, part
                 common = int((sets[x][place] == sets[y]).sum())
                 if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
                     parent[max(p, q)] = min(p, q)
-                    a.append(int(sig[x]))
-                    b.append(int(sig[y]))
+                    a.append(int(comp[x]))
+                    b.append(int(comp[y]))
             if a:
                 yield _pairs(a, b)
 
@@ -370,16 +370,17 @@ def _components(docs: DataFrame, size: int, percent: int, marked: bool = False)
     links = storage.stored(confirmed(docs, tried, classes, size, percent, parts), folder, "links")
     roots = components.components(links, folder)
     # second round: buckets that hold more than one component
-    known = storage.stored(classes.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("comp"), "n", "least", "h1", *WORDS_OF_SKETCH), folder, "known")
+    known = storage.stored(classes.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("comp"), "n", "least", "h1", "h2", *WORDS_OF_SKETCH), folder, "known")
     placed = shared.select("sig", "key").join(known.select("sig", "comp"), "sig")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    members = shared.select("sig", "key").join(mixed, "key").join(known.drop("least", "h1"), "sig")
+    members = shared.select("sig", "key").join(mixed, "key").join(known.drop("least", "h1", "h2"), "sig")
     near = storage.stored(_across(members, percent, parts), folder, "near")
+    ids = known.select("h1", "h2", "least", F.col("comp").alias("root"))
     if near.limit(1).count():
-        clusters = components.components(near.union(links), folder).select(F.col("node").alias("sig"), F.col("root").alias("cluster"))
-        late = storage.stored(_settled(docs, known.join(clusters, "sig"), size, percent, parts), folder, "late")
-        roots = components.components(links.union(late), folder)
-    ids = classes.select("sig", "h1", "h2", "least").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        clusters = components.components(near, folder).select(F.col("node").alias("comp"), F.col("root").alias("cluster"))
+        late = storage.stored(_settled(docs, known.join(clusters, "comp"), size, percent, parts), folder, "late")
+        joined = components.components(late, folder).select(F.col("node").alias("comp"), F.col("root").alias("joined"))
+        ids = known.join(joined, "comp", "left").select("h1", "h2", "least", F.coalesce("joined", "comp").alias("root"))
     return seen, ids
 
 

@@ -159,6 +159,70 @@ def test_components(spark, tmp_path):
     assert out == {n: expected[n] for n in {x for l in links for x in l if l[0] != l[1]}}
 
 
+def stored_names(monkeypatch):
+    """The names of the tables that are stored from now on, with their numbers of files."""
+    names, before = {}, components.storage.stored
+
+    def stored(df, folder, name):
+        out = before(df, folder, name)
+        names.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components.storage, "stored", stored)
+    return names
+
+
+def test_components_of_stars_take_no_step(spark, tmp_path, monkeypatch):
+    names = stored_names(monkeypatch)
+    links = [(i, 0) for i in range(1, 40)] + [(100, 99), (99, 100), (7, 7)]
+    out = {x["node"]: x["root"] for x in components.components(spark.createDataFrame(links, "a long, b long"), f"file://{tmp_path}").collect()}
+    assert out == {i: 0 for i in range(40)} | {99: 99, 100: 99}
+    assert list(names) == ["links-0"]
+    assert components.components(spark.createDataFrame([], "a long, b long"), f"file://{tmp_path}").collect() == []
+
+
+@pytest.mark.parametrize("hot", [8, 1024])
+def test_components_around_the_largest_node_in_few_files(spark, tmp_path, monkeypatch, hot):
+    """A centre above all its leaves, a chain and a dense part, whether or not nodes count as hot."""
+    monkeypatch.setattr(components, "HOT_ROWS", hot)
+    names = stored_names(monkeypatch)
+    links = [(1000, i) for i in range(40)] + [(i, i + 1) for i in range(2000, 2030)] + [(i, j) for i in range(3000, 3012) for j in range(3000, 3012)]
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = {x["node"]: x["root"] for x in components.components(spark.createDataFrame(links, "a long, b long"), f"file://{tmp_path}").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert out == {i: 0 for i in [*range(40), 1000]} | {i: 2000 for i in range(2000, 2031)} | {i: 3000 for i in range(3000, 3012)}
+    assert all(n <= spark.sparkContext.defaultParallelism for k, v in names.items() if k != "links-0" for n in v)
+
+
+def test_second_round_joins_components_not_all_nodes(spark, tmp_path, monkeypatch):
+    """The links of the second round stand between components: no component of the first round is found again."""
+    r = random.Random(3)
+    vocabulary = ["".join(r.choice("abcdeiou") for _ in range(6)) for _ in range(400)]
+    texts, base = [], [r.choice(vocabulary) for _ in range(150)]
+    for k in range(120):  # a drifting family: many components in the first round
+        base = list(base)
+        base[r.randrange(150)] = r.choice(vocabulary)
+        texts.append(" ".join(base))
+    seen, before = [], components.components
+
+    def counted(links, folder):
+        seen.append(links.count())
+        return before(links, folder)
+
+    monkeypatch.setattr(components, "components", counted)
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in map(words, texts)]
+    roots = closure(120, [(i, j) for i in range(120) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])])
+    out = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 85).collect()}
+    assert out == dict(enumerate(roots))
+    assert all(n < seen[0] for n in seen[1:])
+
+
 def test_repeated_windows(docs, rows):
     size = 35
     where = Counter()
