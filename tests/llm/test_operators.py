@@ -205,9 +205,10 @@ def test_second_round_joins_components_not_all_nodes(spark, tmp_path, monkeypatc
     r = random.Random(3)
     vocabulary = ["".join(r.choice("abcdeiou") for _ in range(6)) for _ in range(400)]
     texts, base = [], [r.choice(vocabulary) for _ in range(150)]
-    for k in range(120):  # a drifting family: many components in the first round
+    for k in range(120):  # drifting families, each near the one before but not linked with it
         base = list(base)
-        base[r.randrange(150)] = r.choice(vocabulary)
+        for _ in range(9 if k % 10 == 0 else 1):
+            base[r.randrange(150)] = r.choice(vocabulary)
         texts.append(" ".join(base))
     seen, before = [], components.components
 
@@ -220,7 +221,7 @@ def test_second_round_joins_components_not_all_nodes(spark, tmp_path, monkeypatc
     roots = closure(120, [(i, j) for i in range(120) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])])
     out = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 85).collect()}
     assert out == dict(enumerate(roots))
-    assert all(n < seen[0] for n in seen[1:])
+    assert len(seen) == 3 and all(n < seen[0] for n in seen[1:])
 
 
 def test_repeated_windows(docs, rows):
